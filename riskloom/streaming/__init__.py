@@ -1,0 +1 @@
+"""Empty on purpose: every source this engine reads is a finite table."""
