@@ -81,8 +81,8 @@ def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice]) -> Dat
 
     Each row is tagged with the slices it falls into and the tags are exploded,
     so one partial aggregate on (key, slice) runs before the shuffle and no hot
-    key travels row by row.  A second, small groupBy on the key turns the at
-    most ``len(slices)`` rows per key into columns; its shuffle also places the
+    key travels row by row.  A second groupBy on the key packs the at most
+    ``len(slices)`` results of a key into a map; its shuffle also places the
     result for the join on the key.  A key outside a slice has NULL there.
     """
     union: Spec = []
@@ -99,18 +99,12 @@ def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice]) -> Dat
         .groupBy(key, "_slice")
         .agg(*compile_spec(union))
     )
-    packed = stats.select(
-        named(key),
-        "_slice",
-        F.struct(*[named(feature_name("", fn, c)).alias(f"f{j}") for j, (c, fn) in enumerate(union)]).alias("_f"),
+    values = F.struct(*[named(feature_name("", fn, c)).alias(f"f{j}") for j, (c, fn) in enumerate(union)])
+    packed = stats.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_slice", values))).alias("_all"))
+    wide = packed.select(
+        named(key), *[F.try_element_at("_all", F.lit(i)).alias(f"_s{i}") for i in range(len(slices))]
     )
     position = {f: j for j, f in enumerate(union)}
-    wide = packed.groupBy(key).agg(
-        *[
-            F.first(F.when(F.col("_slice") == i, F.col("_f")), ignorenulls=True).alias(f"_s{i}")
-            for i in range(len(slices))
-        ]
-    )
     return wide.select(
         named(key),
         *[
