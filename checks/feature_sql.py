@@ -187,6 +187,9 @@ def _install() -> dict[str, str]:
     }
 
 
+AHEAD_RECENT = [(pos_cash.AHEAD_NAMES[c], fn) for c, fn in pos_cash.AHEAD_RECENT]
+
+
 def _ahead(rows: str, where: str) -> str:
     return f"""select SK_ID_PREV, max(SK_ID_CURR) as SK_ID_CURR,
         max(first - last) as CNT_INSTALMENT_AHEAD, max({div('last', 'first')}) as CNT_INSTALMENT_AHEAD_RATIO from (
@@ -220,7 +223,7 @@ def _pos() -> dict[str, str]:
         "pos_sliced": sliced("pos_months", [("pos_", "true", p.STATS), ("pos12_", "MONTHS_BALANCE >= -12", p.STATS)]),
         "pos_ahead": f"""select * from
             (select SK_ID_CURR, {aggs(p.AHEAD, 'pos_')} from ({_ahead('pos_months', 'true')}) a group by 1) x left join
-            (select SK_ID_CURR, {aggs(p.AHEAD_RECENT, 'pos12_')} from ({_ahead('pos_months', 'MONTHS_BALANCE >= -12')}) a group by 1) y
+            (select SK_ID_CURR, {aggs(AHEAD_RECENT, 'pos12_')} from ({_ahead('pos_months', 'MONTHS_BALANCE >= -12')}) a group by 1) y
             using (SK_ID_CURR)""",
         "pos_running": f"""select l.*, pr.* exclude (SK_ID_PREV, SK_ID_CURR, DAYS_FIRST_DUE, DAYS_LAST_DUE_1ST_VERSION),
             nullif(DAYS_FIRST_DUE, 365243) as DAYS_FIRST_DUE,
@@ -353,7 +356,7 @@ def columns(name: str) -> list[str]:
         out += _names(i.STATS_365, "ins365_") + _names(i.STATS_180, "ins180_")
         return out + [f"ins365_{fn}(DAYS_ENTRY_PAYMENT_INTERVAL)" for fn in ["mean", "min"]]
     if name == "pos_features":
-        out = _names(p.STATS, "pos_", "pos12_") + _names(p.AHEAD, "pos_") + _names(p.AHEAD_RECENT, "pos12_")
+        out = _names(p.STATS, "pos_", "pos12_") + _names(p.AHEAD, "pos_") + _names(AHEAD_RECENT, "pos12_")
         out += _names(p.ACTIVE_STATS[:-1], "pos_active_") + [p.DEBT]
         return out + ["p" + x for x in p.REPRESENTATIVE]
     if name == "card_features":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import feature_sql as fs
 from checks.standin import credit_table, credit_tables, raw
 from riskloom.functions import (
-    blank_when, code_value, flag, gated, member_flag, named, one_hot, positive_part, ratio, row_mean, row_std,
+    blank_when, code_value, flag, gated, member_flag, named, one_hot, positive_part, quoted, ratio, row_mean, row_std,
 )
 from riskloom.models import stacked
 from riskloom.models.auc import auc
@@ -54,9 +54,9 @@ def settled(df: DataFrame) -> DataFrame:
     out = []
     for c in df.columns:
         d = fs.digits(c)
-        value = named(c) if d is None else F.round(named(c), d) + F.lit(0.0)
-        out.append(value.alias(shape.plain_name(c)))
-    return df.select(*out)
+        value = quoted(c) if d is None else f"round({quoted(c)}, {d}) + 0d"
+        out.append(f"{value} as {shape.plain_name(c)}")
+    return df.selectExpr(*out)
 
 
 # ---------------------------------------------------------------- feature tables
@@ -100,14 +100,11 @@ def credit_card_features(spark, folder):
 def cross_features(spark, folder):
     t = credit_tables(spark, folder)
     base = application.application(t.application_all)
-    debts = joins.attach(base, pos_cash.active_features(t.POS_CASH_balance, t.previous_application), "SK_ID_CURR")
-    debts = joins.attach(
-        debts,
-        credit_card.active_features(credit_card.months(t.credit_card_balance), t.previous_application),
-        "SK_ID_CURR",
-    )
+    debts = joins.attach(base, pos_cash.loan_features(t.POS_CASH_balance, t.previous_application), "SK_ID_CURR")
+    card = credit_card.loan_features(credit_card.months(t.credit_card_balance), t.previous_application)
+    debts = joins.attach(debts, card, "SK_ID_CURR")
     out = application.cross_features(debts, previous.loans(t.previous_application), narrow=base)
-    return settled(out.select("SK_ID_CURR", *[named(c) for c in fs.columns("cross_features")]))
+    return settled(out.selectExpr("SK_ID_CURR", *[quoted(c) for c in fs.columns("cross_features")]))
 
 
 @query(fs.feature_sql("matrix"))
@@ -410,14 +407,17 @@ def relative_to_median(spark, folder):
 
 @query(
     """with o as (select *, cast(floor(o_totalprice) as double) as amount from orders),
-    p as (select o_orderpriority, avg(amount) as amount_BY_PRIORITY from o group by 1)
+    p as (select o_orderpriority, month(o_orderdate) as m, avg(amount) as amount_BY_PRIORITY from o group by 1, 2)
     select o_orderkey, amount_BY_PRIORITY, amount / amount_BY_PRIORITY as amount_BY_PRIORITY_RATIO,
-    amount - amount_BY_PRIORITY as amount_BY_PRIORITY_DIFF from o left join p using (o_orderpriority) where o_orderstatus = 'O'"""
+    amount - amount_BY_PRIORITY as amount_BY_PRIORITY_DIFF from o left join p on p.o_orderpriority = o.o_orderpriority and m = month(o_orderdate) where o_orderstatus = 'O'"""
 )
 def pooled_mean(spark, folder):
     orders = _orders_with_amount(spark, folder)
+    orders = orders.withColumn("o_shared", F.month("o_orderdate"))
     current, earlier = orders.where("o_orderstatus = 'O'"), orders.where("o_orderstatus <> 'O'")
-    return groups.pooled_group_mean(current, earlier, "o_orderkey", ["o_orderpriority"], ["amount"], "PRIORITY")
+    return groups.pooled_group_mean(
+        current, earlier, "o_orderkey", {"PRIORITY": "o_orderpriority"}, "o_shared", ["amount"]
+    )
 
 
 @query(
@@ -577,8 +577,8 @@ def active_loans(spark, folder):
 def active_debt(spark, folder):
     t = credit_tables(spark, folder)
     base = application.application(t.application_all).select("SK_ID_CURR", "AMT_CREDIT", "AMT_ANNUITY")
-    pos = pos_cash.active_features(t.POS_CASH_balance, t.previous_application).select("SK_ID_CURR", named(pos_cash.DEBT))
-    card = credit_card.active_features(t.credit_card_balance, t.previous_application)
+    pos = pos_cash.loan_features(t.POS_CASH_balance, t.previous_application).select("SK_ID_CURR", named(pos_cash.DEBT))
+    card = credit_card.loan_features(credit_card.months(t.credit_card_balance), t.previous_application)
     both = joins.attach(joins.attach(base, pos, "SK_ID_CURR"), card.select("SK_ID_CURR", named(credit_card.DEBT)), "SK_ID_CURR")
     out = application.debt_ratios(both)
     return out.select(

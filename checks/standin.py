@@ -167,9 +167,12 @@ def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def credit_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {n: raw(spark, folder, n) for n in ("customer", "labels", "orders", "lineitem")}
+
+
+def _derived(spark: SparkSession, sources: dict[str, DataFrame], name: str) -> DataFrame:
     """One credit table with exactly the declared column types."""
-    sources = {n: raw(spark, folder, n) for n in ("customer", "labels", "orders", "lineitem")}
     text = selects("spark")[name]
     for n in sources:
         for word in (f"from {n}", f"join {n}"):
@@ -181,8 +184,13 @@ def credit_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.sql(f"select {columns} from ({text})", **used)
 
 
+def credit_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return _derived(spark, _sources(spark, folder), name)
+
+
 def credit_tables(spark: SparkSession, folder: str) -> Tables:
-    return Tables(**{name: credit_table(spark, folder, name) for name in SCHEMAS})
+    sources = _sources(spark, folder)
+    return Tables(**{name: _derived(spark, sources, name) for name in SCHEMAS})
 
 
 def ctes(*names: str) -> str:

@@ -23,6 +23,7 @@ __all__ = [
     "named",
     "one_hot",
     "positive_part",
+    "quoted",
     "ratio",
     "row_mean",
     "row_std",
@@ -30,9 +31,14 @@ __all__ = [
 ]
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text; spaces, dots and parentheses are kept."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def named(name: str) -> Column:
     """A column reference that survives spaces, dots and parentheses."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def _column(c: Column | str) -> Column:

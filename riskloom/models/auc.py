@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import named
+from riskloom.operators.joins import attach_small
 
 RANGES = 128
 
@@ -27,7 +28,7 @@ def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFra
     )
     steps = [i / RANGES for i in range(1, RANGES)]
     cuts = counts.groupBy("_g").agg(F.percentile_approx("_s", steps).alias("_cuts"))
-    ranged = counts.join(cuts, "_g").select(
+    ranged = attach_small(counts, cuts, "_g", how="inner").select(
         "_g", "_s", "_pos", "_neg",
         F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_range"),
     )

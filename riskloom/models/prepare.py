@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from riskloom.functions import named
+from riskloom.session import computed
 
 # Trees send missing values to one side of a split: below every real value.
 MISSING = -1.0e9
@@ -18,7 +19,7 @@ MAX_CATEGORIES = 1000
 
 
 class Prepared:
-    """A persisted table of ``key``, ``label``, further columns and numeric inputs.
+    """A computed and persisted table of ``key``, ``label``, further columns and numeric inputs.
 
     Categories are indexed over labelled and unlabelled rows together, so both
     get the same codes.
@@ -49,7 +50,7 @@ class Prepared:
             table = indexer.transform(table).drop(*codes.values())
         else:
             self.bins = 32
-        self.table = table.persist()
+        self.table = computed(table).persist()
 
     def vectors(self, features: Sequence[str] | None = None) -> DataFrame:
         """The table with the given features (default: all) assembled into ``features``."""

@@ -11,14 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import positive_part, ratio, named
+from riskloom.functions import positive_part
 from riskloom.models.folds import FOLDS, SEED, with_folds
 from riskloom.models.prepare import Prepared
 from riskloom.models.train import cross_validate
 from riskloom.operators.checks import require_same_columns
-from riskloom.operators.groups import correlation, event_label
+from riskloom.operators.groups import against_means, correlation, event_label, group_means
 from riskloom.operators.joins import attach, override_columns
-from riskloom.plans.application import KEY, basic_features
+from riskloom.plans.application import GROUPINGS, KEY, basic_features
 from riskloom.plans.dropped import STRICT
 
 LOAN = "SK_ID_PREV"
@@ -58,17 +58,8 @@ def training_rows(app: DataFrame, prev: DataFrame, labels: DataFrame) -> DataFra
 
 def against_contract_means(df: DataFrame) -> DataFrame:
     """A hook: annuity and credit against the mean of similar contracts in all rows."""
-    for by, postfix in [("ORGANIZATION_TYPE", "ORG_CONTRACT"), ("OCCUPATION_TYPE", "OCC_CONTRACT")]:
-        targets = ["AMT_ANNUITY", "AMT_CREDIT"]
-        keys = [by, "NAME_CONTRACT_TYPE"]
-        means = df.dropna(subset=keys).groupBy(*keys).agg(
-            *[F.avg(t).alias(f"{t}_BY_{postfix}") for t in targets]
-        )
-        df = attach(df, means, keys)
-        for t in targets:
-            base = f"{t}_BY_{postfix}"
-            df = df.withColumns({f"{base}_RATIO": ratio(t, base), f"{base}_DIFF": named(t) - named(base)})
-    return df
+    targets, shared = ["AMT_ANNUITY", "AMT_CREDIT"], "NAME_CONTRACT_TYPE"
+    return against_means(df, group_means(df, GROUPINGS, shared, targets), GROUPINGS, shared, targets)
 
 
 def model_rows(app: DataFrame, prev: DataFrame, labels: DataFrame, hook: Hook | None = None) -> DataFrame:

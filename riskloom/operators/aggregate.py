@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import named
+from riskloom.functions import named, quoted
 from riskloom.operators.joins import attach
 
 # A sum over a group whose values are all missing is 0; a group that does not
 # exist stays NULL because the result is left-joined afterwards.
-FUNCTIONS: dict[str, Callable[[Column], Column]] = {
-    "count": F.count,
-    "size": lambda c: F.count(F.lit(1)),
-    "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)),
-    "mean": F.avg,
-    "min": F.min,
-    "max": F.max,
-    "std": F.stddev_samp,
-    "var": F.var_samp,
-    "nunique": F.count_distinct,
+FUNCTIONS = {
+    "count": "count({c})",
+    "size": "count(1)",
+    "sum": "coalesce(sum({c}), 0)",
+    "mean": "avg({c})",
+    "min": "min({c})",
+    "max": "max({c})",
+    "std": "stddev_samp({c})",
+    "var": "var_samp({c})",
+    "nunique": "count(distinct {c})",
 }
 
 Spec = list[tuple[str, str]]
 
 
+def stat(fn: str, column: str) -> Column:
+    """One statistic of a column as an aggregate expression."""
+    return F.expr(FUNCTIONS[fn].format(c=quoted(column)))
+
+
 def read_spec(text: str) -> Spec:
     """Read a feature map written as lines of ``column | fn fn ...``."""
     spec = []
@@ -43,7 +48,7 @@ def feature_name(prefix: str, fn: str, column: str) -> str:
 
 def compile_spec(spec: Spec, prefix: str = "") -> list[Column]:
     """The aggregate expressions of a feature map, under their feature names."""
-    return [FUNCTIONS[fn](named(c)).alias(feature_name(prefix, fn, c)) for c, fn in spec]
+    return [stat(fn, c).alias(feature_name(prefix, fn, c)) for c, fn in spec]
 
 
 def aggregate(child: DataFrame, key: str, spec: Spec, prefix: str = "", size_as: str | None = None) -> DataFrame:
@@ -63,56 +68,70 @@ def group_stat(df: DataFrame, by: Sequence[str] | str, target: str, fn: str, nam
     """
     by = [by] if isinstance(by, str) else list(by)
     present = df.dropna(subset=by) if by else df
-    stats = present.groupBy(*by).agg(FUNCTIONS[fn](named(target)).alias(name))
+    stats = present.groupBy(*by).agg(stat(fn, target).alias(name))
     return attach(df, stats, by) if merge else stats
 
 
 @dataclass(frozen=True)
 class Slice:
-    """A named subset of the child rows and the features wanted from it."""
+    """A named subset of the child rows and the features wanted from it.
+
+    ``extra`` holds further aggregates under their final names.
+    """
 
     prefix: str
     where: Column | None
     spec: Spec = field(default_factory=list)
+    extra: dict[str, Column] = field(default_factory=dict)
 
 
 def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice]) -> DataFrame:
     """All slices of a child table in one scan; one wide row per key.
 
-    Each row is tagged with the slices it falls into and the tags are exploded,
-    so one partial aggregate on (key, slice) runs before the shuffle and no hot
-    key travels row by row.  A second groupBy on the key packs the at most
-    ``len(slices)`` results of a key into a map; its shuffle also places the
-    result for the join on the key.  A key outside a slice has NULL there.
+    The rows of a key are first brought together by a rebalancing shuffle of the
+    narrow rows.  Each row is then tagged with the slices it falls into, the tags
+    are exploded, and a partial aggregate on (key, slice) runs on the spot; a
+    wide partial result leaves a task once per key and slice, not once per row.
+    Rebalancing goes by a hash of the key, which the aggregate does not take for
+    its own partitioning, so adaptive execution may split the partition of a hot
+    key over many tasks and their partial results still meet in the next shuffle.
+
+    A second groupBy on the key packs the at most ``len(slices)`` results of a
+    key into a map; its shuffle also places the result for the join on the key.
+    A key outside a slice has NULL there.
     """
-    union: Spec = []
+    wanted: dict[tuple | str, Column | None] = {}
     for s in slices:
-        union += [f for f in s.spec if f not in union]
+        wanted |= {(c, fn): None for c, fn in s.spec} | s.extra
+    position = {feature: f"f{j}" for j, feature in enumerate(wanted)}
 
     tags = F.array_compact(
         F.array(*[F.when(_holds(s), F.lit(i)).cast("int") for i, s in enumerate(slices)])
     )
-    wanted = list(dict.fromkeys([key] + [c for c, _ in union]))
+    near = child.where(named(key).isNotNull()).withColumn("_place", F.xxhash64(named(key)))
     stats = (
-        child.where(named(key).isNotNull())
-        .select(*[named(c) for c in wanted], F.explode(tags).alias("_slice"))
+        near.hint("rebalance", F.col("_place"))
+        .withColumn("_slice", F.explode(tags))
         .groupBy(key, "_slice")
-        .agg(*compile_spec(union))
+        .agg(
+            *[
+                (stat(feature[1], feature[0]) if column is None else column).alias(position[feature])
+                for feature, column in wanted.items()
+            ]
+        )
     )
-    values = F.struct(*[named(feature_name("", fn, c)).alias(f"f{j}") for j, (c, fn) in enumerate(union)])
-    packed = stats.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_slice", values))).alias("_all"))
-    wide = packed.select(
-        named(key), *[F.try_element_at("_all", F.lit(i)).alias(f"_s{i}") for i in range(len(slices))]
+    packed = stats.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("_slice", F.struct(*position.values())))).alias("_all")
     )
-    position = {f: j for j, f in enumerate(union)}
-    return wide.select(
-        named(key),
-        *[
-            F.col(f"_s{i}.f{position[(c, fn)]}").alias(feature_name(s.prefix, fn, c))
-            for i, s in enumerate(slices)
-            for c, fn in s.spec
-        ],
+    wide = packed.selectExpr(
+        quoted(key), *[f"try_element_at(_all, {i}) as _s{i}" for i in range(len(slices))]
     )
+    # plain text keeps building several hundred columns cheap
+    out = [quoted(key)]
+    for i, s in enumerate(slices):
+        names = {(c, fn): feature_name(s.prefix, fn, c) for c, fn in s.spec} | {e: e for e in s.extra}
+        out += [f"_s{i}.{position[f]} as {quoted(name)}" for f, name in names.items()]
+    return wide.selectExpr(*out)
 
 
 def aggregate_slices_by_join(child: DataFrame, base: DataFrame, key: str, slices: Sequence[Slice]) -> DataFrame:

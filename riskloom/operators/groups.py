@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import flag, named, ratio
-from riskloom.operators.joins import attach
+from riskloom.operators.joins import attach_small
 
 # Accuracy asked of the quantile summary, and how many of its rank errors the
 # bracket around the median leaves on each side.
@@ -40,7 +40,7 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
     )
     zone = F.when(F.col("_x") < F.col("_b")[0], -1).when(F.col("_x") > F.col("_b")[1], 1).otherwise(0)
     counted = (
-        rows.join(brackets, ["_g", "_t"])
+        attach_small(rows, brackets, ["_g", "_t"], how="inner")
         .select("_g", "_t", zone.alias("_zone"), "_x")
         .groupBy("_g", "_t", "_zone", F.when(F.col("_zone") == 0, F.col("_x")).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -79,7 +79,7 @@ def relative_to_median(df: DataFrame, by: str, targets: dict[str, str]) -> DataF
     ``targets`` maps a column to the name of its relative value.
     """
     medians = {c: f"_median_{i}" for i, c in enumerate(targets)}
-    out = attach(df, medians_by(df, by, medians), by)
+    out = attach_small(df, medians_by(df, by, medians), by)
     out = out.withColumns({name: ratio(c, medians[c]) for c, name in targets.items()})
     return out.drop(*medians.values())
 
@@ -94,30 +94,46 @@ def fill_with_mean(df: DataFrame, column: str, fit_on: Column | None = None) ->
     return df.withColumn(column, F.coalesce(named(column), mean))
 
 
-def pooled_group_mean(
-    current: DataFrame, earlier: DataFrame, key: str, by: Sequence[str], targets: Sequence[str], postfix: str
-) -> DataFrame:
-    """Compare each current row with its group's mean over current and earlier rows.
+def group_means(pool: DataFrame, groupings: dict[str, str], shared: str, targets: Sequence[str]) -> DataFrame:
+    """Means per (grouping column, shared column) for several grouping columns in one pass.
 
-    Gives, per target, ``<target>_BY_<postfix>`` with ``_RATIO`` and ``_DIFF``,
-    one row per key.
+    ``groupings`` maps a postfix to its grouping column.  Gives rows
+    ``_postfix, _group, <shared>, <targets>``.
     """
-    columns = [*by, *targets]
+    kinds = F.array(
+        *[F.struct(F.lit(p).alias("p"), named(c).cast("string").alias("g")) for p, c in groupings.items()]
+    )
+    rows = pool.select(F.inline(kinds).alias("_postfix", "_group"), named(shared), *[named(t) for t in targets])
+    return rows.dropna(subset=["_group", shared]).groupBy("_postfix", "_group", shared).agg(
+        *[F.avg(named(t)).alias(t) for t in targets]
+    )
+
+
+def against_means(
+    rows: DataFrame, means: DataFrame, groupings: dict[str, str], shared: str, targets: Sequence[str]
+) -> DataFrame:
+    """Add ``<target>_BY_<postfix>`` with ``_RATIO`` and ``_DIFF`` from :func:`group_means`."""
+    out = rows
+    for postfix, column in groupings.items():
+        own = means.where(F.col("_postfix") == postfix).select(
+            F.col("_group").alias(column), named(shared), *[named(t).alias(f"{t}_BY_{postfix}") for t in targets]
+        )
+        out = attach_small(out, own, [column, shared])
+        for t in targets:
+            base = f"{t}_BY_{postfix}"
+            out = out.withColumns({base + "_RATIO": ratio(t, base), base + "_DIFF": named(t) - named(base)})
+    return out
+
+
+def pooled_group_mean(
+    current: DataFrame, earlier: DataFrame, key: str, groupings: dict[str, str], shared: str, targets: Sequence[str]
+) -> DataFrame:
+    """Compare each current row with its group's mean over current and earlier rows; one row per key."""
+    columns = [*groupings.values(), shared, *targets]
     own = current.select(named(key), *[named(c) for c in columns])
     pool = own.select(*columns).unionByName(earlier.select(*[named(c) for c in columns]))
-    means = pool.dropna(subset=list(by)).groupBy(*by).agg(
-        *[F.avg(named(t)).alias(f"{t}_BY_{postfix}") for t in targets]
-    )
-    joined = attach(own, means, by)
-    out = [named(key)]
-    for t in targets:
-        base = f"{t}_BY_{postfix}"
-        out += [
-            named(base),
-            ratio(t, base).alias(base + "_RATIO"),
-            (named(t) - named(base)).alias(base + "_DIFF"),
-        ]
-    return joined.select(*out)
+    out = against_means(own, group_means(pool, groupings, shared, targets), groupings, shared, targets)
+    return out.drop(*columns)
 
 
 def mean_by_type(df: DataFrame, key: str, type_column: str, types: dict[str | None, str], targets: dict[str, str]) -> DataFrame:
@@ -139,7 +155,7 @@ def target_mean(df: DataFrame, by: str, target: str, name: str, fit_on: Column |
     """Replace a category by the mean label of its rows; ``fit_on`` keeps folds apart."""
     rows = df if fit_on is None else df.where(fit_on)
     means = rows.where(named(by).isNotNull()).groupBy(by).agg(F.avg(named(target)).alias(name))
-    return attach(df, means, by)
+    return attach_small(df, means, by)
 
 
 def event_rate(df: DataFrame, key: str, event: Column, name: str) -> DataFrame:

@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import named
+from riskloom.functions import named, quoted
+from riskloom.session import computed
+
+
+# A measured lookup is broadcast up to this size (as JSON text, which is larger
+# than the rows in memory).
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def _keys(key: Sequence[str] | str) -> list[str]:
@@ -19,6 +25,21 @@ def attach(base: DataFrame, features: DataFrame, key: Sequence[str] | str) -> Da
     return base.join(features, _keys(key), "left")
 
 
+def attach_small(df: DataFrame, lookup: DataFrame, key: Sequence[str] | str, how: str = "left") -> DataFrame:
+    """Join a lookup that is expected to be small, such as one row per category.
+
+    The lookup is computed and measured first.  Within the bound it is
+    broadcast, so the rows are not shuffled by a key with few, very unequal
+    values; beyond it a shuffle join runs, where Spark splits hot partitions.
+    """
+    lookup = computed(lookup)
+    text = F.length(F.to_json(F.struct(*[named(c) for c in lookup.columns])))
+    size = lookup.agg(F.coalesce(F.sum(text), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        return df.join(F.broadcast(lookup), _keys(key), how)
+    return df.join(lookup, _keys(key), how)
+
+
 def enrich(child: DataFrame, parent: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Give each child row its parent's attributes.
 
@@ -59,4 +80,4 @@ def add_columns(base: DataFrame, extra: DataFrame, key: str, columns: Sequence[s
     if columns is None:
         columns = [c for c in extra.columns if c not in base.columns]
     columns = [c for c in columns if c != key]
-    return attach(base, extra.select(named(key), *[named(c) for c in columns]), key)
+    return attach(base, extra.selectExpr(quoted(key), *[quoted(c) for c in columns]), key)

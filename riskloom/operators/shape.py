@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import named
+from riskloom.functions import named, quoted
 from riskloom.operators.checks import require_columns
 
 
@@ -22,7 +22,7 @@ def drop_if_present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sorted_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[named(c) for c in sorted(df.columns)])
+    return df.selectExpr(*[quoted(c) for c in sorted(df.columns)])
 
 
 def plain_name(name: str) -> str:

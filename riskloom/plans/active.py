@@ -1,4 +1,4 @@
-"""Loans still running: what the earlier application says about them."""
+"""Loans with what their earlier application says about them."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ YIELD_GROUPS = ["high", "low_normal", "low_action"]
 
 
 def with_application(loans: DataFrame, prev: DataFrame, dates: list[str]) -> DataFrame:
-    """One row per running loan with the attributes of its (raw) earlier application."""
+    """Loans with the attributes of their (raw) earlier application."""
     rows = enrich(loans, prev, "SK_ID_PREV")
     return rows.withColumns(
         {

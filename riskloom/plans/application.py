@@ -21,6 +21,7 @@ BY_OCCUPATION = {
     "AMT_ANNUITY": "REL_AMT_ANNUITY_BY_OCCUPATION",
     "DAYS_BIRTH": "REL_DAYS_BIRTH_BY_OCCUPATION",
 }
+GROUPINGS = {"ORG_CONTRACT": "ORGANIZATION_TYPE", "OCC_CONTRACT": "OCCUPATION_TYPE"}
 POOLED_TARGETS = ["AMT_ANNUITY", "AMT_CREDIT", "AMT_GOODS_PRICE"]
 
 
@@ -90,15 +91,10 @@ def pooled_features(base: DataFrame, prev: DataFrame) -> DataFrame:
     Similar means the same employer type and contract type, and separately the
     same occupation and contract type.
     """
-    groups = ["ORGANIZATION_TYPE", "OCCUPATION_TYPE"]
-    earlier = attach(prev.select(KEY, "NAME_CONTRACT_TYPE", *POOLED_TARGETS), base.select(KEY, *groups), KEY)
-    by_org = pooled_group_mean(
-        base, earlier, KEY, ["ORGANIZATION_TYPE", "NAME_CONTRACT_TYPE"], POOLED_TARGETS, "ORG_CONTRACT"
+    earlier = attach(
+        prev.select(KEY, "NAME_CONTRACT_TYPE", *POOLED_TARGETS), base.select(KEY, *GROUPINGS.values()), KEY
     )
-    by_occ = pooled_group_mean(
-        base, earlier, KEY, ["OCCUPATION_TYPE", "NAME_CONTRACT_TYPE"], POOLED_TARGETS, "OCC_CONTRACT"
-    )
-    return attach(by_org, by_occ, KEY)
+    return pooled_group_mean(base, earlier, KEY, GROUPINGS, "NAME_CONTRACT_TYPE", POOLED_TARGETS)
 
 
 def cross_features(base: DataFrame, prev: DataFrame, narrow: DataFrame | None = None) -> DataFrame:

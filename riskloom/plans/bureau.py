@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import blank_when, code_value, ratio
 from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, read_spec
 from riskloom.operators.groups import median_by
-from riskloom.operators.joins import attach, enrich
+from riskloom.operators.joins import attach_small, enrich
 
 KEY = "SK_ID_CURR"
 
@@ -59,7 +59,7 @@ def credits(bureau: DataFrame) -> DataFrame:
         }
     )
     medians = median_by(b, "CREDIT_TYPE", "AMT_CREDIT_SUM", "MEAN_AMT_CREDIT_BY_CREDIT_TYPE")
-    return attach(b, medians, "CREDIT_TYPE").withColumns(
+    return attach_small(b, medians, "CREDIT_TYPE").withColumns(
         {
             "ENDDATE_DIFF": F.col("DAYS_ENDDATE_FACT") - F.col("DAYS_CREDIT_ENDDATE"),
             "DAYS_CREDIT_PLAN": F.col("DAYS_CREDIT_ENDDATE") - F.col("DAYS_CREDIT"),

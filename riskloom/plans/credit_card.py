@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import blank_when, ratio
-from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, read_spec
+from riskloom.functions import blank_when, flag, ratio
+from riskloom.operators.aggregate import Slice, aggregate_slices, read_spec
 from riskloom.operators.joins import attach
-from riskloom.operators.ordered import active_rows, last_by_min, latest
 from riskloom.plans import active
 
 KEY = "SK_ID_CURR"
 LOAN = "SK_ID_PREV"
 MONTH = "MONTHS_BALANCE"
 DEBT = "SUM(AMT_DEBT_ACTIVE_LOAN_CREDIT)"
+RECENT = -12
 
 # Statistics per source column, over all months and over the last
 # 12 and 6.
@@ -80,31 +80,40 @@ def slices() -> list[Slice]:
     ]
 
 
-def limit_changes(card: DataFrame) -> DataFrame:
-    """The latest known limit over the lowest one, averaged over an applicant's cards."""
-    per_loan = last_by_min(card, LOAN, KEY, MONTH, "AMT_CREDIT_LIMIT_ACTUAL", "CREDIT_LIMIT_LAST_BY_MIN")
-    return aggregate(per_loan, KEY, [("CREDIT_LIMIT_LAST_BY_MIN", "mean")], "credit_prev_")
+def loan_states(card: DataFrame) -> DataFrame:
+    """One row per card from one pass over the months.
 
-
-def running_loans(card: DataFrame, prev: DataFrame) -> DataFrame:
-    """Active cards with the balance of their latest month."""
-    rows = active_rows(card, LOAN, MONTH, "NAME_CONTRACT_STATUS")
-    last = rows.groupBy(LOAN).agg(latest(MONTH, ["AMT_BALANCE", KEY]).alias("_last"))
-    loans = last.select(
+    The latest known limit over the lowest one; the latest balance; whether the
+    card is still in use.
+    """
+    limit = F.col("AMT_CREDIT_LIMIT_ACTUAL")
+    ends = card.where(F.col(LOAN).isNotNull()).groupBy(LOAN).agg(
+        F.max(F.struct(MONTH, "AMT_BALANCE", KEY)).alias("last"),
+        F.max(F.when(limit.isNotNull(), F.struct(MONTH, limit.alias("limit")))).alias("known"),
+        F.min(limit).alias("lowest"),
+        F.max(flag(F.col("NAME_CONTRACT_STATUS") == "Completed")).alias("completed"),
+    )
+    return ends.select(
         LOAN,
-        F.col("_last")[KEY].alias(KEY),
-        F.col("_last")["AMT_BALANCE"].alias("AMT_CREDIT_SUM_DEBT_CREDIT"),
+        F.col("last")[KEY].alias(KEY),
+        F.col("last")["AMT_BALANCE"].alias("AMT_CREDIT_SUM_DEBT_CREDIT"),
+        ratio(F.col("known")["limit"], "lowest").alias("CREDIT_LIMIT_LAST_BY_MIN"),
+        ((F.col("completed") == 0) & (F.col("last")[MONTH] >= RECENT)).alias("is_active"),
     )
-    return active.with_application(loans, prev, ["DAYS_FIRST_DUE"])
 
 
-def active_features(card: DataFrame, prev: DataFrame) -> DataFrame:
-    return aggregate(running_loans(card, prev), KEY, ACTIVE_STATS, "credit_active_").withColumnRenamed(
-        "credit_active_sum(AMT_CREDIT_SUM_DEBT_CREDIT)", DEBT
-    )
+def loan_features(card: DataFrame, prev: DataFrame) -> DataFrame:
+    """Per applicant: changes of limits, and totals over the cards in use."""
+    slices = [
+        Slice("credit_prev_", None, [("CREDIT_LIMIT_LAST_BY_MIN", "mean")]),
+        Slice("credit_active_", F.col("is_active"), ACTIVE_STATS),
+    ]
+    rows = active.with_application(loan_states(card), prev, ["DAYS_FIRST_DUE"])
+    out = aggregate_slices(rows, KEY, slices)
+    return out.withColumnRenamed("credit_active_sum(AMT_CREDIT_SUM_DEBT_CREDIT)", DEBT)
 
 
 def features(card: DataFrame, prev: DataFrame) -> DataFrame:
     rows = months(card)
     sliced = aggregate_slices(rows, KEY, slices()).withColumnRenamed(f"credit_size({MONTH})", "CC_COUNT")
-    return attach(attach(sliced, limit_changes(rows), KEY), active_features(rows, prev), KEY)
+    return attach(sliced, loan_features(rows, prev), KEY)

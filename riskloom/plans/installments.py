@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import gated, positive_part, ratio
 from riskloom.operators.aggregate import Slice, aggregate_slices, read_spec
-from riskloom.operators.joins import attach, enrich, mark_keys
+from riskloom.operators.joins import attach, enrich
 from riskloom.operators.ordered import attach_group, gap_stats, payment_gaps
 
 KEY = "SK_ID_CURR"
@@ -57,6 +57,12 @@ STATS_180 = read_spec(
 RECENT_GAPS = ("ins365_", "DAYS_ENTRY_PAYMENT_INTERVAL", -365)
 
 
+def loan_kinds(prev: DataFrame, card: DataFrame) -> DataFrame:
+    """Contract type and card flag per loan, in one table so that the payments are joined once."""
+    cards = card.select(LOAN).where(F.col(LOAN).isNotNull()).distinct().withColumn("is_credit", F.lit(1))
+    return prev.select(LOAN, "NAME_CONTRACT_TYPE").join(cards, [LOAN], "full")
+
+
 def payments(installments: DataFrame, prev: DataFrame, card: DataFrame) -> DataFrame:
     """Row-level features of a payment.
 
@@ -65,7 +71,14 @@ def payments(installments: DataFrame, prev: DataFrame, card: DataFrame) -> DataF
     """
     due, paid = F.col("DAYS_INSTALMENT"), F.col("DAYS_ENTRY_PAYMENT")
     amount, asked = F.col("AMT_PAYMENT"), F.col("AMT_INSTALMENT")
-    rows = installments.withColumns({"DPD": positive_part(paid - due), "DBD": positive_part(due - paid)})
+    rows = installments.withColumns(
+        {
+            # a whole number; a floating-point join key would cost an extra shuffle
+            "NUM_INSTALMENT_VERSION": F.col("NUM_INSTALMENT_VERSION").cast("bigint"),
+            "DPD": positive_part(paid - due),
+            "DBD": positive_part(due - paid),
+        }
+    )
     on_time = F.col("DPD") == 0
     rows = attach_group(
         rows,
@@ -74,8 +87,8 @@ def payments(installments: DataFrame, prev: DataFrame, card: DataFrame) -> DataF
         FIRST_PAYMENT=F.min(paid),
         AMT_PAYMENT_SUM_ON_SCHEDULE=F.sum(F.when(on_time, F.coalesce(amount, F.lit(0.0)))),
     )
-    rows = enrich(rows, prev, LOAN, ["NAME_CONTRACT_TYPE"])
-    rows = mark_keys(rows, card, LOAN, "is_credit")
+    rows = enrich(rows, loan_kinds(prev, card), LOAN)
+    rows = rows.withColumn("is_credit", F.coalesce(F.col("is_credit"), F.lit(0)))
     without, with_ = gated("DPD", F.col("FIRST_PAYMENT") < due)
     on_schedule = F.when(on_time, 0).otherwise(1) * F.col("AMT_PAYMENT_SUM_ON_SCHEDULE")
     return rows.withColumns(

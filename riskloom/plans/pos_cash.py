@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import member_flag, ratio
-from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, read_spec
+from riskloom.functions import flag, member_flag, ratio
+from riskloom.operators.aggregate import Slice, aggregate_slices, feature_name, read_spec
 from riskloom.operators.joins import attach
-from riskloom.operators.ordered import active_rows, largest_row, planned_and_actual
 from riskloom.plans import active
 
 KEY = "SK_ID_CURR"
@@ -36,10 +35,14 @@ AHEAD = read_spec(
 )
 AHEAD_RECENT = read_spec(
     """
-    CNT_INSTALMENT_AHEAD       | min max
-    CNT_INSTALMENT_AHEAD_RATIO | mean max
+    RECENT_AHEAD       | min max
+    RECENT_AHEAD_RATIO | mean max
     """
 )
+AHEAD_NAMES = {
+    "RECENT_AHEAD": "CNT_INSTALMENT_AHEAD",
+    "RECENT_AHEAD_RATIO": "CNT_INSTALMENT_AHEAD_RATIO",
+}
 ACTIVE_STATS = read_spec(
     """
     DAYS_LAST_DUE_1ST_VERSION   | mean
@@ -72,26 +75,44 @@ def slices() -> list[Slice]:
     return [Slice("pos_", None, STATS), Slice("pos12_", F.col(MONTH) >= RECENT, STATS)]
 
 
-def ahead(pos: DataFrame) -> DataFrame:
-    """How much of the plan was cut short, over all months and over the recent ones.
+def loan_states(pos: DataFrame) -> DataFrame:
+    """One row per loan from one pass over the months.
 
-    Only applicants with any month get a row, so the recent part joins to the full one.
+    Planned (oldest) and actual (latest) number of instalments, over all months
+    and over the recent ones; whether the loan is still running; how many
+    instalments are left.
     """
-    full = planned_and_actual(pos, LOAN, KEY, MONTH, "CNT_INSTALMENT")
-    recent = planned_and_actual(pos.where(F.col(MONTH) >= RECENT), LOAN, KEY, MONTH, "CNT_INSTALMENT")
-    return attach(
-        aggregate(full, KEY, AHEAD, "pos_"), aggregate(recent, KEY, AHEAD_RECENT, "pos12_"), KEY
+    value = "CNT_INSTALMENT"
+    row = F.struct(MONTH, value, KEY)
+    recent = F.when(F.col(MONTH) >= RECENT, row)
+    ends = pos.where(F.col(LOAN).isNotNull()).groupBy(LOAN).agg(
+        F.min(row).alias("first"),
+        F.max(row).alias("last"),
+        F.min(recent).alias("first12"),
+        F.max(recent).alias("last12"),
+        F.min("CNT_INSTALMENT_FUTURE").alias("CNT_INSTALMENT_FUTURE"),
+        F.max(flag(F.col("NAME_CONTRACT_STATUS") == "Completed")).alias("completed"),
+    )
+    return ends.select(
+        LOAN,
+        F.col("last")[KEY].alias(KEY),
+        "CNT_INSTALMENT_FUTURE",
+        F.col("first12").isNotNull().alias("is_recent"),
+        ((F.col("completed") == 0) & (F.col("last")[MONTH] >= RECENT)).alias("is_active"),
+        *_ahead("first", "last", value, "CNT_INSTALMENT_AHEAD"),
+        *_ahead("first12", "last12", value, "RECENT_AHEAD"),
     )
 
 
-def running_loans(pos: DataFrame, prev: DataFrame) -> DataFrame:
-    """Active loans with their debt: the annuity times the instalments still to come."""
-    rows = active_rows(pos, LOAN, MONTH, "NAME_CONTRACT_STATUS", RECENT)
-    loans = rows.groupBy(LOAN).agg(
-        F.min(KEY).alias(KEY), F.min("CNT_INSTALMENT_FUTURE").alias("CNT_INSTALMENT_FUTURE")
-    )
-    loans = active.with_application(loans, prev, ["DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION"])
-    return loans.withColumns(
+def _ahead(first: str, last: str, value: str, name: str) -> list[Column]:
+    planned, actual = F.col(first)[value], F.col(last)[value]
+    return [(planned - actual).alias(name), ratio(actual, planned).alias(f"{name}_RATIO")]
+
+
+def loans(pos: DataFrame, prev: DataFrame) -> DataFrame:
+    """Loan states with the earlier application and, for the debt, its annuity."""
+    rows = active.with_application(loan_states(pos), prev, ["DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION"])
+    return rows.withColumns(
         {
             "AMT_CREDIT_SUM_DEBT_POS": F.col("AMT_ANNUITY") * F.col("CNT_INSTALMENT_FUTURE"),
             "CREDIT_TO_GOODS_RATIO": ratio("AMT_GOODS_PRICE", "AMT_CREDIT"),
@@ -99,16 +120,21 @@ def running_loans(pos: DataFrame, prev: DataFrame) -> DataFrame:
     )
 
 
-def active_features(pos: DataFrame, prev: DataFrame) -> DataFrame:
-    """Totals over an applicant's running loans, and the one with the largest annuity."""
-    loans = running_loans(pos, prev)
-    totals = aggregate(loans, KEY, ACTIVE_STATS, "pos_active_").withColumnRenamed(
-        "pos_active_sum(AMT_CREDIT_SUM_DEBT_POS)", DEBT
-    )
-    best = largest_row(loans, KEY, "AMT_ANNUITY", LOAN, REPRESENTATIVE)
-    return attach(totals, best.withColumnsRenamed({c: "p" + c for c in REPRESENTATIVE}), KEY)
+def loan_features(pos: DataFrame, prev: DataFrame) -> DataFrame:
+    """Per applicant: plans cut short, totals over running loans, and the running
+    loan with the largest annuity."""
+    best = F.max(F.struct(F.col("AMT_ANNUITY").alias("_by"), LOAN, *REPRESENTATIVE))
+    slices = [
+        Slice("pos_", None, AHEAD),
+        Slice("pos12_", F.col("is_recent"), AHEAD_RECENT),
+        Slice("pos_active_", F.col("is_active"), ACTIVE_STATS, {"_best": best}),
+    ]
+    out = aggregate_slices(loans(pos, prev), KEY, slices)
+    names = {feature_name("pos12_", fn, c): feature_name("pos12_", fn, AHEAD_NAMES[c]) for c, fn in AHEAD_RECENT}
+    names[feature_name("pos_active_", "sum", "AMT_CREDIT_SUM_DEBT_POS")] = DEBT
+    out = out.withColumnsRenamed(names)
+    return out.select("*", *[F.col("_best")[c].alias("p" + c) for c in REPRESENTATIVE]).drop("_best")
 
 
 def features(pos: DataFrame, prev: DataFrame) -> DataFrame:
-    sliced = aggregate_slices(months(pos), KEY, slices())
-    return attach(attach(sliced, ahead(pos), KEY), active_features(pos, prev), KEY)
+    return attach(aggregate_slices(months(pos), KEY, slices()), loan_features(pos, prev), KEY)

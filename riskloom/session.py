@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning: small sides are broadcast only after Spark has measured
 # them, and hot join keys are split even where that costs one more shuffle.
@@ -19,7 +19,7 @@ ADAPTIVE = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the adaptive options the plans rely on; everything else stays the cluster's."""
+    """Set the options the plans rely on; everything else stays the cluster's."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
     return spark
@@ -48,9 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder; on a cluster the
     setting has to be there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -58,3 +56,15 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="riskloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def computed(df: DataFrame) -> DataFrame:
+    """The table computed once and kept in the shared folder; its lineage ends there.
+
+    A lost executor then costs a re-read, and nothing is cached under a plan
+    that could go stale.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
