@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.functions import named
+from riskloom.functions import named, quoted
 from riskloom.session import computed
 
 # Trees send missing values to one side of a split: below every real value.
@@ -35,11 +35,12 @@ class Prepared:
 
         codes = {c: f"c{i}" for i, c in enumerate(texts)}
         numbers = [
-            F.coalesce(named(c).cast("double"), F.lit(MISSING)).alias(self._names[c])
+            f"coalesce(cast({quoted(c)} as double), {MISSING}d) as {self._names[c]}"
             for c in self.features
             if c not in codes
         ]
-        table = df.select(*[named(c) for c in held], *[named(c).alias(codes[c]) for c in texts], *numbers)
+        categories = [f"{quoted(c)} as {codes[c]}" for c in texts]
+        table = df.selectExpr(*[quoted(c) for c in held], *categories, *numbers)
         if texts:
             _check_cardinality(df, texts)
             table = table.na.fill("", subset=list(codes.values()))

@@ -14,9 +14,9 @@ from riskloom.operators.shape import sorted_columns
 class Cache:
     """Named intermediate tables in a shared folder, rebuilt only when asked.
 
-    ``refresh`` is "all", or a collection of names to rebuild; everything else
-    is read back.  Reading back also cuts the lineage, so a lost executor costs
-    a re-read and not a rebuild of the whole chain.
+    ``refresh`` is "all", or the names to rebuild (a collection, or one text that
+    contains them); everything else is read back.  Reading back also cuts the
+    lineage, so a lost executor costs a re-read and not a rebuild of the chain.
     """
 
     def __init__(self, spark: SparkSession, folder: str, refresh: str | Sequence[str] = "all"):
@@ -28,10 +28,7 @@ class Cache:
         return f"{self.folder}/{name}.parquet"
 
     def _wanted(self, name: str) -> bool:
-        if self.refresh == "all":
-            return True
-        names = [self.refresh] if isinstance(self.refresh, str) else self.refresh
-        return any(n == name for n in names)
+        return self.refresh == "all" or name in self.refresh
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if self._wanted(name):

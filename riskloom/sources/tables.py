@@ -1,7 +1,7 @@
 """The seven input tables and how they are read.
 
-Schemas are declared, so a read never infers; extra columns in a file are read
-only when a caller names them.  NaN becomes NULL here and nowhere else.
+Column types are declared.  Columns a plan does not touch are pruned from the scan
+by Catalyst.  NaN becomes NULL here and nowhere else.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.functions import without_nan
+from riskloom.functions import quoted, without_nan
+from riskloom.operators.checks import require_columns
 
 # Column names and types of the input tables.
 SCHEMAS: dict[str, str] = {
@@ -81,10 +82,17 @@ class Tables:
     credit_card_balance: DataFrame
 
 
-def read_table(spark: SparkSession, folder: str, name: str, extra: str = "") -> DataFrame:
-    """One table from ``<folder>/<name>.parquet``; ``extra`` declares further columns to read."""
-    schema = SCHEMAS[name] + (f", {extra}" if extra else "")
-    return without_nan(spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table from ``<folder>/<name>.parquet``.
+
+    Declared columns have to be there and get their declared types; further
+    columns pass through, so an application keeps all of its attributes.
+    """
+    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    declared = dict(c.split() for c in SCHEMAS[name].split(","))
+    require_columns(df, declared)
+    typed = [f"cast({quoted(c)} as {declared[c]}) as {quoted(c)}" if c in declared else quoted(c) for c in df.columns]
+    return without_nan(df).selectExpr(*typed)
 
 
 def read_tables(spark: SparkSession, folder: str) -> Tables:
