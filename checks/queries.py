@@ -14,11 +14,11 @@ from riskloom.functions import (
 )
 from riskloom.models import stacked
 from riskloom.models.auc import auc
-from riskloom.models.folds import fold_of, with_folds
+from riskloom.models.folds import fold_of, labelled, unlabelled, with_folds
 from riskloom.models.prepare import Prepared
 from riskloom.models.select import backward, forward
 from riskloom.models.train import bag_seeds, cross_validate, grid_search, mean_importance
-from riskloom.operators import groups, joins, ordered, shape
+from riskloom.operators import checks, groups, joins, ordered, shape
 from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, group_stat, read_spec
 from riskloom.plans import application, bureau, credit_card, installments, matrix, pos_cash, previous
 from riskloom.plans.feature_sets import SETS
@@ -304,6 +304,17 @@ def joined_predictions(spark, folder):
     return joins.add_columns(customers, predictions, "c_custkey")
 
 
+@query(
+    """select c_custkey, c_mktsegment, n_orders from customer left join
+    (select o_custkey as c_custkey, count(o_orderkey) as n_orders from orders group by 1) o using (c_custkey)"""
+)
+def checked_columns(spark, folder):
+    customers = raw(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+    counts = aggregate(raw(spark, folder, "orders"), "o_custkey", [("o_orderkey", "count")]).toDF("c_custkey", "n_orders")
+    side_file = joins.attach(customers.select("c_custkey"), counts, "c_custkey")
+    return joins.add_columns(customers, checks.require_rows(side_file, customers.count()), "c_custkey")
+
+
 # ---------------------------------------------------------------- aggregates
 
 
@@ -641,6 +652,25 @@ def folds(spark, folder):
     return docs.select("doc_id", "fold", fold_of("source").alias("source_fold"))
 
 
+@query(
+    f"""with d as {LABELLED},
+    langs as (select lang, row_number() over (order by count(*) desc, lang) - 1 as code from d group by 1),
+    sources as (select source, row_number() over (order by count(*) desc, source) - 1 as code from d group by 1)
+    select doc_id, quality, cast(l.code as double) as lang, cast(s.code as double) as source, cast(n_chars as double) as n_chars,
+    coalesce(cast(toxic as double), -1e9) as toxic
+    from d join langs l on l.lang = d.lang join sources s on s.source = d.source"""
+)
+def category_codes(spark, folder):
+    return Prepared(_labelled_documents(spark, folder), "doc_id", "quality").columns()
+
+
+@query(f"select doc_id, quality is not null as is_labelled from {LABELLED} d")
+def label_split(spark, folder):
+    docs = _labelled_documents(spark, folder)
+    known = labelled(docs, "quality").select("doc_id", F.lit(True).alias("is_labelled"))
+    return known.unionByName(unlabelled(docs, "quality").select("doc_id", F.lit(False).alias("is_labelled")))
+
+
 AUC_SQL = """select {by} round((sum(case when quality = 1 then r end) - p * (p + 1) / 2) / (p * n), 9) + 0 as auc from (
     select fold, quality, avg(rn) over (partition by {part} n_chars) as r,
       sum(case when quality = 1 then 1e0 else 0 end) over ({whole}) as p, sum(case when quality = 0 then 1e0 else 0 end) over ({whole}) as n

@@ -63,6 +63,7 @@ def train_and_predict(
     if result.auc is not None:
         metrics["auc"] = result.auc
     log_metrics(spark, f"{out}/metrics.parquet", name, metrics, note=str(params))
+    data.release()
     return result
 
 

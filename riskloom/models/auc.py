@@ -20,23 +20,27 @@ def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFra
     before it are added, so no task sees more than one range.  A group with
     only one class has a NULL result.
     """
-    group = named(by) if by else F.lit(0)
+    group = ["_g"] if by else []
     rows = df.where(named(label).isNotNull() & named(score).isNotNull())
-    counts = rows.groupBy(group.alias("_g"), named(score).cast("double").alias("_s")).agg(
+    if by:
+        rows = rows.withColumn("_g", named(by))
+    counts = rows.groupBy(*group, named(score).cast("double").alias("_s")).agg(
         F.sum((named(label) == 1).cast("bigint")).alias("_pos"),
         F.sum((named(label) != 1).cast("bigint")).alias("_neg"),
     )
-    steps = [i / RANGES for i in range(1, RANGES)]
-    cuts = counts.groupBy("_g").agg(F.percentile_approx("_s", steps).alias("_cuts"))
-    ranged = attach_small(counts, cuts, "_g", how="inner").select(
-        "_g", "_s", "_pos", "_neg",
-        F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_range"),
+    cuts = F.percentile_approx("_s", [i / RANGES for i in range(1, RANGES)]).alias("_cuts")
+    if by:
+        ranged = attach_small(counts, counts.groupBy("_g").agg(cuts), "_g", how="inner")
+    else:
+        ranged = counts.withColumn("_cuts", counts.select(cuts).scalar())
+    ranged = ranged.select(
+        *group, "_s", "_pos", "_neg", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_range")
     )
-    inside = Window.partitionBy("_g", "_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group, "_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0))
     ranges = (
         ranged.withColumn("_below", below)
-        .groupBy("_g", "_range")
+        .groupBy(*group, "_range")
         .agg(
             F.sum(F.col("_pos").cast("double") * (2 * F.col("_below") + F.col("_neg"))).alias("_twice"),
             F.sum("_pos").alias("_pos"),
@@ -44,11 +48,11 @@ def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFra
         )
     )
     # at most RANGES rows per group from here on
-    before = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_neg").over(before), F.lit(0))
     total = (
         ranges.withColumn("_before", offset)
-        .groupBy("_g")
+        .groupBy(*group)
         .agg(
             F.sum(F.col("_twice") + 2.0 * F.col("_pos") * F.col("_before")).alias("_twice"),
             F.sum("_pos").alias("_pos"),

@@ -60,6 +60,10 @@ class Prepared:
         out = VectorAssembler(inputCols=inputs, outputCol="features").transform(self.table)
         return out.drop(*self._names.values())
 
+    def columns(self) -> DataFrame:
+        """The table with its inputs under their own names."""
+        return self.table.withColumnsRenamed({x: c for c, x in self._names.items()})
+
     def release(self) -> None:
         self.table.unpersist()
 

@@ -20,6 +20,7 @@ from riskloom.operators.groups import against_means, correlation, event_label, g
 from riskloom.operators.joins import attach, override_columns
 from riskloom.plans.application import GROUPINGS, KEY, basic_features
 from riskloom.plans.dropped import STRICT
+from riskloom.session import computed
 
 LOAN = "SK_ID_PREV"
 LABEL = "delay"
@@ -86,7 +87,11 @@ def stacked_feature(
     rows = with_folds(model_rows(app, prev, labels, hook), KEY if by_applicant else "_row", k, seed)
     data = Prepared(rows, "_row", LABEL, keep=[KEY, "fold"], drop=["TARGET", *UNUSED])
     scored = cross_validate(data, params, k).unlabelled
-    return scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), F.col("prediction").alias(name))
+    out = computed(
+        scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), F.col("prediction").alias(name))
+    )
+    data.release()
+    return out
 
 
 def agreement(app: DataFrame, predicted: DataFrame, name: str) -> DataFrame:

@@ -34,6 +34,7 @@ def local_session(cores: str = "8", app: str = "riskloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")  # small data, few cores
     )
     for name, value in ADAPTIVE.items():
         builder = builder.config(name, value)
@@ -53,9 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="riskloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="riskloom-")
 
 
 def computed(df: DataFrame) -> DataFrame:
