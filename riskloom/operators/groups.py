@@ -9,22 +9,27 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import flag, named, ratio
 from riskloom.operators.joins import attach_small
+from riskloom.session import computed
 
-# Accuracy asked of the quantile summary, and how many of its rank errors the
-# bracket around the median leaves on each side.
+# Accuracy asked of the quantile summary, how many of its rank errors the bracket
+# around the median leaves on each side, and how many rows of one group may lie
+# inside the bracket before it is narrowed.
 QUANTILE_ACCURACY = 10_000
 BRACKET_ERRORS = 4
+BRACKET_ROWS = 5_000_000
+CUTS = 100
 
 
 def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
     """Exact interpolated medians per group, without gathering a group in memory.
 
-    ``targets`` maps columns to output names; all of them share the two passes.
-    A mergeable quantile summary brackets the middle of every group to a small
-    fraction of its rows.  The second pass counts what lies below the bracket
-    and keeps distinct values, with their counts, only inside it; the running
-    count over those picks the one or two middle values.  Should a bracket ever
-    miss the middle the query fails instead of returning a neighbour.
+    ``targets`` maps columns to output names; all of them share the passes.  A
+    mergeable quantile summary brackets the middle of every group to a small
+    fraction of its rows, once more for groups so large that even this fraction
+    is big.  The last pass counts what lies below the bracket and keeps distinct
+    values, with their counts, only inside it; the running count over those picks
+    the one or two middle values.  Should a bracket ever miss the middle the query
+    fails instead of returning a neighbour.
     """
     pairs = F.array(
         *[F.struct(F.lit(i).alias("t"), named(c).cast("double").alias("x")) for i, c in enumerate(targets)]
@@ -34,23 +39,16 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
         .select(named(by).alias("_g"), F.inline(pairs).alias("_t", "_x"))
         .where(F.col("_x").isNotNull())
     )
-    margin = BRACKET_ERRORS / QUANTILE_ACCURACY
-    brackets = rows.groupBy("_g", "_t").agg(
-        F.percentile_approx("_x", [0.5 - margin, 0.5 + margin], QUANTILE_ACCURACY).alias("_b")
-    )
-    zone = F.when(F.col("_x") < F.col("_b")[0], -1).when(F.col("_x") > F.col("_b")[1], 1).otherwise(0)
     counted = (
-        attach_small(rows, brackets, ["_g", "_t"], how="inner")
-        .select("_g", "_t", zone.alias("_zone"), "_x")
+        attach_small(rows, _brackets(rows), ["_g", "_t"], how="inner", ready=True)
+        .select("_g", "_t", _zone(F.col("_x")).alias("_zone"), "_x")
         .groupBy("_g", "_t", "_zone", F.when(F.col("_zone") == 0, F.col("_x")).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     within = Window.partitionBy("_g", "_t")
     running = within.orderBy("_zone", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.withColumns({"_upto": F.sum("_n").over(running), "_all": F.sum("_n").over(within)})
-    # 1-based ranks of the two middle rows; they coincide for an odd count
-    low = F.floor((F.col("_all") + 1) / 2)
-    high = F.floor((F.col("_all") + 2) / 2)
+    low, high = _middle_ranks(F.col("_all"))
 
     def holds(rank: Column) -> Column:
         return (F.col("_zone") == 0) & (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n"))
@@ -69,6 +67,50 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
     )
 
 
+def _middle_ranks(n: Column) -> tuple[Column, Column]:
+    """1-based ranks of the two middle rows; they coincide for an odd count."""
+    return F.floor((n + 1) / 2), F.floor((n + 2) / 2)
+
+
+def _zone(x: Column) -> Column:
+    """Below, inside or above the bracket of the row's group."""
+    return F.when(x < F.col("_from"), -1).when(x > F.col("_to"), 1).otherwise(0)
+
+
+def _brackets(rows: DataFrame) -> DataFrame:
+    """Per group, two values with the middle between them; one row per group."""
+    margin = BRACKET_ERRORS / QUANTILE_ACCURACY
+    ends = F.percentile_approx("_x", [0.5 - margin, 0.5 + margin], QUANTILE_ACCURACY)
+    found = rows.groupBy("_g", "_t").agg(ends.alias("_b"), F.count(F.lit(1)).alias("_n"))
+    found = computed(found.select("_g", "_t", F.col("_b")[0].alias("_from"), F.col("_b")[1].alias("_to"), "_n"))
+    largest = found.agg(F.max("_n")).first()[0] or 0
+    inside = largest * 2 * (BRACKET_ERRORS + 1) / QUANTILE_ACCURACY
+    while inside > BRACKET_ROWS:
+        found = computed(_narrowed(rows, found))
+        inside *= 6 / CUTS
+    return found.drop("_n")
+
+
+def _narrowed(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    """Each bracket cut into hundredths, keeping the few around the middle."""
+    zone, x = _zone(F.col("_x")), F.col("_x")
+    stats = attach_small(rows, brackets, ["_g", "_t"], how="inner", ready=True).groupBy("_g", "_t", "_from", "_to", "_n").agg(
+        F.count(F.when(zone < 0, 1)).alias("_below"),
+        F.count(F.when(zone == 0, 1)).alias("_inside"),
+        F.percentile_approx(F.when(zone == 0, x), [j / CUTS for j in range(1, CUTS)], QUANTILE_ACCURACY).alias("_c"),
+    )
+    low, high = _middle_ranks(F.col("_n"))
+    first = (F.floor(CUTS * (low - F.col("_below")) / F.col("_inside")) - 2).cast("int")
+    last = (F.ceil(CUTS * (high - F.col("_below")) / F.col("_inside")) + 2).cast("int")
+    return stats.select(
+        "_g",
+        "_t",
+        F.when(first >= 1, F.try_element_at("_c", F.greatest(first, F.lit(1)))).otherwise(F.col("_from")).alias("_from"),
+        F.when(last < CUTS, F.try_element_at("_c", F.greatest(last, F.lit(1)))).otherwise(F.col("_to")).alias("_to"),
+        "_n",
+    )
+
+
 def median_by(df: DataFrame, by: str, target: str, name: str) -> DataFrame:
     return medians_by(df, by, {target: name})
 

@@ -25,14 +25,16 @@ def attach(base: DataFrame, features: DataFrame, key: Sequence[str] | str) -> Da
     return base.join(features, _keys(key), "left")
 
 
-def attach_small(df: DataFrame, lookup: DataFrame, key: Sequence[str] | str, how: str = "left") -> DataFrame:
+def attach_small(
+    df: DataFrame, lookup: DataFrame, key: Sequence[str] | str, how: str = "left", ready: bool = False
+) -> DataFrame:
     """Join a lookup that is expected to be small, such as one row per category.
 
-    The lookup is computed and measured first.  Within the bound it is
+    The lookup is computed (unless ``ready``) and measured first.  Within the bound it is
     broadcast, so the rows are not shuffled by a key with few, very unequal
     values; beyond it a shuffle join runs, where Spark splits hot partitions.
     """
-    lookup = computed(lookup)
+    lookup = lookup if ready else computed(lookup)
     text = F.length(F.to_json(F.struct(*[named(c) for c in lookup.columns])))
     size = lookup.agg(F.coalesce(F.sum(text), F.lit(0))).first()[0]
     if size <= BROADCAST_BYTES:

@@ -33,6 +33,20 @@ def test_median_against_brute_force_with_a_hot_group_and_ties(spark, seed):
         assert got[g] == (pytest.approx(statistics.median(want_x[g])), pytest.approx(statistics.median(want_y[g])))
 
 
+@pytest.mark.parametrize("limit", [0.5, 10, 1000])
+def test_median_with_narrowed_brackets(spark, monkeypatch, limit):
+    monkeypatch.setattr(groups, "BRACKET_ROWS", limit)
+    rng = random.Random(limit)
+    data = [("hot" if rng.random() < 0.5 else rng.choice("ab"), rng.choice([rng.gauss(5, 2), 5.0])) for _ in range(30_001)]
+    data += [("tiny", 1.0), ("pair", 1.0), ("pair", 4.0)] + [("same", 3.0)] * 5000
+    df = spark.createDataFrame(data, "g string, x double").repartition(5)
+    want = {}
+    for g, x in data:
+        want.setdefault(g, []).append(x)
+    got = {r["g"]: r["m"] for r in groups.median_by(df, "g", "x", "m").collect()}
+    assert got == {g: pytest.approx(statistics.median(xs)) for g, xs in want.items()}
+
+
 def test_relative_to_median(spark, rows):
     df = spark.createDataFrame([(1, "a", 2.0), (2, "a", 4.0), (3, None, 5.0), (4, "z", 0.0)], "id long, cat string, x double")
     got = rows(groups.relative_to_median(df, "cat", {"x": "rel"}), "id", "rel")
