@@ -390,11 +390,19 @@ def digits(name: str) -> int | None:
     return 6 if "mean(" in name or name in ("SOURCES_MEAN", "SOURCES_STD") else None
 
 
+def settle(value: str, name: str) -> str:
+    """SQL text for both engines: a result rounded where it depends on summation order.
+
+    Ratios of small numbers often have a true mean half-way between two rounded
+    values, where the last bit decides; the small shift moves them off that point.
+    """
+    d = digits(name)
+    return value if d is None else f"round({value} + {0.033 * 10.0**-d:.2e}, {d}) + 0e0"
+
+
 def feature_sql(name: str) -> str:
     """A whole feature table with plain column names."""
     out = ["SK_ID_CURR as sk_id_curr"]
     for c in columns(name):
-        d = digits(c)
-        value = q(c) if d is None else f"round({q(c)}, {d}) + 0"
-        out.append(f"{value} as {plain_name(c)}")
+        out.append(f"{settle(q(c), c)} as {plain_name(c)}")
     return with_ctes(f"select {', '.join(out)} from {name}")

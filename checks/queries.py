@@ -51,12 +51,7 @@ def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
 
 def settled(df: DataFrame) -> DataFrame:
     """Round what depends on summation order and give every column a plain name."""
-    out = []
-    for c in df.columns:
-        d = fs.digits(c)
-        value = quoted(c) if d is None else f"round({quoted(c)}, {d}) + 0d"
-        out.append(f"{value} as {shape.plain_name(c)}")
-    return df.selectExpr(*out)
+    return df.selectExpr(*[f"{fs.settle(quoted(c), c)} as {shape.plain_name(c)}" for c in df.columns])
 
 
 # ---------------------------------------------------------------- feature tables
@@ -326,9 +321,9 @@ def _orders_with_amount(spark, folder) -> DataFrame:
 
 AMOUNT_SPEC = "amount | count sum mean min max std\n days | mean var\n o_orderpriority | nunique"
 AMOUNT_SQL = {
-    "count_amount": "count(amount)", "sum_amount": "coalesce(sum(amount), 0)", "mean_amount": "round(avg(amount), 6) + 0",
-    "min_amount": "min(amount)", "max_amount": "max(amount)", "std_amount": "round(stddev_samp(amount), 3) + 0",
-    "mean_days": "round(avg(days), 6) + 0", "var_days": "round(var_samp(days), 6) + 0",
+    "count_amount": "count(amount)", "sum_amount": "coalesce(sum(amount), 0)", "mean_amount": fs.settle("avg(amount)", "mean(amount)"),
+    "min_amount": "min(amount)", "max_amount": "max(amount)", "std_amount": fs.settle("stddev_samp(amount)", "std(amount)"),
+    "mean_days": fs.settle("avg(days)", "mean(days)"), "var_days": fs.settle("var_samp(days)", "var(days)"),
     "nunique_o_orderpriority": "count(distinct o_orderpriority)",
 }
 
