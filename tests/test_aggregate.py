@@ -83,6 +83,22 @@ def test_one_key_with_a_third_of_the_rows(spark, rows):
     assert rows(a.selectExpr(*columns)) == rows(b.selectExpr(*columns))
 
 
+def test_a_hot_partition_is_split_before_the_wide_aggregate(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(0, 600_000, 1, 12).selectExpr(
+            "if(id % 3 = 0, 0, id % 20000) as k", "id", "if(id % 2 = 0, 'A', 'B') as status",
+            "cast(-(id % 900) as int) as days", "cast(id % 97 as double) as amt",
+        )
+        out = aggregate_slices(df, "k", slices())
+        total = out.agg(F.sum("`all_count(amt)`")).first()[0]
+        out.collect()
+        assert total == 600_000
+        assert "AQEShuffleRead skewed" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+
+
 def test_slices_of_a_partition_add_up(child, rows):
     spec = read_spec("id | count")
     parts = [Slice("a_", F.col("status") == "A", spec), Slice("rest_", ~F.coalesce(F.col("status") == "A", F.lit(False)), spec), Slice("all_", None, spec)]
