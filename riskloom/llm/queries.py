@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import token_count
+from riskloom.llm import token_count, toxicity
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,18 @@ def op2_token_count(spark: SparkSession, folder: str) -> DataFrame:
     tokens = token_count.token_count(spark, F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
     counted = docs.select("doc_id", F.octet_length(whole()).cast("long").alias("n_bytes"), tokens.alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+# ---------------------------------------------------------------- 8: toxicity
+
+REJECT = 0.7
+
+
+@query()
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learned from two of three folds of the labels."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(spark, F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= REJECT, 1).otherwise(0))
