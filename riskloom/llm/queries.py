@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import token_count, toxicity
+from riskloom.llm import licenses, token_count, toxicity
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,41 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(spark, F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= REJECT, 1).otherwise(0))
+
+
+# ---------------------------------------------------------------- 9: license scan
+
+
+def _license_sql() -> str:
+    rows = ", ".join(f"({n}, '{t.label}', {int(t.phrase)}, string_split('{t.text}', ' '))" for n, t in enumerate(licenses.TEMPLATES))
+    slack, share, stretch = licenses.SLACK, licenses.SHARE, licenses.STRETCH
+    return f"""
+with templates(tid, label, phrase, ws) as (values {rows}),
+places as (select tid, i - 1 as there, ws[i] as a, ws[i + 1] as b from (select tid, ws, unnest(range(1, len(ws))) as i from templates)),
+d as (select row_number() over () as rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+pairs as (select rid, i - 1 as here, ws[i] as a, ws[i + 1] as b from (select rid, ws, unnest(range(1, len(ws))) as i from d)),
+votes as (select rid, tid, here - there as diagonal, here from pairs join places using (a, b)),
+diagonals as (select rid, tid, diagonal, list(here) as spots from votes group by all),
+marked as (select *, case when diagonal - lag(diagonal) over w <= case phrase when 1 then 0 else {slack} end then 0 else 1 end as fresh
+  from diagonals join templates using (tid) window w as (partition by rid, tid order by diagonal)),
+numbered as (select *, sum(fresh) over (partition by rid, tid order by diagonal) as span from marked),
+merged as (select rid, tid, label, phrase, len(any_value(ws)) - 1 as pairs, list_distinct(flatten(list(spots))) as spots, min(diagonal) as start
+  from numbered group by rid, tid, label, phrase, span),
+spans as (select *, least(len(spots) / pairs, 1.0) as share, case when phrase = 1 then len(spots) = pairs
+  else len(spots) / pairs >= {share} and list_max(spots) - list_min(spots) + 1 <= {stretch} * pairs end as verified from merged),
+found as (select rid, count(*) filter (verified and phrase = 1) as n_base, min(start) filter (verified and phrase = 1) as first_word,
+  max(start) filter (verified and phrase = 1) as last_word,
+  string_agg(distinct label, ',' order by label) filter (verified and phrase = 1) as base_labels,
+  string_agg(distinct label, ',' order by label) filter (verified) as labels, max(share) as score from spans group by rid)
+select doc_id, len(ws) as n_words, coalesce(n_base, 0) as n_base, cast(first_word as bigint) as first_word,
+  cast(last_word as bigint) as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+  cast(coalesce(score, 0) as double) as score
+from d left join found using (rid)
+"""
+
+
+@query(_license_sql())
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of license phrases and labels of license notices in every document."""
+    return licenses.license_scan(table(spark, folder, "documents"), ["doc_id"])
