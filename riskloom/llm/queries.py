@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import licenses, token_count, toxicity
+from riskloom.llm import licenses, rules, token_count, toxicity
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,44 @@ from d left join found using (rid)
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Places of license phrases and labels of license notices in every document."""
     return licenses.license_scan(table(spark, folder, "documents"), ["doc_id"])
+
+
+# ---------------------------------------------------------------- 10: quality rules
+
+
+def _rules_sql() -> str:
+    value = {
+        "symbols": "symbols * 1000 // greatest(chars, 1)", "dup_lines": "dups * 1000 // greatest(lines, 1)",
+        "repeated": "repeated * 1000 // greatest(n, 1)", "long_words": "chars * 1000 // greatest(n, 1)", "short": "1000 // greatest(n, 1)",
+    }
+    tests = ", ".join(f"('{rule}', {c})" for rule, cs in rules.CUTOFFS.items() for c in cs)
+    risk, per = rules.RISK, rules.ERROR
+    pick = "case rule " + " ".join(f"when '{rule}' then {v}" for rule, v in value.items()) + " end"
+    reject = " or ".join(f"coalesce(({v}) > (select min(cutoff) from safe where safe.stratum = f.stratum and rule = '{rule}'), false)" for rule, v in value.items())
+    return f"""
+with d as (select row_number() over () as rid, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from documents),
+runs as (select rid, i, array_to_string(ws[i:i + 7], ' ') as run from (select rid, ws, unnest(range(1, len(ws) - 6)) as i from d)),
+marks as (select rid, i, count(*) over (partition by rid, run) as c from runs),
+gaps as (select rid, coalesce(least(i - lag(i) over (partition by rid order by i), 8), 8) as more from marks where c > 1),
+again as (select rid, sum(more) as repeated from gaps group by rid),
+f as (select d.rid, doc_id, stratum, len(ws) as n, length(array_to_string(ws, '')) as chars,
+    length(t) - length(translate(t, '{rules.SYMBOLS}', '')) as symbols, len(ls) as lines, len(ls) - len(list_distinct(ls)) as dups,
+    cast(coalesce(repeated, 0) as bigint) as repeated from d left join again using (rid)),
+b as (select *, n < 20 or 100 * repeated > 30 * n as failed from f),
+good as (select b.* from b where not failed and doc_id in (select doc_id from labels where quality = 1)),
+tests(rule, cutoff) as (values {tests}),
+counts as (select stratum, rule, cutoff, count(*) as good, count(*) filter ({pick} > cutoff) as lost from good, tests group by all),
+tails as (select stratum, rule, cutoff, sum(exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1) + i * ln({risk}) + (good - i) * ln(1 - {risk}))) as p
+  from (select *, unnest(range(0, lost + 1)) as i from counts where lost < {risk} * good) group by all),
+safe as (select * from tails where p <= {per} / ({len(rules.CUTOFFS)} * (select count(distinct stratum) from good)))
+select doc_id, n as n_words, chars as word_chars, symbols as n_symbols, dups as n_dup_lines, repeated as n_repeat_words,
+  failed as base_failed, not failed and not ({reject}) as kept from b as f
+"""
+
+
+@query(_rules_sql())
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of every document and whether it passes the base rules and the risk-controlled ones."""
+    return rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
