@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import licenses, rules, token_count, toxicity
+from riskloom.llm import decontaminate, licenses, rules, token_count, toxicity
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,12 @@ select doc_id, n as n_words, chars as word_chars, symbols as n_symbols, dups as
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts of every document and whether it passes the base rules and the risk-controlled ones."""
     return rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# ---------------------------------------------------------------- 3: benchmark decontamination
+
+
+@query()
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The benchmark items found in documents, one row for each document and item; clean documents have none."""
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
