@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
 from riskloom.llm import decontaminate, licenses, rules, token_count, toxicity
+from riskloom.llm.substrings import Repeats
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +195,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """The benchmark items found in documents, one row for each document and item; clean documents have none."""
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+
+
+# ---------------------------------------------------------------- 5: substring dedup
+
+OP5_SQL = """
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+runs as (select doc_id, i, array_to_string(ws[i:i + 19], ' ') as run from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as i from d)),
+later as (select doc_id, i from (select *, row_number() over (partition by run order by doc_id, i) as nth from runs) where nth > 1),
+gone as (select distinct doc_id, i + j as w from later, (select unnest(range(0, 20)) as j)),
+each as (select doc_id, ws[w] as word, w from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as w from d)),
+left_over as (select doc_id, string_agg(word, ' ' order by w) as kept, count(*) as n from each anti join gone using (doc_id, w) group by doc_id)
+select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join left_over using (doc_id)
+"""
+
+
+@query(OP5_SQL)
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that are left after repeated runs of 20 words are removed."""
+    kept = Repeats(table(spark, folder, "documents")).kept()
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
