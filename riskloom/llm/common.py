@@ -110,3 +110,14 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def encoded(texts: pd.Series) -> list[bytes]:
     return [b"" if x is None else bytes(x) for x in texts]
+
+
+#: A lookup is broadcast if its rows, counted, take at most this much; else a shuffle join runs, which Spark can split.
+BROADCAST_BYTES = 16 * 1024 * 1024
+
+
+def joined_small(df: DataFrame, lookup: DataFrame, on: Column, how: str, row_bytes: int = 128) -> DataFrame:
+    """Join a computed lookup of rows of at most ``row_bytes``; it is broadcast only if its count proves it small."""
+    if lookup.count() * row_bytes <= BROADCAST_BYTES:
+        return df.join(F.broadcast(lookup), on, how)
+    return df.join(lookup, on, how)

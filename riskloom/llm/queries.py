@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
 from riskloom.llm import decontaminate, licenses, rules, token_count, toxicity
+from riskloom.llm.near_copies import NearCopies
 from riskloom.llm.substrings import Repeats
 from riskloom.llm.common import table, whole
 
@@ -216,3 +217,13 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that are left after repeated runs of 20 words are removed."""
     kept = Repeats(table(spark, folder, "documents")).kept()
     return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+# ---------------------------------------------------------------- 6: near copies
+
+
+@query()
+def op6_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near copies that every document belongs to."""
+    classes = NearCopies(table(spark, folder, "documents")).classes()
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "first")
