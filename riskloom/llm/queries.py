@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import decontaminate, licenses, rules, token_count, toxicity
+from riskloom.llm import decontaminate, licenses, mixing, quality_model, rules, token_count, toxicity
 from riskloom.llm.near_copies import NearCopies
 from riskloom.llm.substrings import Repeats
 from riskloom.llm.common import table, whole
@@ -227,3 +227,57 @@ def op6_near_copies(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near copies that every document belongs to."""
     classes = NearCopies(table(spark, folder, "documents")).classes()
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "first")
+
+
+# ---------------------------------------------------------------- 4: mixing sources to target weights
+
+
+def _filled_sql(depth: int) -> str:
+    level, parent = mixing.LEVELS[depth], mixing.LEVELS[:depth]
+    keys = "".join(f"{p}, " for p in parent)
+    part = f"partition by {', '.join(parent)}" if parent else ""
+    weights = " ".join(f"when '{v}' then {w}" for v, w in mixing.WEIGHTS[level].items() if v != mixing.OTHER) or "when null then 0"
+    budget = f"join q{depth - 1} using ({', '.join(parent)})" if parent else f"cross join (select cast(floor(sum(tokens) * {mixing.SHARE}) as hugeint) as part from leaves)"
+    return f"""
+n{depth} as (select {keys}{level}, cast(sum(tokens) * {mixing.EPOCHS} as hugeint) as cap, cast(case {level} {weights} else {mixing.WEIGHTS[level][mixing.OTHER]} end as hugeint) as weight
+  from leaves group by all),
+b{depth} as (select n{depth}.*, cast(part as hugeint) as budget from n{depth} {budget}),
+f{depth} as (select *, cap * sum(weight) over (o rows between current row and unbounded following)
+    <= weight * (budget - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0)) as fits
+  from b{depth} window o as ({part} order by cast(cap as double) / cast(weight as double), {level})),
+m{depth} as (select *, bool_and(fits) over ({part} order by cast(cap as double) / cast(weight as double), {level} rows between unbounded preceding and current row) as saturated from f{depth}),
+q{depth} as (select {keys}{level}, cast(least(cap, case when saturated then cap else
+    cast(weight * (budget - coalesce(sum(case when saturated then cap end) over ({part}), 0)) as hugeint) // cast(sum(case when not saturated then weight end) over ({part}) as hugeint) end) as bigint) as part
+  from m{depth})"""
+
+
+OP4_SQL = f"""
+with d as (select doc_id, lang_ as lang, source_ as source, n_tokens,
+    case when regexp_extract(source_, '([0-9]+)$', 1) = '' then '' else {list(mixing.NAMED_DOMAINS)}[cast(right(source_, 1) as int) % 3 + 1] end as domain
+  from (select doc_id, coalesce(lang, '') as lang_, coalesce(source, '') as source_, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_tokens from documents)
+  where n_tokens > 0),
+leaves as (select domain, lang, source, sum(n_tokens) as tokens from d group by all),
+{",".join(_filled_sql(i) for i in range(3))},
+drawn as (select d.*, part // tokens as passes, part % tokens as rest,
+    md5('{mixing.SEED}:' || cast(part // tokens as bigint) || ':' || coalesce(cast(doc_id as varchar), '')) as rank
+  from d join leaves using (domain, lang, source) join q2 using (domain, lang, source)),
+summed as (select *, sum(n_tokens) over (partition by domain, lang, source order by rank, n_tokens) <= rest as more from drawn)
+select doc_id, domain, lang, source, n_tokens, unnest(range(0, cast(passes as bigint) + more::int)) as epoch from summed
+"""
+
+
+@query(OP4_SQL)
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents drawn so that half of all tokens follow the target weights of domains, languages and sources."""
+    return mixing.mixed_sources(table(spark, folder, "documents"))
+
+
+# ---------------------------------------------------------------- 7: quality classifier
+
+
+@query()
+def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, learned from heuristic labellers alone, and whether it is kept."""
+    docs = table(spark, folder, "documents")
+    scored = docs.select("doc_id", quality_model.score(spark, F.col("text"), quality_model.train(docs)).alias("score"))
+    return scored.withColumn("kept", F.col("score") >= 0.5)
