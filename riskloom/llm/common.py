@@ -21,11 +21,16 @@ from riskloom.session import tune
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 #: Characters of text that a task works on at a time; bounds the arrays built from it.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
+
+
+#: Rows that go to a Python worker at a time; texts are long, so that fewer than Spark's default bound its memory.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{folder}/{name}.parquet")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def whole(text: str = "text") -> Column:
@@ -121,3 +126,33 @@ def joined_small(df: DataFrame, lookup: DataFrame, on: Column, how: str, row_byt
     if lookup.count() * row_bytes <= BROADCAST_BYTES:
         return df.join(F.broadcast(lookup), on, how)
     return df.join(lookup, on, how)
+
+
+#: Bits of the set of ids that may be wanted: 8 MB at most, whatever the size of the data.
+FILTER_BITS = 26
+
+
+def id_filter(wanted: DataFrame, who: list[str]):
+    """A function of DataFrames that tells, as a column, whether a row's ids may be among the wanted ones.
+
+    Wanted ids always pass; of others a share that grows with the number wanted.  So rows that fail need no join, and
+    the join remains for the rest.  The filter is one bit for each hash value, of fixed size.
+    """
+    spark = wanted.sparkSession
+
+    def slot() -> Column:
+        return F.pmod(F.xxhash64(*who), F.lit(1 << FILTER_BITS))
+
+    parts = wanted.select((slot() + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for row in parts.toLocalIterator():
+        raw = np.frombuffer(row["bits"], np.uint8)
+        begin = (row["part"] - 1) * len(raw)  # parts are numbered from 1, and so are the slots in them
+        bits[begin : begin + len(raw)] |= raw
+    shared = spark.sparkContext.broadcast(bits)
+
+    def passes(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return F.pandas_udf(passes, "boolean")(slot())

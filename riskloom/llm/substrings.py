@@ -2,7 +2,7 @@
 
 The edges of the graph are the runs of ``WINDOW`` = 20 words.  Writing one row for each would be far too much, so the
 graph is compacted from the start, in the way large assemblies are: consecutive edges of a text whose smallest run of
-``SEED`` words (by hash) is the same form one *piece*, about one for every eight words.  Equal edges have equal seeds, so
+``SEED`` words (by hash) is the same form one *piece*, about one for every seven words.  Equal edges have equal seeds, so
 
 1. pieces whose seed occurs in one piece only cannot repeat; a count and a join drop them;
 2. a seed all of whose pieces have the same words is a path without branches: the pieces stay compact, and all but the
@@ -23,14 +23,17 @@ edge counts only if its source is a different, earlier place with the same seed
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Words, gram_hashes, mixed, powers, slices
+from riskloom.llm.common import Words, gram_hashes, id_filter, mixed, powers, slices
+from riskloom.session import computed
 
-WINDOW, SEED = 20, 5
+WINDOW, SEED = 20, 8
 _BASE = 0xA0761D6478BD642F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -85,26 +88,23 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [x.as_py() for x in batch.column("text")]
 
 
-def _pieces_of(window: int):
+def _rows(batch: pa.RecordBatch, who: list[str], which: np.ndarray, seed: np.ndarray, words: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    values = [pa.array(x.astype(np.int64, copy=False) if x.dtype != np.uint64 else x.view(np.int64)) for x in (seed, words, place)]
+    return pa.RecordBatch.from_arrays([*values[:2], *[batch.column(c).take(pa.array(which)) for c in who], values[2]], names=["seed", "words", *who, "place"])
+
+
+def _pieces_of(window: int, who: list[str]):
     def rows(batches):
         for batch in batches:
             texts = _texts(batch)
             for a, b in slices(texts):
                 p = pieces(Words(texts[a:b]), window)
-                which = pa.array(p["text"] + a)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(p["seed"].view(np.int64)), pa.array(p["words"].view(np.int64)),
-                        batch.column("id").take(which), batch.column("text_key").take(which),
-                        pa.array(p["start"].astype(np.int64) << 32 | p["edges"] << 1 | p["again"]),
-                    ],
-                    names=["seed", "words", "id", "text_key", "place"],
-                )
+                yield _rows(batch, who, p["text"] + a, p["seed"], p["words"], p["start"] << 32 | p["edges"] << 1 | p["again"])
 
     return rows
 
 
-def _edges_of(window: int):
+def _edges_of(window: int, who: list[str]):
     """Single edges of the pieces that a text is to be taken apart at."""
 
     def rows(batches):
@@ -122,14 +122,7 @@ def _edges_of(window: int):
                         place.append((p["place"] >> 32) + np.arange(n))
                 seeds, text, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (seeds, text, place))
                 begin = words.first[text - a] + place
-                which = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(seeds.astype(np.int64)), pa.array(runs.hash(begin, begin + window).view(np.int64)),
-                        batch.column("id").take(which), batch.column("text_key").take(which), pa.array(place.astype(np.int64) << 32 | 2),
-                    ],
-                    names=["seed", "words", "id", "text_key", "place"],
-                )
+                yield _rows(batch, who, text, seeds, runs.hash(begin, begin + window), place << 32 | 2)
 
     return rows
 
@@ -160,49 +153,56 @@ class Repeats:
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW):
         self.window = window
         body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-        self.docs = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
-        self.id_type = self.docs.schema["id"].dataType.simpleString()
-        self.row = f"seed long, words long, id {self.id_type}, text_key long, place long"
+        self.docs = docs.select(F.col(f"`{key}`").alias("id"), body.alias("text"))
+        id_type = self.docs.schema["id"].dataType.simpleString()
+        self.who = ["id"]
+        if not self.docs.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            # Only ids that stand in several rows need the text to tell documents apart.
+            self.docs = self.docs.withColumn("text_key", F.xxhash64("text"))
+            self.who = ["id", "text_key"]
+        self.id_type = id_type
+        keys = f"id {id_type}" + ", text_key long" * (len(self.who) - 1)
+        self.row = f"seed long, words long, {keys}, place long"
 
     def _with_text(self, about: DataFrame, how: str) -> DataFrame:
-        """Join what is known of some texts to the texts; always on the same keys, so that the texts move only once."""
-        same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-        about = about.withColumnsRenamed({"id": "_id", "text_key": "_key"})
-        return self.docs.join(about, same, how).drop("_id", "_key")
+        """Join what is known of some texts to the texts that may have candidates.
+
+        The join is always on the same keys, so that these texts move only once; others do not move.
+        """
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in self.who])
+        about = about.withColumnsRenamed({c: f"_{c}" for c in self.who})
+        return self.docs.where(self.possible).join(about, same, how).drop(*[f"_{c}" for c in self.who])
 
     def candidates(self) -> DataFrame:
         """Pieces whose seed stands in more than one piece, or more than once in one."""
-        every = self.docs.mapInArrow(_pieces_of(self.window), self.row)
+        every = self.docs.mapInArrow(_pieces_of(self.window, self.who), self.row)
         weight = F.col("place").bitwiseAND(F.lit(1)) + 1
         often = every.select("seed", weight.alias("w")).groupBy("seed").agg(F.sum("w").alias("w")).where("w > 1").select("seed")
-        return every.join(often, "seed")
+        return computed(every.join(often, "seed"))
 
     def spans(self) -> DataFrame:
-        """Repeated runs of edges: id, text_key, place and, as ``source``, the place of the first equal run."""
+        """Repeated runs of edges: who, place and, as ``source``, the place of the first equal run."""
         found = self.candidates()
-        own = F.struct("id", "text_key", "place")
+        self.possible = id_filter(found, self.who)
+        own = F.struct(*self.who, "place")
         first = found.groupBy("seed", "words").agg(F.min(own).alias("source"), F.count("*").alias("n"))
-        paths = _repeats(found, first.where("n > 1"))
+        paths = self._repeats(found, first.where("n > 1"))
         branching = first.groupBy("seed").agg((F.count("*") + F.max(F.col("source.place").bitwiseAND(F.lit(1)))).alias("n")).where("n > 1").select("seed")
-        apart = first.join(branching, "seed").select("source.id", "source.text_key", F.struct("seed", "source.place").alias("p"))
-        at = apart.groupBy("id", "text_key").agg(F.collect_list("p").alias("at"))
-        edges = self._with_text(at, "inner").mapInArrow(_edges_of(self.window), self.row)
+        apart = first.join(branching, "seed").select(*[f"source.{c}" for c in self.who], F.struct("seed", "source.place").alias("p"))
+        at = apart.groupBy(*self.who).agg(F.collect_list("p").alias("at"))
+        edges = self._with_text(at, "inner").mapInArrow(_edges_of(self.window, self.who), self.row)
         origin = edges.groupBy("seed", "words").agg(F.min(own).alias("source"), F.count("*").alias("n")).where("n > 1")
-        return paths.unionByName(_repeats(edges, origin))
+        return paths.unionByName(self._repeats(edges, origin))
+
+    def _repeats(self, runs: DataFrame, first: DataFrame) -> DataFrame:
+        """Runs with their first place, without the first ones themselves."""
+        joined = runs.join(first.select("seed", "words", "source"), ["seed", "words"])
+        here = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"source.{c}")) for c in [*self.who, "place"]])
+        return joined.where(~here).select(*self.who, "place", "source")
 
     def kept(self) -> DataFrame:
         """id, n_words, n_removed and kept_text of every row."""
-        spans = self.spans().groupBy("id", "text_key").agg(F.collect_list("place").alias("spans"))
-        done = self._with_text(spans, "left")
-        return done.mapInArrow(_kept_of(self.window), f"id {self.id_type}, n_words long, n_removed long, kept_text string")
-
-
-def _repeats(runs: DataFrame, first: DataFrame) -> DataFrame:
-    """Runs with their first place, without the first ones themselves."""
-
-    def other(a: Column, b: Column) -> Column:
-        return ~a.eqNullSafe(b)
-
-    joined = runs.join(first.select("seed", "words", "source"), ["seed", "words"])
-    elsewhere = other(F.col("id"), F.col("source.id")) | (F.col("text_key") != F.col("source.text_key")) | (F.col("place") != F.col("source.place"))
-    return joined.where(elsewhere).select("id", "text_key", "place", "source")
+        spans = self.spans().groupBy(*self.who).agg(F.collect_list("place").alias("spans"))
+        touched = self._with_text(spans, "left").select("id", "text", "spans")
+        rest = self.docs.where(~self.possible).select("id", "text", F.array().cast("array<long>").alias("spans"))
+        return touched.unionByName(rest).mapInArrow(_kept_of(self.window), f"id {self.id_type}, n_words long, n_removed long, kept_text string")
