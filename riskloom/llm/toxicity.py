@@ -126,9 +126,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
             for a, b in slices(texts):
                 row, feature = present(texts[a:b], slot.value)
                 cut = np.searchsorted(row, np.arange(1, b - a))
-                yield pd.DataFrame({"id": batch["_id"].to_numpy()[a:b], "label": batch["_label"].to_numpy()[a:b], "has": np.split(feature.astype(np.int32), cut)})
+                yield pd.DataFrame({"id": batch["_id"].astype(str).to_numpy()[a:b], "label": batch["_label"].to_numpy()[a:b], "has": np.split(feature.astype(np.int32), cut)})
 
-    data = sorted(sample.mapInPandas(rows_of, "id long, label int, has array<int>").collect(), key=lambda r: (r["id"], r["label"], r["has"]))
+    data = sorted(sample.mapInPandas(rows_of, "id string, label int, has array<int>").collect(), key=lambda r: (r["id"], r["label"], r["has"]))
     column = np.concatenate([np.array(r["has"], np.int64) for r in data])
     row = np.repeat(np.arange(len(data)), [len(r["has"]) for r in data])
     target = np.array([r["label"] for r in data], float)
