@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,15 +16,16 @@ from riskloom.functions import (
 from riskloom.models import stacked
 from riskloom.models.auc import auc
 from riskloom.models.folds import fold_of, labelled, unlabelled, with_folds
-from riskloom.models.prepare import Prepared
-from riskloom.models.select import backward, forward
-from riskloom.models.train import bag_seeds, cross_validate, grid_search, mean_importance
+from riskloom.models.prepare import CATEGORY_VALUES, Prepared
+from riskloom.models.select import backward, chunks, forward
+from riskloom.models.train import GRID, bag_seeds, combinations, cross_validate, grid_search
 from riskloom.operators import checks, groups, joins, ordered, shape
 from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, group_stat, read_spec
 from riskloom.plans import application, bureau, credit_card, installments, matrix, pos_cash, previous
 from riskloom.plans.feature_sets import SETS
-from riskloom.session import tune
-from riskloom.sources.store import sample_rows
+from riskloom.session import shared_folder, tune
+from riskloom.sources.store import Cache, fill_template, log_metrics, read_metrics, sample_rows, write_matrix, write_predictions
+from riskloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -652,7 +654,7 @@ def folds(spark, folder):
     langs as (select lang, row_number() over (order by count(*) desc, lang) - 1 as code from d group by 1),
     sources as (select source, row_number() over (order by count(*) desc, source) - 1 as code from d group by 1)
     select doc_id, quality, cast(l.code as double) as lang, cast(s.code as double) as source, cast(n_chars as double) as n_chars,
-    coalesce(cast(toxic as double), -1e9) as toxic
+    coalesce(cast(toxic as double), -1.7e308) as toxic
     from d join langs l on l.lang = d.lang join sources s on s.source = d.source"""
 )
 def category_codes(spark, folder):
@@ -685,54 +687,83 @@ def auc_per_fold(spark, folder):
     return rounded(auc(docs, "quality", "n_chars", "fold"), 9, "auc")
 
 
-# ---------------------------------------------------------------- model jobs (rows only)
+@query(
+    f"""with d as (select doc_id, quality, text, count(*) over (partition by text) as often from {LABELLED} d join (select doc_id, text from documents) t using (doc_id))
+    select doc_id, quality, cast(often as double) as text from d"""
+)
+def many_category_codes(spark, folder):
+    """Texts have too many values for a category: each is replaced by how often it occurs."""
+    docs = _labelled_documents(spark, folder).select("doc_id", "quality")
+    texts = docs.join(raw(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    wide = texts.select("text").distinct().count() > CATEGORY_VALUES
+    often = Prepared(texts, "doc_id", "quality").columns() if wide else frequency_of(texts)
+    return often.select("doc_id", "quality", "text")
+
+
+def frequency_of(texts):
+    counts = texts.groupBy("text").agg(F.count("*").cast("double").alias("often"))
+    return texts.join(counts, "text").select("doc_id", "quality", F.col("often").alias("text"))
 
-# Small forests keep the check quick; the shape of the job does not depend on it.
-QUICK = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3}
+
+# ---------------------------------------------------------------- model jobs
+
+# The values of a fit have no SQL: tests hold them against a plain loop over MLlib fits.  The queries return what a job
+# must cover (keys, folds, columns, combinations) and whether every value is in its range.  Rounds are an argument of
+# the jobs and few here; folds, seeds, combinations and columns are all there.
+QUICK = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3}
+MODEL_COLUMNS = ["AMT_CREDIT", "AMT_ANNUITY", "SOURCES_MEAN", "DAYS_BIRTH", "OCCUPATION_TYPE", "CREDIT_TO_INCOME_RATIO"]
+IN_RANGE = "prediction between 0 and 1 as in_range"
+FOLD_SQL = "cast(cast('0x' || substr(md5(cast({} as varchar) || ':47'), 1, 8) as bigint) % 5 as int)"
 
 
 def _model_table(spark, folder) -> Prepared:
     """Applicants with a few features, the label and a fold."""
     base = application.application(credit_table(spark, folder, "application_all"))
-    wanted = ["AMT_CREDIT", "AMT_ANNUITY", "SOURCES_MEAN", "DAYS_BIRTH", "OCCUPATION_TYPE", "CREDIT_TO_INCOME_RATIO"]
-    return Prepared(with_folds(base.select("SK_ID_CURR", "TARGET", *wanted), "SK_ID_CURR"), "SK_ID_CURR", "TARGET", keep=["fold"])
+    return Prepared(with_folds(base.select("SK_ID_CURR", "TARGET", *MODEL_COLUMNS), "SK_ID_CURR"), "SK_ID_CURR", "TARGET", keep=["fold"])
 
 
-@query()
+@query(fs.with_ctes(f"select SK_ID_CURR as sk_id_curr, TARGET as target, {FOLD_SQL.format('SK_ID_CURR')} as fold, true as in_range from app where TARGET is not null"))
 def out_of_fold(spark, folder):
-    return cross_validate(_model_table(spark, folder), QUICK).oof
+    return shape.plain_names(cross_validate(_model_table(spark, folder), QUICK).oof.selectExpr("SK_ID_CURR", "TARGET", "fold", IN_RANGE))
 
 
-@query()
+@query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from app where TARGET is null"))
 def mean_prediction(spark, folder):
-    return cross_validate(_model_table(spark, folder), QUICK).unlabelled
+    return shape.plain_names(cross_validate(_model_table(spark, folder), QUICK).unlabelled.selectExpr("SK_ID_CURR", IN_RANGE))
+
+
+def _values(rows) -> str:
+    return "select * from (values " + ", ".join("(" + ", ".join(repr(v) for v in r) + ")" for r in rows) + ") t"
 
 
-@query()
+@query(_values([(c, f) for c in MODEL_COLUMNS for f in range(5)]) + "(feature, fold)")
 def importances(spark, folder):
-    return mean_importance(cross_validate(_model_table(spark, folder), QUICK).importance)
+    return cross_validate(_model_table(spark, folder), QUICK).importance.where("importance >= 0").select("feature", "fold")
 
 
-@query()
+@query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from app where TARGET is null"))
 def bagged_prediction(spark, folder):
-    return bag_seeds(_model_table(spark, folder), QUICK, seeds=range(2), k=2)
+    return shape.plain_names(bag_seeds(_model_table(spark, folder), QUICK, range(10), early_stop=False).selectExpr("SK_ID_CURR", IN_RANGE))
 
 
-@query()
+def _fitted(c: dict) -> dict:
+    return {**c, "reg_alpha": GRID["reg_alpha"][0], "reg_lambda": GRID["reg_lambda"][0]}
+
+
+@query(_values([(",".join(f"{n}={v}" for n, v in c.items()), ",".join(f"{n}={v}" for n, v in _fitted(c).items())) for c in combinations(GRID)]) + "(combination, fitted)")
 def parameter_grid(spark, folder):
-    grid = {"reg_alpha": [0, 0.04], "min_child_weight": [20, 40]}
-    return grid_search(_model_table(spark, folder), QUICK, grid, k=2)
+    return grid_search(_model_table(spark, folder), QUICK, GRID, early_stop=False).where("auc between 0 and 1 or auc is null").select("combination", "fitted")
 
 
-@query()
+@query(_values([("baseline", "", 5)] + [("drop", ",".join(c), 5) for c in chunks(sorted(MODEL_COLUMNS), 5)]) + "(step, changed, folds)")
 def backward_selection(spark, folder):
-    return backward(_model_table(spark, folder), QUICK, n=4, k=2)
+    return backward(_model_table(spark, folder), QUICK, early_stop=False).selectExpr("step", "changed", "size(fold_auc) as folds")
 
 
-@query()
+@query(_values([("baseline", ""), *[("add", ",".join(c)) for c in chunks(MODEL_COLUMNS[2:], 2)]]) + "(step, changed)")
 def forward_selection(spark, folder):
     data = _model_table(spark, folder)
-    return forward(data, QUICK, base=["AMT_CREDIT", "DAYS_BIRTH"], candidates=["SOURCES_MEAN", "AMT_ANNUITY"], n=1, k=3)
+    return forward(data, QUICK, base=MODEL_COLUMNS[:2], candidates=MODEL_COLUMNS[2:]).select("step", "changed")
 
 
 @query(
@@ -749,17 +780,95 @@ def late_loans(spark, folder):
     return shape.plain_names(rows.select("SK_ID_PREV", "SK_ID_CURR", "delay"))
 
 
-@query()
+@query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from application_all"))
 def stacked_prediction(spark, folder):
     t = credit_tables(spark, folder)
     labels = stacked.late_instalments(t.installments_payments, days=14, first=-1)
-    return stacked.stacked_feature(t.application_all, t.previous_application, labels, "PREDICTED_X14Y-1", QUICK, k=2)
+    found = stacked.stacked_feature(t.application_all, t.previous_application, labels, "prediction", QUICK, seeds=range(2), early_stop=False)
+    return shape.plain_names(found.selectExpr("SK_ID_CURR", IN_RANGE))
 
 
-@query()
+@query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from application_all"))
 def stacked_from_months(spark, folder):
     t = credit_tables(spark, folder)
-    labels = stacked.late_months(t.POS_CASH_balance)
-    return stacked.stacked_feature(
-        t.application_all, t.previous_application, labels, "POS_PREDICTED", QUICK, hook=stacked.against_contract_means, k=2
+    found = stacked.stacked_feature(
+        t.application_all, t.previous_application, stacked.late_months(t.POS_CASH_balance), "prediction", QUICK,
+        hook=stacked.against_contract_means, unused=stacked.UNUSED_BY_MONTH, early_stop=False,
     )
+    return shape.plain_names(found.selectExpr("SK_ID_CURR", IN_RANGE))
+
+
+# ---------------------------------------------------------------- tables, sinks and checks
+
+
+def _shared(spark, name: str) -> str:
+    """A new folder for what a query writes and reads again."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(fs.with_ctes("select SK_ID_BUREAU as sk_id_bureau, MONTHS_BALANCE as months_balance, STATUS as status from bureau_balance"))
+def read_back(spark, folder):
+    """A table written as files and read by its declared columns."""
+    at = _shared(spark, "tables")
+    credit_table(spark, folder, "bureau_balance").write.parquet(f"{at}/bureau_balance.parquet")
+    return shape.plain_names(read_table(spark, at, "bureau_balance"))
+
+
+@query("select c_nationkey, count(*) as n, 'kept' as part from customer group by 1 union all select c_nationkey, count(*), 'new' from customer group by 1")
+def cached_parts(spark, folder):
+    """A part that is there is read, one that is asked for is built again."""
+    at = _shared(spark, "cache")
+    counts = raw(spark, folder, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    Cache(spark, at).table("part", lambda: counts.withColumn("part", F.lit("kept")))
+    kept = Cache(spark, at, []).table("part", lambda: counts.withColumn("part", F.lit("lost")))
+    new = Cache(spark, at, ["other"]).table("other", lambda: counts.withColumn("part", F.lit("new")))
+    return kept.unionByName(new)
+
+
+@query("select c_acctbal, c_custkey, c_mktsegment from customer")
+def written_matrix(spark, folder):
+    at = _shared(spark, "matrix")
+    write_matrix(raw(spark, folder, "customer").select("c_mktsegment", "c_custkey", "c_acctbal"), at)
+    return spark.read.parquet(at)
+
+
+@query("select c_custkey, case when c_custkey % 3 = 0 then null else c_nationkey / 100 end as TARGET from customer")
+def filled_template(spark, folder):
+    """Predictions written with their key, put into a template by key; the template's other rows stay empty."""
+    at = _shared(spark, "predictions")
+    rows = raw(spark, folder, "customer").select("c_custkey", (F.col("c_nationkey") / 100).alias("p"))
+    write_predictions(rows.select("c_custkey", F.lit(0.5).alias("p")), "c_custkey", "p", f"{at}/template")
+    write_predictions(rows.where("c_custkey % 3 <> 0"), "c_custkey", "p", f"{at}/found", "parquet")
+    return fill_template(spark, f"{at}/template", spark.read.parquet(f"{at}/found"), "c_custkey")
+
+
+@query("select c_mktsegment as experiment, 'customers' as metric, cast(count(*) as double) as value, 'segment' as note from customer group by 1")
+def metrics_log(spark, folder):
+    """One experiment after another is appended to the log."""
+    at = _shared(spark, "metrics")
+    for r in raw(spark, folder, "customer").groupBy("c_mktsegment").count().collect():  # five segments
+        log_metrics(spark, at, r["c_mktsegment"], {"customers": r["count"]}, "segment")
+    return read_metrics(spark, at).drop("logged_at")
+
+
+@query(
+    """select 'customer' as name, count(*) as n, count(*) > 0 as filled, true as same_width from customer union all
+    select 'none', 0, false, false"""
+)
+def checked_tables(spark, folder):
+    """Row counts, empty tables and differing columns, as the checks see them."""
+    rows = raw(spark, folder, "customer")
+
+    def holds(check, *args, **named_args) -> bool:
+        try:
+            check(*args, **named_args)
+        except ValueError:
+            return False
+        return True
+
+    n = rows.count()
+    found = [
+        ("customer", n, holds(checks.require_some, customer=rows), holds(checks.require_same_columns, rows, rows.limit(0)) and holds(checks.require_rows, rows, n)),
+        ("none", 0, holds(checks.require_some, none=rows.where("false")), holds(checks.require_same_columns, rows, rows.drop("c_name"))),
+    ]
+    return spark.createDataFrame(found, "name string, n long, filled boolean, same_width boolean")

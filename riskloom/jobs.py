@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.models import stacked
 from riskloom.models.folds import FOLDS, SEED, with_folds
 from riskloom.models.prepare import Prepared
-from riskloom.models.train import PARAMS, Cv, cross_validate, mean_importance
+from riskloom.models.train import EARLIER, PARAMS, Cv, cross_validate, mean_importance
 from riskloom.plans.feature_sets import FeatureSet
 from riskloom.plans.matrix import KEY, feature_matrix
 from riskloom.session import tune
@@ -39,15 +39,15 @@ def build_features(
 
 def train_and_predict(
     spark: SparkSession, matrix: DataFrame, out: str, name: str, feature_set: FeatureSet | None = None,
-    candidates: DataFrame | None = None, params: dict | None = None, k: int | None = None, seed: int = SEED,
+    candidates: DataFrame | None = None, params: dict | None = None, k: int | None = None, seed: int = SEED, **options,
 ) -> Cv:
     """Cross-validate on the labelled rows and predict the others.
 
-    Writes predictions (CSV by key), out-of-fold predictions, the 100 most
-    important features and the AUC per fold and overall.
+    Writes predictions (CSV by key), out-of-fold predictions, importances by fold and the 100 highest means,
+    and the AUC and the trees kept, per fold and overall.
     """
     tune(spark)
-    params = dict(params or PARAMS)
+    params = dict(params or (EARLIER if feature_set is not None else PARAMS))
     if feature_set is not None:
         matrix = feature_set.apply(matrix, candidates)
         params["max_depth"] = params.get("max_depth", 8) if feature_set.max_depth > 0 else -1
@@ -55,30 +55,58 @@ def train_and_predict(
             params["seed"] = feature_set.seed
     k = k or (feature_set.folds if feature_set else FOLDS)
     data = Prepared(with_folds(matrix, KEY, k, seed), KEY, LABEL, keep=["fold"])
-    result = cross_validate(data, params, k)
+    result = cross_validate(data, params, k, **options)
     write_predictions(result.unlabelled, KEY, "prediction", f"{out}/{name}.csv")
     result.oof.write.mode("overwrite").parquet(f"{out}/{name}_oof.parquet")
-    mean_importance(result.importance).write.mode("overwrite").parquet(f"{out}/{name}_importance.parquet")
-    metrics = {f"fold_{i}_auc": a for i, a in result.fold_auc.items() if a is not None}
-    if result.auc is not None:
-        metrics["auc"] = result.auc
-    log_metrics(spark, f"{out}/metrics.parquet", name, metrics, note=str(params))
-    data.release()
+    result.importance.write.mode("overwrite").parquet(f"{out}/{name}_importance.parquet")
+    mean_importance(result.importance).write.mode("overwrite").parquet(f"{out}/{name}_importance_top.parquet")
+    log_metrics(spark, f"{out}/metrics.parquet", name, _metrics(result), note=str(params))
     return result
 
 
-def build_stacked(spark: SparkSession, source: str, out: str, params: dict | None = None, k: int = FOLDS) -> DataFrame:
-    """Both stacked features, by key, ready for :func:`build_features`.
+def _metrics(result: Cv) -> dict[str, float]:
+    found = {f"fold_{i}_auc": a for i, a in result.fold_auc.items() if a is not None}
+    found |= {f"fold_{i}_trees": float(n) for i, n in result.trees.items()}
+    return found | ({} if result.auc is None else {"auc": result.auc})
 
-    One learns instalments paid more than 14 days late, the other months more than
-    3 days past due.
+
+# Days late and first instalments (below 1: all) of the features learned from instalments.
+LATE_VARIANTS = {
+    "PREDICTED_X14Y-1": (14, -1), "PREDICTED_DPD": (7, 5), "PREDICTED_X21Y-1": (21, -1), "PREDICTED_X28Y-1": (28, -1),
+    "PREDICTED_X35Y-1": (35, -1),
+}
+SEEDS = range(10)
+
+
+def build_stacked(
+    spark: SparkSession, source: str, out: str, params: dict | None = None, k: int = FOLDS,
+    variants: Sequence[str] = ("PREDICTED_X14Y-1",), seeds: Sequence[int] = SEEDS, metrics: str | None = None, **options,
+) -> DataFrame:
+    """Stacked features by key, ready for :func:`build_features` or as candidates of a feature set.
+
+    ``variants`` names the features learned from instalments; one more learns from months more than 3 days past
+    due.  Each is the mean over seeds.  With ``metrics``, AUC and trees of each seed and the correlation with the real
+    outcome are logged there.
     """
     tune(spark)
     t = read_tables(spark, source)
     app, prev = t.application_all, t.previous_application
-    params = params or PARAMS
-    late = stacked.late_instalments(t.installments_payments, days=14, first=-1)
-    by_payment = stacked.stacked_feature(app, prev, late, "PREDICTED_X14Y-1", params, k=k)
-    by_month = stacked.stacked_feature(app, prev, stacked.late_months(t.POS_CASH_balance), "POS_PREDICTED", params, k=k)
-    by_payment.join(by_month, [KEY], "full").write.mode("overwrite").parquet(out)
+    params = params or EARLIER
+
+    def learned(name: str, labels: DataFrame, **more) -> DataFrame:
+        def log(seed: int, result: Cv) -> None:
+            log_metrics(spark, metrics, f"{name}, seed {seed}", _metrics(result), note=str(params))
+
+        feature = stacked.stacked_feature(app, prev, labels, name, params, k=k, seeds=seeds, log=log if metrics else None, **more, **options)
+        if metrics:
+            agreed = stacked.agreement(app, feature, name).first()[0]
+            log_metrics(spark, metrics, name, {} if agreed is None else {"correlation": agreed})
+        return feature
+
+    parts = [learned(v, stacked.late_instalments(t.installments_payments, *LATE_VARIANTS[v])) for v in variants]
+    parts.append(learned("POS_PREDICTED", stacked.late_months(t.POS_CASH_balance), unused=stacked.UNUSED_BY_MONTH))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.join(p, [KEY], "full")
+    every.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)

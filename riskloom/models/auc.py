@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import named
 from riskloom.operators.joins import attach_small
+from riskloom.session import computed
 
-RANGES = 128
+# Distinct scores of one range; a task sorts one range.
+RANGE_SCORES = 100_000
 
 
 def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
     """One row per group (or one row): ``auc``, with tied scores counted half.
 
     Rows are first counted per distinct score.  Quantiles of the distinct
-    scores then cut each group into ranges of about equal size; the running
+    scores then cut each group into ranges of about equal size, as many as its number of scores asks for; the running
     count of negatives is taken inside a range and the totals of the ranges
     before it are added, so no task sees more than one range.  A group with
     only one class has a NULL result.
@@ -28,14 +30,16 @@ def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFra
         F.sum((named(label) == 1).cast("bigint")).alias("_pos"),
         F.sum((named(label) != 1).cast("bigint")).alias("_neg"),
     )
-    cuts = F.percentile_approx("_s", [i / RANGES for i in range(1, RANGES)]).alias("_cuts")
-    if by:
-        ranged = attach_small(counts, counts.groupBy("_g").agg(cuts), "_g", how="inner")
+    counts = computed(counts)
+    most = counts.groupBy(*group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    ranges = -(-most // RANGE_SCORES)
+    if ranges > 1:
+        cuts = F.percentile_approx("_s", [i / ranges for i in range(1, ranges)], 100 * ranges).alias("_cuts")
+        found = counts.groupBy(*group).agg(cuts)
+        ranged = attach_small(counts, found, "_g", how="inner") if by else counts.withColumn("_cuts", found.scalar())
+        ranged = ranged.select(*group, "_s", "_pos", "_neg", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_range"))
     else:
-        ranged = counts.withColumn("_cuts", counts.select(cuts).scalar())
-    ranged = ranged.select(
-        *group, "_s", "_pos", "_neg", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_range")
-    )
+        ranged = counts.withColumn("_range", F.lit(0))
     inside = Window.partitionBy(*group, "_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0))
     ranges = (
@@ -47,7 +51,7 @@ def auc(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFra
             F.sum("_neg").alias("_neg"),
         )
     )
-    # at most RANGES rows per group from here on
+    # a row for each range and group from here on
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_neg").over(before), F.lit(0))
     total = (

@@ -9,20 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.functions import named, quoted
+from riskloom.functions import quoted
 from riskloom.session import computed
 
 # Trees send missing values to one side of a split: below every real value.
-MISSING = -1.0e9
-# A category is indexed through the driver, so its number of values is checked.
-MAX_CATEGORIES = 1000
+MISSING = -1.7e308
+# Up to this many values a text column is a category, whose splits are sets of values and whose values pass through the
+# driver; a wider one is replaced by how often its value occurs, counted and joined by Spark.
+CATEGORY_VALUES = 1000
 
 
 class Prepared:
-    """A computed and persisted table of ``key``, ``label``, further columns and numeric inputs.
+    """A computed table of ``key``, ``label``, further columns and numeric inputs.
 
-    Categories are indexed over labelled and unlabelled rows together, so both
-    get the same codes.
+    Categories are indexed over labelled and unlabelled rows together, so both get the same codes; missing text is a
+    category of its own, apart from empty text.
     """
 
     def __init__(self, df: DataFrame, key: str, label: str, keep: Sequence[str] = (), drop: Sequence[str] = ()):
@@ -39,19 +40,26 @@ class Prepared:
             for c in self.features
             if c not in codes
         ]
-        categories = [f"{quoted(c)} as {codes[c]}" for c in texts]
+        # A letter in front keeps empty text apart from missing text.
+        categories = [f"coalesce(concat('=', {quoted(c)}), '') as {codes[c]}" for c in texts]
         table = df.selectExpr(*[quoted(c) for c in held], *categories, *numbers)
+        self.bins = 32
         if texts:
-            _check_cardinality(df, texts)
-            table = table.na.fill("", subset=list(codes.values()))
-            indexer = StringIndexer(
-                inputCols=list(codes.values()), outputCols=[self._names[c] for c in texts], handleInvalid="keep"
-            ).fit(table)
-            self.bins = max(32, *[len(labels) + 1 for labels in indexer.labelsArray])
-            table = indexer.transform(table).drop(*codes.values())
-        else:
-            self.bins = 32
-        self.table = computed(table).persist()
+            table = computed(table)  # the plan above may be long and is read several times from here on
+            counts = table.agg(*[F.count_distinct(codes[c]).alias(codes[c]) for c in texts]).first()
+            wide = [c for c in texts if counts[codes[c]] > CATEGORY_VALUES]
+            narrow = [c for c in texts if c not in wide]
+            for c in wide:
+                often = table.groupBy(codes[c]).agg(F.count("*").cast("double").alias(self._names[c]))
+                table = table.join(often, codes[c])
+            if narrow:
+                indexer = StringIndexer(
+                    inputCols=[codes[c] for c in narrow], outputCols=[self._names[c] for c in narrow], handleInvalid="keep"
+                ).fit(table)
+                self.bins = max(32, *[len(labels) + 1 for labels in indexer.labelsArray])
+                table = indexer.transform(table)
+            table = table.drop(*codes.values())
+        self.table = computed(table)
 
     def vectors(self, features: Sequence[str] | None = None) -> DataFrame:
         """The table with the given features (default: all) assembled into ``features``."""
@@ -63,13 +71,3 @@ class Prepared:
     def columns(self) -> DataFrame:
         """The table with its inputs under their own names."""
         return self.table.withColumnsRenamed({x: c for c, x in self._names.items()})
-
-    def release(self) -> None:
-        self.table.unpersist()
-
-
-def _check_cardinality(df: DataFrame, columns: Sequence[str]) -> None:
-    counts = df.agg(*[F.approx_count_distinct(named(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    wide = [c for c, n in zip(columns, counts) if n > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many values to use as a category: {wide}")

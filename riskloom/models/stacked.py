@@ -6,7 +6,7 @@ on them scores the current applications.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import positive_part
 from riskloom.models.folds import FOLDS, SEED, with_folds
 from riskloom.models.prepare import Prepared
-from riskloom.models.train import cross_validate
+from riskloom.models.train import Cv, _union, cross_validate
 from riskloom.operators.checks import require_same_columns
 from riskloom.operators.groups import against_means, correlation, event_label, group_means
 from riskloom.operators.joins import attach, override_columns
@@ -30,6 +30,8 @@ LABEL = "delay"
 OWN = ["AMT_ANNUITY", "AMT_GOODS_PRICE", "NAME_TYPE_SUITE", "AMT_CREDIT", "NAME_CONTRACT_TYPE"]
 UNUSED_DOCUMENTS = [f"FLAG_DOCUMENT_{i}" for i in (5, 6, 8, 16, 18)]
 UNUSED = [c for c in STRICT if not c.startswith("AMT_REQ")] + UNUSED_DOCUMENTS
+# The model of monthly balances leaves out one column only.
+UNUSED_BY_MONTH = ["ORGANIZATION_TYPE"]
 DPD_LIMIT = 3
 
 Hook = Callable[[DataFrame], DataFrame]
@@ -79,19 +81,22 @@ def model_rows(app: DataFrame, prev: DataFrame, labels: DataFrame, hook: Hook |
 def stacked_feature(
     app: DataFrame, prev: DataFrame, labels: DataFrame, name: str, params: dict,
     hook: Hook | None = None, k: int = FOLDS, seed: int = SEED, by_applicant: bool = True,
+    unused: Sequence[str] = tuple(UNUSED), seeds: Sequence[int] = (0,), log: Callable[[int, Cv], None] | None = None, **options,
 ) -> DataFrame:
-    """``SK_ID_CURR`` and the predicted chance, averaged over folds.
+    """``SK_ID_CURR`` and the predicted chance, averaged over folds and seeds.
 
-    All loans of an applicant stay in one fold unless ``by_applicant`` is off.
+    All loans of an applicant stay in one fold unless ``by_applicant`` is off.  ``log`` gets each seed's result.
     """
     rows = with_folds(model_rows(app, prev, labels, hook), KEY if by_applicant else "_row", k, seed)
-    data = Prepared(rows, "_row", LABEL, keep=[KEY, "fold"], drop=["TARGET", *UNUSED])
-    scored = cross_validate(data, params, k).unlabelled
-    out = computed(
-        scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), F.col("prediction").alias(name))
-    )
-    data.release()
-    return out
+    data = Prepared(rows, "_row", LABEL, keep=[KEY, "fold"], drop=["TARGET", *unused])
+    parts = []
+    for s in seeds:
+        result = cross_validate(data, {**params, "seed": s}, k, **options)
+        if log:
+            log(s, result)
+        parts.append(result.unlabelled)
+    scored = _union(parts).groupBy("_row").agg(F.avg("prediction").alias("prediction"))
+    return computed(scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), F.col("prediction").alias(name)))
 
 
 def agreement(app: DataFrame, predicted: DataFrame, name: str) -> DataFrame:

@@ -21,8 +21,10 @@ from riskloom.models.auc import auc_per_group, auc_value
 from riskloom.models.folds import FOLDS
 from riskloom.models.prepare import Prepared
 from riskloom.operators.shape import top_rows
+from riskloom.session import computed
 
-# Default parameters, and the two parameter grids.
+# The parameter sets of the models, and the two parameter grids.  PARAMS is the current model's,
+# EARLIER that of the named feature sets and of the stacked features.
 PARAMS = {
     "num_leaves": 32,
     "learning_rate": 0.04,
@@ -34,6 +36,21 @@ PARAMS = {
     "min_child_weight": 120,
     "n_estimators": 10000,
 }
+EARLIER = {
+    "num_leaves": 32,
+    "learning_rate": 0.04,
+    "colsample_bytree": 0.95,
+    "subsample": 0.872,
+    "max_depth": 8,
+    "reg_alpha": 0.04,
+    "reg_lambda": 0.073,
+    "min_split_gain": 0.0222415,
+    "min_child_weight": 40,
+    "n_estimators": 10000,
+}
+# Rounds without a better validation loss after which a fit stops; rounds of a fit that adds columns.
+PATIENCE = 200
+SELECTION_ROUNDS = 1000
 GRID = {
     "reg_alpha": [0, 0.04, 0.1],
     "reg_lambda": [0, 0.073, 0.1],
@@ -48,6 +65,7 @@ def to_gbt(params: dict) -> dict:
 
     MLlib grows trees by level, so a leaf limit becomes a depth limit; it has no
     L1/L2 terms, so ``reg_alpha`` and ``reg_lambda`` do not change the model.
+    ``min_split_gain`` is its least information gain.
     """
     leaves = math.ceil(math.log2(params.get("num_leaves", 32)))
     depth = params.get("max_depth", -1)
@@ -55,6 +73,7 @@ def to_gbt(params: dict) -> dict:
         "maxDepth": leaves if depth <= 0 else min(depth, leaves),
         "stepSize": float(params.get("learning_rate", 0.1)),
         "maxIter": int(params.get("n_estimators", 20)),
+        "minInfoGain": float(params.get("min_split_gain", 0.0)),
         "minInstancesPerNode": int(params.get("min_child_weight", 1)),
         "subsamplingRate": float(params.get("subsample", 1.0)),
         "featureSubsetStrategy": str(float(params.get("colsample_bytree", 1.0))),
@@ -67,19 +86,50 @@ def to_gbt(params: dict) -> dict:
 
 @dataclass
 class Cv:
-    """Results of one cross-validation; all tables are lazy."""
+    """Results of one cross-validation; ``trees`` are the rounds kept in each fold."""
 
     oof: DataFrame
     unlabelled: DataFrame
     importance: DataFrame
     fold_auc: dict[int, float]
     auc: float
+    trees: dict[int, int]
+
+
+def fit(train: DataFrame, label: str, params: dict, bins: int) -> GBTClassificationModel:
+    """One model with all the rounds that the parameters ask for."""
+    return GBTClassifier(labelCol=label, featuresCol="features", maxBins=bins, **to_gbt(params)).fit(train)
+
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round with the smallest loss before ``patience`` rounds passed without a smaller one, and whether they did."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
-def fit(train: DataFrame, label: str, params: dict, bins: int, stop_on: str | None = None) -> GBTClassificationModel:
-    """One model; with ``stop_on``, rows flagged there decide when to stop adding trees."""
-    stop = {"validationIndicatorCol": stop_on, "validationTol": 0.0} if stop_on else {}
-    return GBTClassifier(labelCol=label, featuresCol="features", maxBins=bins, **to_gbt(params), **stop).fit(train)
+
+def fit_stopped(train: DataFrame, held: DataFrame, label: str, params: dict, bins: int, patience: int = PATIENCE) -> GBTClassificationModel:
+    """The model of the round after which the loss on ``held`` did not improve for ``patience`` rounds.
+
+    MLlib's own stop ends at the first round without gain.  Here fits grow, twice as long each time, until the
+    losses show the stop or the limit is reached; trees of a shorter fit are the first trees of a longer one, so
+    the best round's model is a fit of that length.
+    """
+    limit = to_gbt(params)["maxIter"]
+    if held.isEmpty():
+        return fit(train, label, params, bins)
+    rounds = min(limit, 2 * patience)
+    while True:
+        model = fit(train, label, {**params, "n_estimators": rounds}, bins)
+        best, stopped = best_round(model.evaluateEachIteration(held), patience)
+        if stopped or rounds == limit:
+            break
+        rounds = min(limit, 2 * rounds)
+    return model if best == rounds else fit(train, label, {**params, "n_estimators": best}, bins)
 
 
 def score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
@@ -89,16 +139,17 @@ def score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
 
 
 def folds_in_turn(
-    data: Prepared, params: dict, k: int, features: Sequence[str] | None, early_stop: bool, fold: str
+    data: Prepared, params: dict, k: int, features: Sequence[str] | None, early_stop: bool, fold: str, patience: int
 ):
     """Fit one fold after another, yielding (fold, model, vectors)."""
     vectors = data.vectors(features)
     known = vectors.where(named(data.label).isNotNull())
     for i in range(k):
+        train, held = known.where(named(fold) != i), known.where(named(fold) == i)
         if early_stop:
-            model = fit(known.withColumn("_stop", named(fold) == i), data.label, params, data.bins, "_stop")
+            model = fit_stopped(train, held, data.label, params, data.bins, patience)
         else:
-            model = fit(known.where(named(fold) != i), data.label, params, data.bins)
+            model = fit(train, data.label, params, data.bins)
         yield i, model, vectors
 
 
@@ -109,7 +160,8 @@ def cross_validate(
     features: Sequence[str] | None = None,
     early_stop: bool = True,
     fold: str = "fold",
-    watch: Callable[[dict[int, float]], bool] | None = None,
+    watch: Callable[[dict[int, float | None]], bool] | None = None,
+    patience: int = PATIENCE,
 ) -> Cv | dict[int, float]:
     """Out-of-fold predictions, mean prediction of the unlabelled rows, importances, AUC.
 
@@ -118,10 +170,11 @@ def cross_validate(
     """
     names = list(features) if features is not None else data.features
     spark = data.table.sparkSession
-    oof, unseen, weights, done = [], [], [], {}
-    for i, model, vectors in folds_in_turn(data, params, k, features, early_stop, fold):
+    oof, unseen, weights, done, trees = [], [], [], {}, {}
+    for i, model, vectors in folds_in_turn(data, params, k, features, early_stop, fold, patience):
         held = vectors.where(named(data.label).isNotNull() & (named(fold) == i))
-        oof.append(score(model, held))
+        trees[i] = model.getNumTrees
+        oof.append(computed(score(model, held)))  # read by the metrics and by the caller
         unseen.append(score(model, vectors.where(named(data.label).isNull())))
         values = model.featureImportances.toArray()
         weights += [(n, i, float(v)) for n, v in zip(names, values)]
@@ -136,6 +189,7 @@ def cross_validate(
         importance=spark.createDataFrame(weights, "feature string, fold int, importance double"),
         fold_auc=done or auc_per_group(all_oof, data.label, "prediction", fold),
         auc=auc_value(all_oof, data.label, "prediction"),
+        trees=trees,
     )
 
 
@@ -162,25 +216,46 @@ def combinations(grid: dict[str, Sequence]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+def distinct_settings(base: dict, grid: dict[str, Sequence]) -> dict[str, list[dict]]:
+    """The combinations of a grid, together where they mean the same MLlib model."""
+    out: dict[str, list[dict]] = {}
+    for c in combinations(grid):
+        out.setdefault(str(sorted(to_gbt({**base, **c}).items())), []).append(c)
+    return out
+
+
+def live_dimensions(base: dict, grid: dict[str, Sequence]) -> dict[str, Sequence]:
+    """The grid without dimensions that change no MLlib model."""
+    return {n: v for n, v in grid.items() if len({str(sorted(to_gbt({**base, n: x}).items())) for x in v}) > 1}
+
+
+def _text(combination: dict) -> str:
+    return ",".join(f"{n}={v}" for n, v in combination.items())
+
+
 def grid_search(
-    data: Prepared, base: dict, grid: dict[str, Sequence], k: int = FOLDS, parallelism: int = 2, **options
+    data: Prepared, base: dict, grid: dict[str, Sequence], k: int = FOLDS, parallelism: int = 2,
+    log: Callable[[str, Cv], None] | None = None, known: dict[str, float] | None = None, **options,
 ) -> DataFrame:
     """The AUC of every combination, several fitted at a time.
 
-    Combinations that mean the same MLlib model are fitted once and reported each.
+    Combinations that mean the same MLlib model are fitted once; ``fitted`` names the one whose fit each row shows.
+    ``log`` is told of each fit when it is done; ``known`` has the results of an earlier, broken run.
     """
-    combos = combinations(grid)
-    settings = {}
-    for c in combos:
-        settings.setdefault(str(sorted(to_gbt({**base, **c}).items())), {**base, **c})
+    settings = distinct_settings(base, grid)
+    done = known or {}
 
     def run(item):
-        return item[0], cross_validate(data, item[1], k, **options).auc
+        setting, same = item
+        name = _text(same[0])
+        if name in done:
+            return setting, done[name]
+        result = cross_validate(data, {**base, **same[0]}, k, **options)
+        if log:
+            log(name, result)
+        return setting, result.auc
 
     with ThreadPool(parallelism) as pool:
         found = dict(pool.map(run, settings.items()))
-    rows = [
-        (",".join(f"{n}={v}" for n, v in c.items()), found[str(sorted(to_gbt({**base, **c}).items()))])
-        for c in combos
-    ]
-    return data.table.sparkSession.createDataFrame(rows, "combination string, auc double")
+    rows = [(_text(c), _text(same[0]), found[s]) for s, same in settings.items() for c in same]
+    return data.table.sparkSession.createDataFrame(rows, "combination string, fitted string, auc double")

@@ -39,8 +39,10 @@ def test_missing_column_is_refused(spark, source, tmp_path):
 @pytest.fixture(scope="module")
 def built(spark, source, tmp_path_factory):
     out = str(tmp_path_factory.mktemp("out"))
-    stacked = jobs.build_stacked(spark, source, f"{out}/stacked.parquet", QUICK, k=2)
+    stacked = jobs.build_stacked(spark, source, f"{out}/stacked.parquet", QUICK, k=2, seeds=range(2), metrics=f"{out}/stacked_metrics.parquet")
     assert sorted(stacked.columns) == ["POS_PREDICTED", "PREDICTED_X14Y-1", "SK_ID_CURR"]
+    logged = {r["experiment"] for r in store.read_metrics(spark, f"{out}/stacked_metrics.parquet").collect()}
+    assert {"PREDICTED_X14Y-1, seed 0", "POS_PREDICTED, seed 1"} <= logged
     jobs.build_features(spark, source, out, stacked_path=f"{out}/stacked.parquet")
     return out
 
@@ -74,6 +76,7 @@ def test_training_writes_everything(spark, built):
     unlabelled = narrow.where("TARGET is null").count()
     assert spark.read.csv(f"{out}/quick.csv", header=True).count() == unlabelled
     assert spark.read.parquet(f"{out}/quick_oof.parquet").count() == narrow.count() - unlabelled
+    assert spark.read.parquet(f"{out}/quick_importance.parquet").count() == 2 * len(narrow.columns[2:])
     logged = {r["metric"]: r["value"] for r in store.read_metrics(spark, f"{out}/metrics.parquet").collect()}
     assert logged["auc"] == pytest.approx(result.auc)
     store.log_metrics(spark, f"{out}/metrics.parquet", "second", {"auc": 0.5})

@@ -1,7 +1,9 @@
 import random
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.models.auc import auc, auc_per_group, auc_value
@@ -9,7 +11,8 @@ from riskloom.models.folds import fold_of, with_folds
 from riskloom.models.prepare import Prepared
 from riskloom.models.select import backward, chunks, forward, losing
 from riskloom.models.train import (
-    GRID, STACKED_GRID, bag_seeds, combinations, cross_validate, grid_search, mean_importance, to_gbt,
+    GRID, STACKED_GRID, bag_seeds, best_round, combinations, cross_validate, distinct_settings, fit, fit_stopped, grid_search,
+    live_dimensions, mean_importance, to_gbt,
 )
 
 QUICK = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}
@@ -61,9 +64,7 @@ def data(spark):
         y = None if i % 5 == 0 else float(x + (0.3 if c == "a" else 0) > 0.6)
         rows.append((i, y, x, rng.random(), None if i % 7 == 0 else float(i), c))
     df = spark.createDataFrame(rows, "id long, y double, x double, noise double, z double, `c (raw)` string")
-    prepared = Prepared(with_folds(df, "id", 3), "id", "y", keep=["fold"])
-    yield prepared
-    prepared.release()
+    yield Prepared(with_folds(df, "id", 3), "id", "y", keep=["fold"])
 
 
 def test_out_of_fold_covers_every_labelled_row_once(data):
@@ -106,7 +107,92 @@ def test_abandon_rule():
     assert not rule({0: 0.79, 1: 0.79, 2: 0.9})
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(3000).select("id", (F.col("id") % 2).cast("double").alias("y"), F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="category"):
-        Prepared(df, "id", "y")
+def test_a_wide_text_column_trains(spark):
+    df = spark.range(50_000).select("id", (F.col("id") % 2).cast("double").alias("y"), F.concat(F.lit("v"), (F.col("id") / 2).cast("int")).alias("c"))
+    df = df.where("id < 49000 or id % 10 > 0")
+    table = Prepared(df, "id", "y").columns()
+    assert table.select("c").distinct().count() == 2 and table.count() == df.count()
+
+
+def test_missing_is_below_everything_and_apart_from_empty_text(spark):
+    df = spark.createDataFrame([(1, 1.0, -5e9, ""), (2, 0.0, None, None), (3, 1.0, -1e300, "a")], "id long, y double, x double, c string")
+    rows = {r["id"]: r for r in Prepared(df, "id", "y").columns().collect()}
+    assert rows[2]["x"] < rows[3]["x"] < rows[1]["x"]
+    assert len({r["c"] for r in rows.values()}) == 3
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """The loss on held rows goes up and down while it falls."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(1500):
+        x = [rng.random() for _ in range(10)]
+        rows.append((i, float(sum(x[:5]) + rng.gauss(0, 0.5) > 2.5), *x))
+    df = spark.createDataFrame(rows, "id long, y double, " + ", ".join(f"x{i} double" for i in range(10)))
+    return Prepared(with_folds(df, "id", 3), "id", "y", keep=["fold"])
+
+
+NOISY = {"n_estimators": 24, "max_depth": 4, "num_leaves": 16, "learning_rate": 0.2, "colsample_bytree": 0.2, "seed": 3}
+
+
+def test_a_plateau_does_not_stop_the_fit(noisy):
+    vectors = noisy.vectors()
+    train, held = vectors.where("fold <> 0"), vectors.where("fold = 0")
+    losses = list(fit(train, "y", NOISY, 32).evaluateEachIteration(held))
+    first_rise = next(i for i in range(1, len(losses)) if losses[i] >= losses[i - 1])
+    model = fit_stopped(train, held, "y", NOISY, 32, patience=8)
+    assert first_rise < model.getNumTrees == best_round(losses, 8)[0]
+
+
+def test_best_round():
+    assert best_round([5, 4, 4.5, 3, 3.5, 3.6], 2) == (4, True)
+    assert best_round([5, 4, 4.5, 3], 3) == (4, False)
+    assert best_round([1, 2, 3, 0], 2) == (1, True)
+
+
+def test_cross_validation_is_a_loop_over_fits(noisy):
+    """Predictions per fold, their mean, and the importances equal those of plain fits."""
+    k, params = 3, {**NOISY, "n_estimators": 3}
+    got = cross_validate(noisy, params, k, early_stop=False)
+    vectors = noisy.vectors()
+    for i in range(k):
+        plain = GBTClassifier(labelCol="y", featuresCol="features", maxBins=32, **to_gbt(params)).fit(vectors.where(F.col("fold") != i))
+        want = plain.transform(vectors.where(F.col("fold") == i)).select("id", vector_to_array("probability")[1].alias("p"))
+        both = want.join(got.oof, "id")
+        assert both.count() == want.count() and both.where("abs(p - prediction) > 1e-12").count() == 0
+        weights = {r["feature"]: r["importance"] for r in got.importance.where(F.col("fold") == i).collect()}
+        assert [weights[c] for c in noisy.features] == pytest.approx(list(plain.featureImportances.toArray()))
+    assert got.trees == {0: 3, 1: 3, 2: 3}
+
+
+def test_a_fold_of_one_class_decides_nothing():
+    rule = losing({0: 0.8, 1: None, 2: 0.8}, 3)
+    assert not rule({0: 0.7, 1: 0.9}) and rule({0: 0.7, 1: None, 2: 0.7})
+
+
+def test_auc_in_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr("riskloom.models.auc.RANGE_SCORES", 50)
+    test_auc_equals_mllib_with_many_ties(spark)
+
+
+def test_grid_without_dead_dimensions():
+    assert set(live_dimensions({}, GRID)) == {"min_child_weight", "colsample_bytree"}
+    assert sum(len(c) for c in distinct_settings({}, GRID).values()) == 54 and len(distinct_settings({}, GRID)) == 6
+
+
+def test_a_broken_grid_goes_on(data):
+    logged = {}
+    grid = {"min_child_weight": [1, 200]}
+    whole = grid_search(data, QUICK, grid, k=2, log=lambda name, cv: logged.update({name: cv.auc}), early_stop=False).collect()
+    assert logged == {r["fitted"]: r["auc"] for r in whole}
+    assert grid_search(data, QUICK, grid, k=2, known=logged, log=lambda name, cv: 1 / 0).collect() == whole
+
+
+def test_selection_logs_and_skips(data):
+    rows = []
+    backward(data, QUICK, n=3, k=2, log=rows.append, early_stop=False)
+    assert [r[0] for r in rows] == ["baseline", "drop", "drop"]
+    rows = []
+    forward(data, QUICK, base=["x"], candidates=["noise", "z"], n=1, k=2, skip=1, log=rows.append)
+    assert [r[1] for r in rows] == ["", "z"]
