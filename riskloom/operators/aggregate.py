@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Collection, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,9 +85,12 @@ class Slice:
     extra: dict[str, Column] = field(default_factory=dict)
 
 
-def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice]) -> DataFrame:
+def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice], without: Collection[str] = ()) -> DataFrame:
     """All slices of a child table in one scan; one wide row per key.
 
+    Features named in ``without`` are left out before anything is computed: Catalyst cannot prune them later,
+    as the results of a key pass through one map.
+
     The rows of a key are first brought together by a rebalancing shuffle of the
     narrow rows.  Each row is then tagged with the slices it falls into, the tags
     are exploded, and a partial aggregate on (key, slice) runs on the spot; a
@@ -100,6 +103,8 @@ def aggregate_slices(child: DataFrame, key: str, slices: Sequence[Slice]) -> Dat
     key into a map; its shuffle also places the result for the join on the key.
     A key outside a slice has NULL there.
     """
+    slices = [_pruned(s, without) for s in slices]
+    slices = [s for s in slices if s.spec or s.extra]
     wanted: dict[tuple | str, Column | None] = {}
     for s in slices:
         wanted |= {(c, fn): None for c, fn in s.spec} | s.extra
@@ -147,5 +152,10 @@ def aggregate_slices_by_join(child: DataFrame, base: DataFrame, key: str, slices
     return out
 
 
+def _pruned(s: Slice, without: Collection[str]) -> Slice:
+    spec = [(c, fn) for c, fn in s.spec if feature_name(s.prefix, fn, c) not in without]
+    return replace(s, spec=spec, extra={n: c for n, c in s.extra.items() if n not in without})
+
+
 def _holds(s: Slice) -> Column:
     return F.lit(True) if s.where is None else s.where

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,6 +101,6 @@ def slices() -> list[Slice]:
     ]
 
 
-def features(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
+def features(bureau: DataFrame, bureau_balance: DataFrame, without: Collection[str] = ()) -> DataFrame:
     """One row per applicant with any reported credit."""
-    return aggregate_slices(credits_with_balances(bureau, bureau_balance), KEY, slices())
+    return aggregate_slices(credits_with_balances(bureau, bureau_balance), KEY, slices(), without)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,7 +115,7 @@ def loan_features(card: DataFrame, prev: DataFrame) -> DataFrame:
     return out.withColumnRenamed("credit_active_sum(AMT_CREDIT_SUM_DEBT_CREDIT)", DEBT)
 
 
-def features(card: DataFrame, prev: DataFrame) -> DataFrame:
+def features(card: DataFrame, prev: DataFrame, without: Collection[str] = ()) -> DataFrame:
     rows = months(card)
-    sliced = aggregate_slices(rows, KEY, slices()).withColumnRenamed(f"credit_size({MONTH})", "CC_COUNT")
+    sliced = aggregate_slices(rows, KEY, slices(), without).withColumnRenamed(f"credit_size({MONTH})", "CC_COUNT")
     return attach(sliced, loan_features(rows, prev), KEY)

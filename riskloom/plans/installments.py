@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +124,6 @@ def recent_gaps(installments: DataFrame) -> DataFrame:
     return gap_stats(gaps.where(F.col("DAYS_ENTRY_PAYMENT") >= since), KEY, prefix, name)
 
 
-def features(installments: DataFrame, prev: DataFrame, card: DataFrame) -> DataFrame:
+def features(installments: DataFrame, prev: DataFrame, card: DataFrame, without: Collection[str] = ()) -> DataFrame:
     rows = payments(installments, prev, card)
-    return attach(aggregate_slices(rows, KEY, slices()), recent_gaps(installments), KEY)
+    return attach(aggregate_slices(rows, KEY, slices(), without), recent_gaps(installments), KEY)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 
@@ -16,29 +16,29 @@ from riskloom.sources.tables import Tables
 KEY = "SK_ID_CURR"
 
 
-def parts(t: Tables) -> dict[str, Callable[[], DataFrame]]:
+def parts(t: Tables, without: Collection[str] = ()) -> dict[str, Callable[[], DataFrame]]:
     """The features of each source table, by the name they are cached under."""
     return {
-        "credit": lambda: credit_card.features(t.credit_card_balance, t.previous_application),
-        "bureau": lambda: bureau.features(t.bureau, t.bureau_balance),
-        "prev": lambda: previous.features(t.previous_application),
+        "credit": lambda: credit_card.features(t.credit_card_balance, t.previous_application, without),
+        "bureau": lambda: bureau.features(t.bureau, t.bureau_balance, without),
+        "prev": lambda: previous.features(t.previous_application, without),
         "install": lambda: installments.features(
-            t.installments_payments, t.previous_application, t.credit_card_balance
+            t.installments_payments, t.previous_application, t.credit_card_balance, without
         ),
-        "cash": lambda: pos_cash.features(t.POS_CASH_balance, t.previous_application),
+        "cash": lambda: pos_cash.features(t.POS_CASH_balance, t.previous_application, without),
         "app": lambda: application.application(t.application_all),
     }
 
 
-def full_matrix(t: Tables, cache: Cache | None = None) -> DataFrame:
-    """Every generated column.
+def full_matrix(t: Tables, cache: Cache | None = None, without: Collection[str] = ()) -> DataFrame:
+    """Every generated column but those left out from the start.
 
     All parts are one row per applicant and end partitioned by the applicant,
     so the joins below reuse that placement.  With a cache each part is written
     to the shared folder first, which keeps the final plan short and lets a
     failed run resume; without one the whole matrix is a single lazy plan.
     """
-    built = {name: cache.table(name, make) if cache else make() for name, make in parts(t).items()}
+    built = {name: cache.table(name, make) if cache else make() for name, make in parts(t, without).items()}
     base = built.pop("app")
     out = base
     for features in built.values():
@@ -48,7 +48,7 @@ def full_matrix(t: Tables, cache: Cache | None = None) -> DataFrame:
 
 def feature_matrix(t: Tables, stacked: DataFrame | None = None, cache: Cache | None = None) -> DataFrame:
     """The matrix as models read it: stacked predictions in, unused columns out, columns sorted."""
-    out = full_matrix(t, cache)
+    out = full_matrix(t, cache, USELESS)
     if stacked is not None:
         out = add_columns(out, stacked, KEY)
     out = drop_required(out, STRICT)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,5 +138,5 @@ def loan_features(pos: DataFrame, prev: DataFrame) -> DataFrame:
     return out.select("*", *[F.col("_best")[c].alias("p" + c) for c in REPRESENTATIVE]).drop("_best")
 
 
-def features(pos: DataFrame, prev: DataFrame) -> DataFrame:
-    return attach(aggregate_slices(months(pos), KEY, slices()), loan_features(pos, prev), KEY)
+def features(pos: DataFrame, prev: DataFrame, without: Collection[str] = ()) -> DataFrame:
+    return attach(aggregate_slices(months(pos), KEY, slices(), without), loan_features(pos, prev), KEY)

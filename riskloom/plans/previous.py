@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,5 +86,5 @@ def slices() -> list[Slice]:
     ]
 
 
-def features(prev: DataFrame) -> DataFrame:
-    return aggregate_slices(loans(prev), KEY, slices())
+def features(prev: DataFrame, without: Collection[str] = ()) -> DataFrame:
+    return aggregate_slices(loans(prev), KEY, slices(), without)

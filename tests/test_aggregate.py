@@ -119,3 +119,13 @@ def test_group_stat_leaves_null_keys_null(child, rows):
 def test_the_rows_are_shuffled_narrow_and_partials_combine(child):
     plan = aggregate_slices(child, "k", slices())._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "partial_avg" in plan
+
+
+def test_features_left_out_are_not_computed(spark):
+    child = spark.createDataFrame([(1, 5.0, 2.0, True), (1, 7.0, 3.0, False), (2, 1.0, 4.0, False)], "k long, amt double, other double, recent boolean")
+    wanted = [Slice("all_", None, [("amt", "sum"), ("other", "max")]), Slice("recent_", F.col("recent"), [("other", "mean")])]
+    got = aggregate_slices(child, "k", wanted, without=["all_max(other)", "recent_mean(other)"])
+    assert got.columns == ["k", "all_sum(amt)"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "max(" not in plan and "avg(" not in plan and "other" not in plan
+    assert sorted(map(tuple, got.collect())) == [(1, 12.0), (2, 1.0)]
