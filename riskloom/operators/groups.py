@@ -28,8 +28,8 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
     fraction of its rows, once more for groups so large that even this fraction
     is big.  The last pass counts what lies below the bracket and keeps distinct
     values, with their counts, only inside it; the running count over those picks
-    the one or two middle values.  Should a bracket ever miss the middle the query
-    fails instead of returning a neighbour.
+    the one or two middle values.  Groups whose bracket missed the middle are done again
+    with a bracket around all their values, narrowed anew, and at last not narrowed.
     """
     pairs = F.array(
         *[F.struct(F.lit(i).alias("t"), named(c).cast("double").alias("x")) for i, c in enumerate(targets)]
@@ -39,8 +39,28 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
         .select(named(by).alias("_g"), F.inline(pairs).alias("_t", "_x"))
         .where(F.col("_x").isNotNull())
     )
+    brackets = _brackets(rows)
+    picked = computed(_picked(rows, brackets))
+    for narrow in (True, False):
+        missed = picked.where(F.col("_lo").isNull() | F.col("_hi").isNull()).select("_g", "_t")
+        if missed.isEmpty():
+            break
+        again = attach_small(rows, missed, ["_g", "_t"], how="inner")
+        whole = again.groupBy("_g", "_t").agg(F.min("_x").alias("_from"), F.max("_x").alias("_to"), F.count(F.lit(1)).alias("_n"))
+        wide = computed(whole)
+        found = _picked(again, (_small(again, wide) if narrow else wide).drop("_n"))
+        picked = computed(picked.join(missed, ["_g", "_t"], "left_anti").unionByName(found))
+    middle = F.col("_lo") + (F.col("_hi") - F.col("_lo")) / 2
+    medians = picked.select(F.col("_g").alias(by), "_t", middle.alias("_m"))
+    return medians.groupBy(by).agg(
+        *[F.max(F.when(F.col("_t") == i, F.col("_m"))).alias(name) for i, name in enumerate(targets.values())]
+    )
+
+
+def _picked(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    """The two middle values of each group, NULL where they lie outside its bracket."""
     counted = (
-        attach_small(rows, _brackets(rows), ["_g", "_t"], how="inner", ready=True)
+        attach_small(rows, brackets, ["_g", "_t"], how="inner", ready=True)
         .select("_g", "_t", _zone(F.col("_x")).alias("_zone"), "_x")
         .groupBy("_g", "_t", "_zone", F.when(F.col("_zone") == 0, F.col("_x")).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -53,18 +73,10 @@ def medians_by(df: DataFrame, by: str, targets: dict[str, str]) -> DataFrame:
     def holds(rank: Column) -> Column:
         return (F.col("_zone") == 0) & (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n"))
 
-    picked = ranked.groupBy("_g", "_t").agg(
+    return ranked.groupBy("_g", "_t").agg(
         F.max(F.when(holds(low), F.col("_v"))).alias("_lo"),
         F.max(F.when(holds(high), F.col("_v"))).alias("_hi"),
     )
-    middle = F.when(
-        F.col("_lo").isNull() | F.col("_hi").isNull(),
-        F.raise_error(F.lit("median bracket missed the middle of a group")).cast("double"),
-    ).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) / 2)
-    medians = picked.select(F.col("_g").alias(by), "_t", middle.alias("_m"))
-    return medians.groupBy(by).agg(
-        *[F.max(F.when(F.col("_t") == i, F.col("_m"))).alias(name) for i, name in enumerate(targets.values())]
-    )
 
 
 def _middle_ranks(n: Column) -> tuple[Column, Column]:
@@ -84,13 +96,23 @@ def _brackets(rows: DataFrame) -> DataFrame:
     found = rows.groupBy("_g", "_t").agg(ends.alias("_b"), F.count(F.lit(1)).alias("_n"))
     found = computed(found.select("_g", "_t", F.col("_b")[0].alias("_from"), F.col("_b")[1].alias("_to"), "_n"))
     largest = found.agg(F.max("_n")).first()[0] or 0
-    inside = largest * 2 * (BRACKET_ERRORS + 1) / QUANTILE_ACCURACY
-    while inside > BRACKET_ROWS:
-        found = computed(_narrowed(rows, found))
-        inside *= 6 / CUTS
+    if largest * 2 * (BRACKET_ERRORS + 1) / QUANTILE_ACCURACY > BRACKET_ROWS:
+        found = _small(rows, found)
     return found.drop("_n")
 
 
+def _small(rows: DataFrame, brackets: DataFrame) -> DataFrame:
+    """Brackets narrowed until none holds more than ``BRACKET_ROWS`` rows, counted, or narrowing gains nothing more."""
+    before = None
+    while True:
+        zone = attach_small(rows, brackets, ["_g", "_t"], how="inner", ready=True).where(_zone(F.col("_x")) == 0)
+        inside = zone.groupBy("_g", "_t").count().agg(F.max("count")).first()[0] or 0
+        if inside <= BRACKET_ROWS or before is not None and inside >= before:
+            return brackets
+        before = inside
+        brackets = computed(_narrowed(rows, brackets))
+
+
 def _narrowed(rows: DataFrame, brackets: DataFrame) -> DataFrame:
     """Each bracket cut into hundredths, keeping the few around the middle."""
     zone, x = _zone(F.col("_x")), F.col("_x")

@@ -34,6 +34,7 @@ def local_session(cores: str = "8", app: str = "riskloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # a checkpoint goes with its table
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")  # small data, few cores
     )
     for name, value in ADAPTIVE.items():

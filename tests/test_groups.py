@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import groups
+from riskloom.session import computed
 
 
 def test_median_of_four_one_and_none(spark, rows):
@@ -91,3 +92,17 @@ def test_frequency_and_correlation(spark, rows):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), (None, 3.0, None), ("b", 4.0, 8.0)], "c string, x double, y double")
     assert rows(groups.frequency(df, "c")) == [("a", 2), ("b", 1)]
     assert groups.correlation(df, "x", "y").first()[0] == pytest.approx(1.0)
+
+
+def test_a_missed_bracket_is_done_again(spark, monkeypatch):
+    """Brackets that lie beside the middle cost another pass and change no median."""
+    df = spark.createDataFrame([("a", float(i)) for i in range(101)] + [("b", 3.0), ("b", 4.0), ("c", 7.0)], "g string, x double")
+
+    def beside(rows):
+        return computed(rows.groupBy("_g", "_t").agg(F.min("_x").alias("_from"), F.min("_x").alias("_to")))
+
+    monkeypatch.setattr(groups, "_brackets", beside)
+    got = {r["g"]: r["m"] for r in groups.median_by(df, "g", "x", "m").collect()}
+    assert got == {"a": 50.0, "b": 3.5, "c": 7.0}
+    monkeypatch.setattr(groups, "_small", lambda rows, brackets: brackets.withColumn("_to", F.col("_from")))
+    assert {r["g"]: r["m"] for r in groups.median_by(df, "g", "x", "m").collect()} == got
