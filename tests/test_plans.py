@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from riskloom.plans import credit_card, installments, pos_cash
+from checks.standin import credit_tables
+from riskloom.plans import bureau, credit_card, installments, pos_cash, previous
 
 RNG = random.Random(8)
 
@@ -128,3 +129,18 @@ def credit_card_schema():
     from riskloom.sources.tables import SCHEMAS
 
     return " ".join(SCHEMAS["credit_card_balance"].split())
+
+
+def test_number_of_columns_of_each_source(spark):
+    """Literal counts, as the SQL of the checks takes its feature maps from the plans."""
+    t = credit_tables(spark, "/root/testdata/sf0.001")
+    got = {
+        "bureau": bureau.features(t.bureau, t.bureau_balance),
+        "previous": previous.features(t.previous_application),
+        "installments": installments.features(t.installments_payments, t.previous_application, t.credit_card_balance),
+        "pos_cash": pos_cash.features(t.POS_CASH_balance, t.previous_application),
+        "credit_card": credit_card.features(t.credit_card_balance, t.previous_application),
+    }
+    assert {name: len(set(df.columns)) - 1 for name, df in got.items()} == {"bureau": 380, "previous": 185, "installments": 202, "pos_cash": 37, "credit_card": 35}
+    counts = {m: [len(s.spec) + len(s.extra) for s in m.slices()] for m in (bureau, previous, installments)}
+    assert counts == {bureau: [38] * 10, previous: [37] * 5, installments: [40, 40, 40, 40, 18, 22]}
