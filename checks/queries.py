@@ -637,6 +637,39 @@ def feature_set(spark, folder):
     return shape.plain_names(SETS["model2"].apply(base).drop("SOURCES_MEAN", "SOURCES_STD"))
 
 
+ADDED = SETS["model3"].add
+
+
+@query(
+    fs.with_ctes(
+        f"""select SK_ID_CURR as sk_id_curr, AMT_CREDIT as amt_credit, {', '.join(f'case when SK_ID_CURR % 5 > 0 then cast(SK_ID_CURR % {i + 2} as double) end as {shape.plain_name(c)}'
+        for i, c in enumerate(ADDED))} from app where coalesce(CODE_GENDER <> 'XNA', true)"""
+    )
+)
+def feature_set_with_candidates(spark, folder):
+    """A set that adds columns by key; applicants without candidates have none."""
+    base = application.application(credit_table(spark, folder, "application_all"))
+    absent = [c for c in SETS["model3"].remove if c not in base.columns]
+    base = base.withColumns({c: F.lit(0.0) for c in absent})
+    rows = credit_table(spark, folder, "application_all").where("SK_ID_CURR % 5 > 0")
+    candidates = rows.select("SK_ID_CURR", *[(F.col("SK_ID_CURR") % (i + 2)).cast("double").alias(c) for i, c in enumerate(ADDED)])
+    return shape.plain_names(SETS["model3"].apply(base, candidates).select("SK_ID_CURR", "AMT_CREDIT", *[named(c) for c in ADDED]))
+
+
+@query(
+    fs.with_ctes(
+        """select SK_ID_CURR as sk_id_curr, AMT_CREDIT as amt_credit,
+        case when SK_ID_CURR % 3 > 0 then (SK_ID_CURR % 100) / 100 end as predicted from app"""
+    )
+)
+def matrix_with_predictions(spark, folder):
+    """The matrix with a stacked prediction joined in, which some applicants lack."""
+    t = credit_tables(spark, folder)
+    found = t.application_all.where("SK_ID_CURR % 3 > 0").selectExpr("SK_ID_CURR", "(SK_ID_CURR % 100) / 100D as `PREDICTED_X14Y-1`")
+    whole = matrix.feature_matrix(t, found)
+    return shape.plain_names(whole.select("SK_ID_CURR", "AMT_CREDIT", F.col("`PREDICTED_X14Y-1`").alias("predicted")))
+
+
 # ---------------------------------------------------------------- folds and metrics
 
 
