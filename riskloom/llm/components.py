@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.session import computed
 
+#: Links of one task; a small graph is then not spread over many nearly empty files in every round.
+TASK_LINKS = 100_000
+
 
 def _towards_smallest(links: DataFrame) -> DataFrame:
     """Every node's neighbours, each with the smallest of them and the node itself."""
@@ -20,15 +23,16 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     Each round links larger neighbours, then smaller ones, to the smallest node in sight; when nothing changes every
     component is a star.  A node with many links is summed before the shuffle and its join can be split.
     """
-    edges = computed(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tasks = 1 + links.count() // TASK_LINKS
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = computed(edges.coalesce(tasks).distinct().coalesce(tasks))
     state = None
     for _ in range(most_rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
         large = _towards_smallest(both).where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.where("a <> b").distinct()
-        near = _towards_smallest(large)
+        near = _towards_smallest(large.where("a <> b").coalesce(tasks))
         small = near.select(F.col("b").alias("a"), F.col("low").alias("b")).union(near.select("a", F.col("low").alias("b")))
-        edges = computed(small.where("a <> b").distinct())
+        edges = computed(small.where("a <> b").coalesce(tasks).distinct().coalesce(tasks))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -36,4 +40,4 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("the components did not settle")
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    return stars.union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+    return stars.union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()).coalesce(tasks)

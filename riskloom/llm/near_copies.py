@@ -1,16 +1,21 @@
 """Near copies by order MinHash, verified by banded alignment of words.
 
 A text's k-mers are its runs of five words, labelled by how often the run stood before.  Each of ``SKETCHES`` hash orders
-picks the ``LEAST`` = 3 smallest labelled k-mers and hashes them in text order, so texts that share the k-mers in another order
-differ.  Texts that share two sketches are candidates; the sketches that stand in one text only are dropped first.
+picks the ``LEAST`` smallest labelled k-mers and hashes them in text order, so texts that hold the k-mers in another order
+differ.  Texts that share two sketches are candidates; sketches that stand in one text only are dropped first.
 
-Two texts are *linked* if their words differ by at most a fifth of the longer one's (edit similarity 0.8 or more).  A
-bucket of candidates is not paired out: its members are first aligned with its smallest member, the links found are
-gathered to components, and only members of different components of a bucket are aligned with each other.  So no
-candidate pair is left open, while a group of near copies costs one alignment for each member.  Classes are the
-components of all links.
+Two texts are *linked* if their words differ by at most a fifth of the longer one's (edit similarity 0.8 or more).  Classes are
+the components of the links between candidates.  Groups are never paired out:
 
-* Equal texts are one node from the start; a null text equals the empty one.  Texts without words form one class.
+1. candidates are aligned with the shortest text that they share a sketch with, and the links give components: a
+   group of near copies costs a few alignments for each member;
+2. only sketches that stand in several components can hold an open link.  Their texts are compared across components in
+   blocks of bounded size, by counts of words in bins: the sum of the bins in which one text has more is at most
+   the number of edits.  Only pairs that this bound leaves are written, and aligned.
+
+So every candidate pair is either aligned, or in one component already, or too different in words to be linked.
+
+* Equal texts are one node from the start; a null text equals the empty one.  Texts without words are alike only if equal.
 * A text of fewer than five words is a single k-mer.
 * ``class_id`` is the smallest id of the class, NULL only if no member has an id; rows are told apart by id and text.
 * Texts are read whole.
@@ -18,9 +23,11 @@ components of all links.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.align import banded_distance
@@ -28,7 +35,12 @@ from riskloom.llm.common import Words, gram_hashes, joined_small, mixed, slices
 from riskloom.llm.components import components
 from riskloom.session import computed
 
-K, SKETCHES, LEAST, SIMILARITY = 5, 12, 3, 0.8
+K, SKETCHES, LEAST, SIMILARITY = 5, 16, 2, 0.8
+BINS, COARSE, BLOCK = 1024, 128, 1024
+#: Texts whose sketches and pairs one task handles; the tables of these are narrow, and more files than needed cost disk.
+TASK_ROWS = 20_000
+#: Rounds in which open texts are aligned with one text of their sketch's largest component, before the rest is compared.
+STAR_ROUNDS = 2
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -93,15 +105,82 @@ def _sketched(batches):
             yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("node"), pa.array(count.astype(np.int64)), lists], names=["id", "node", "n_words", "sketches"])
 
 
+def most_edits(n: int) -> int:
+    """Edits that texts of which the longer has n words may differ by."""
+    return int((1 - SIMILARITY) * n + 1e-9)
+
+
+def linked(x: list, y: list) -> bool:
+    most = most_edits(max(len(x), len(y)))
+    a, b = Counter(x), Counter(y)
+    return (a - b).total() <= most and (b - a).total() <= most and banded_distance(x, y, most) is not None
+
+
 def _linked(batches):
     for batch in batches:
-        close = []
-        for a, b in zip(batch.column("text_a"), batch.column("text_b")):
-            x, y = a.as_py().split(), b.as_py().split()
-            most = int((1 - SIMILARITY) * max(len(x), len(y)) + 1e-9)
-            close.append(banded_distance(x, y, most) is not None)
-        kept = batch.filter(pa.array(close, pa.bool_()))
-        yield kept.select(["a", "b"])
+        close = [linked(a.as_py().split(), b.as_py().split()) for a, b in zip(batch.column("text_a"), batch.column("text_b"))]
+        yield batch.filter(pa.array(close, pa.bool_())).select(["a", "b"])
+
+
+def _binned(batches):
+    """Words of each text counted in bins; more than 255 in a bin count as 255, which keeps the bound a bound."""
+    for batch in batches:
+        texts = [x.as_py() for x in batch.column("text")]
+        out = []
+        for a, b in slices(texts):
+            words = Words(texts[a:b])
+            bins = (words.hash >> np.uint64(54)).astype(np.int64)
+            counts = np.bincount(words.owner() * BINS + bins, minlength=(b - a) * BINS).reshape(-1, BINS)
+            out += [x.tobytes() for x in np.minimum(counts, 255).astype(np.uint8)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "bins"])
+
+
+def _open_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of a block, or between two blocks, of different components that may be linked and share two sketches.
+
+    A pair that meets in several buckets is given by that of its first shared sketch.
+    """
+    n = group.num_rows
+    nth = group.column("bucket")[0].as_py() % SKETCHES if n else 0
+    bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), np.uint8).reshape(n, BINS).astype(np.int16)
+    coarse = bins.reshape(n, COARSE, -1).sum(axis=2, dtype=np.int16)
+    sketch = np.array(group.column("sketches").to_pylist(), np.int64).reshape(n, SKETCHES)
+    words = group.column("n_words").to_numpy()
+    nodes = group.column("node").to_pylist()
+    label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1].reshape(-1)
+    left, right = group.column("left").to_numpy(zero_copy_only=False), group.column("right").to_numpy(zero_copy_only=False)
+    main = np.bincount(label).argmax()
+    a, b = [], []
+    for i in np.flatnonzero(label != main):
+        # A pair within the minority is found from its smaller place; one across two blocks, from either side.
+        other = (label != label[i]) & ((label == main) | (np.arange(n) > i))
+        other &= (left[i] & right) | (right[i] & left)
+        at = np.flatnonzero(other)
+        at = at[np.minimum(words[at], words[i]) >= SIMILARITY * np.maximum(words[at], words[i]) - 1e-9]
+        same = sketch[at] == sketch[i]
+        at = at[(same.sum(axis=1) > 1) & (same.argmax(axis=1) == nth)]
+        most = np.floor((1 - SIMILARITY) * np.maximum(words[at], words[i]) + 1e-9)
+        for counts in (coarse, bins):
+            gap = counts[at] - counts[i]
+            more = np.where(gap > 0, gap, 0).sum(axis=1)
+            near = (more <= most) & (more - gap.sum(axis=1) <= most)
+            at, most = at[near], most[near]
+        for j in at.tolist():
+            x, y = sorted((nodes[i], nodes[j]))
+            a.append(x)
+            b.append(y)
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _bucket(nth: str, sketch: str) -> Column:
+    """A hash of a sketch and its number; the number is its remainder by ``SKETCHES``."""
+    rough = F.xxhash64(nth, sketch)
+    return rough - F.pmod(rough, F.lit(SKETCHES)) + F.col(nth)
+
+
+def _close(a: str, b: str) -> Column:
+    """Whether two numbers of words are near enough for a link."""
+    return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
 
 class NearCopies:
@@ -112,20 +191,25 @@ class NearCopies:
         self.docs = docs.select(F.col(f"`{key}`").alias("id"), F.unhex(F.md5(body)).alias("node"), body.alias("text"))
         id_type = self.docs.schema["id"].dataType.simpleString()
         self.rows = computed(self.docs.mapInArrow(_sketched, f"id {id_type}, node binary, n_words long, sketches array<long>"))
+        self.tasks = 1 + self.rows.count() // TASK_ROWS
+
+    def _few(self, df: DataFrame) -> DataFrame:
+        """A narrow table in as many partitions as the number of texts asks for."""
+        return df.coalesce(self.tasks)
 
-    def _buckets(self) -> DataFrame:
-        """(bucket, node, n_words) for every two sketches that a text shares with others."""
-        nodes = self.rows.where("n_words > 0").groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
-        single = nodes.select("node", "n_words", F.posexplode("sketches").alias("nth", "sketch"))
-        shared = single.groupBy("nth", "sketch").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        own = single.join(shared, ["nth", "sketch"]).groupBy("node", "n_words").agg(F.sort_array(F.collect_list(F.struct("nth", "sketch"))).alias("own"))
-        two = F.flatten(F.transform("own", lambda x, i: F.transform(F.slice("own", i + 2, F.size("own")), lambda y: F.xxhash64(x.nth, x.sketch, y.nth, y.sketch))))
-        return own.where(F.size("own") > 1).select(F.explode(two).alias("bucket"), "node", "n_words")
+    def _candidates(self) -> DataFrame:
+        """(node, n_words, sketches, own): ``own`` are the sketches that a text shares with others, two or more."""
+        nodes = self._few(self.rows).where("n_words > 0").groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
+        single = nodes.select("node", F.posexplode("sketches").alias("nth", "sketch")).select("node", _bucket("nth", "sketch").alias("bucket"))
+        shared = single.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+        single, shared = self._few(single), self._few(shared)
+        own = self._few(single.join(shared, "bucket")).groupBy("node").agg(F.collect_set("bucket").alias("own")).where(F.size("own") > 1)
+        return self._few(self._few(nodes).join(self._few(own), "node"))
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of some nodes: the text of one row, or of few rows that share id and text."""
-        one = self.rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one"))
-        chosen = computed(one.select(F.col("node").alias("_node"), F.col("one.id").alias("_id")))
+        one = self._few(self._few(self.rows).join(nodes, "node", "left_semi")).groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one"))
+        chosen = computed(self._few(one).select(F.col("node").alias("_node"), F.col("one.id").alias("_id")))
         same = (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))
         return computed(joined_small(self.docs, chosen, same, "inner").select("node", "text"))
 
@@ -133,43 +217,71 @@ class NearCopies:
         left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
         right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return computed(both.mapInArrow(_linked, "a binary, b binary").distinct())
+        return computed(self._few(both.mapInArrow(_linked, "a binary, b binary")))
+
+    def _star(self, members: DataFrame, order: Column, least: int) -> DataFrame:
+        """Pairs of each member with the first ``centre`` of its bucket and band, if ``least`` buckets give the pair.
+
+        Members of the centre's own component, where labels are known, need no pair.
+        """
+        members = self._few(members)
+        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "node", "n_words")).alias("low"))
+        apart = F.col("node") != F.col("low.node")
+        if "label" in members.columns:
+            apart = F.col("label") != F.col("main")
+        star = members.join(low, ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
+        pairs = star.select("bucket", F.least("low.node", "node").alias("a"), F.greatest("low.node", "node").alias("b"))
+        several = self._few(self._few(pairs).distinct()).groupBy("a", "b").agg(F.count("*").alias("n"))
+        return computed(self._few(several.where(F.col("n") >= least).select("a", "b")))
+
+    def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        return computed(self._few(members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))))
 
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes, enough to join all that candidates link."""
-        members = computed(self._buckets())
-        close = F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b") - 1e-9
-        low = members.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("low"), F.count("*").alias("n")).where("n > 1")
-        star = members.join(low, "bucket").select(F.col("low.node").alias("a"), F.col("low.n_words").alias("n_a"), F.col("node").alias("b"), F.col("n_words").alias("n_b"))
-        texts = self._texts(members.select("node").distinct())
-        tried = computed(star.where((F.col("a") != F.col("b")) & close).select("a", "b").distinct())
+        own = computed(self._candidates())
+        texts = self._texts(own.select("node"))
+        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
+        step = F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
+        bands = F.array(F.floor(step), -1 - F.floor(step + 0.5))
+        each = computed(own.select(F.explode("own").alias("bucket"), "node", "n_words", bands.alias("bands")))
+        tried = self._star(each.select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.lit(True).alias("centre")), F.col("n_words"), 2)
         links = self._aligned(tried, texts)
-
-        label = components(links)
-        placed = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        placed = computed(placed)
-        sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", F.col("main.label").alias("main"))
-        split = placed.join(main, "bucket")
-        rest = split.where("label <> main").select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("n_words").alias("n_b"))
-        other = split.select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("n_words").alias("n_a"), "main")
-        # Outside the main component a pair would come up twice.
-        once = (F.col("label_a") == F.col("main")) | (F.col("a") < F.col("b"))
-        more = rest.join(other, "bucket").where((F.col("label_a") != F.col("label_b")) & once & close)
-        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        more = computed(more.join(tried, ["a", "b"], "left_anti"))
+        placed = self._placed(each, links)
+        for n in range(STAR_ROUNDS):
+            main = self._few(placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+            open_ones = placed.join(main.where("parts > 1"), "bucket").select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.col("label"), F.col("main.label").alias("main"))
+            centred = self._few(open_ones).withColumn("centre", F.col("label") == F.col("main"))
+            again = computed(self._few(self._star(centred, F.xxhash64("node", F.lit(n)), 1).join(self._few(tried), ["a", "b"], "left_anti")))
+            found = self._aligned(again, texts)
+            if found.isEmpty():
+                break
+            tried, links = tried.union(again), links.union(found)
+            placed = self._placed(each, links)
+        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"))
+        several = several.where("one <> other").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        open_members = computed(self._few(placed.join(self._few(several), "bucket")).select("bucket", "blocks", "node", "label", "n_words"))
+        about = self._few(own.join(self._few(open_members.select("node").distinct()), "node", "left_semi").select("node", "sketches"))
+        about = about.join(texts.join(about.select("node"), "node", "left_semi").mapInArrow(_binned, "node binary, bins binary").dropDuplicates(["node"]), "node")
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        each_pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j")))
+        members = open_members.select("bucket", "node", "label", "n_words", block.alias("block"), F.explode(each_pair).alias("pair"))
+        sides = [(F.col("block") == F.col("pair.i")).alias("left"), (F.col("block") == F.col("pair.j")).alias("right")]
+        compared = self._few(members.select("bucket", "pair", "node", "label", "n_words", *sides).join(self._few(about), "node"))
+        more = compared.groupBy("bucket", "pair").applyInArrow(_open_pairs, "a binary, b binary")
+        more = computed(self._few(self._few(more).distinct().join(self._few(tried), ["a", "b"], "left_anti")))
         return links.union(self._aligned(more, texts))
 
     def classes(self) -> DataFrame:
         """id, node, class_id, class_size and ``first`` (the row of the class to keep) of every row."""
         label = components(self.links())
-        nodes = self.rows.groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-        named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        nodes = self._few(self.rows).groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+        named = computed(self._few(self._few(nodes).join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))))
         whole = named.groupBy("label").agg(
             F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.struct(F.isnull("id").alias("no"), "id", "node")).alias("first")
         )
-        of_node = named.select("node", "label").join(whole, "label").select("node", "class_id", "class_size", "first")
-        rows = self.rows.select("id", "node").join(of_node, "node")
+        of_node = named.select("node", "label").join(self._few(whole), "label").select("node", "class_id", "class_size", "first")
+        rows = self._few(self.rows).select("id", "node").join(self._few(of_node), "node")
         first = (F.col("node") == F.col("first.node")) & F.col("id").eqNullSafe(F.col("first.id"))
         return rows.select("id", "node", "class_id", "class_size", first.alias("first"))
 
@@ -181,10 +293,10 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """
     classes = computed(NearCopies(docs, key, text).classes())
     rows = classes.groupBy("id", "node").agg(F.first("first").alias("first"), F.count("*").alias("n"))
-    gone = computed(rows.where(~F.col("first")).select(F.col("id").alias("_id"), F.col("node").alias("_node")))
-    again = computed(rows.where(F.col("first") & (F.col("n") > 1)).select(F.col("id").alias("_id"), F.col("node").alias("_node")))
+    gone = computed(rows.where(~F.col("first")).select(F.col("id").alias("__near_id"), F.col("node").alias("__near_node")))
+    again = computed(rows.where(F.col("first") & (F.col("n") > 1)).select(F.col("id").alias("__near_id"), F.col("node").alias("__near_node")))
     node = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_id")) & (node == F.col("_node"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__near_id")) & (node == F.col("__near_node"))
     kept = joined_small(docs, gone, same, "left_anti")
     if again.isEmpty():
         return kept
