@@ -240,3 +240,35 @@ def test_learned_rows_are_of_two_folds(spark):
 
     ids = spark.range(200).select("id", toxicity.learned_from(F.col("id")).alias("l")).collect()
     assert all(x.l == (zlib.crc32(str(x.id).encode()) % 3 != 1) for x in ids)
+
+
+def test_open_candidates_are_settled(spark, monkeypatch):
+    """Texts that share a long passage, some just similar enough: any way to settle candidates finds the same links."""
+    from riskloom.llm import near_copies
+
+    r = random.Random(9)
+    passage = [f"p{r.randint(0, 500)}" for _ in range(120)]
+    texts = {i: passage + [f"o{i}_{k}" for k in range(r.choice([5, 20, 28, 33, 40, 60]))] for i in range(60)}
+    texts |= {100 + i: [w if r.random() > 0.03 else "edit" for w in passage[:80]] for i in range(30)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    root = {i: i for i in texts}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in texts:
+        for b in texts:
+            if a < b and linked(texts[a], texts[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    expected = {i: find(i) for i in texts}
+
+    def classes():
+        return {x.id: x.class_id for x in near_copies.NearCopies(docs).classes().collect()}
+
+    assert classes() == expected
+    monkeypatch.setattr(near_copies, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(near_copies, "BLOCK", 16)
+    assert classes() == expected
