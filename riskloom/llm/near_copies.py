@@ -1,8 +1,10 @@
 """Near copies by order MinHash, verified by banded alignment of words.
 
-A text's k-mers are its runs of five words, labelled by how often the run stood before.  Each of ``SKETCHES`` hash orders
-picks the ``LEAST`` smallest labelled k-mers and hashes them in text order, so texts that hold the k-mers in another order
-differ.  Texts that share two sketches are candidates; sketches that stand in one text only are dropped first.
+A text's k-mers are its runs of k words, labelled by how often the run stood before.  Each hash order picks the smallest
+labelled k-mers of a text and hashes them in text order, so texts that hold the k-mers in another order differ.  Of the
+orders (``KINDS``) some pick two runs of five words; others one run of four, as few pairs of runs survive where every fifth
+word is changed; and texts of up to ``SHORT`` words also have single runs of two, as a changed word leaves them few longer
+ones.  Texts that share a sketch are candidates; sketches that stand in one text only are dropped first.
 
 Two texts are *linked* if their words differ by at most a fifth of the longer one's (edit similarity 0.8 or more).  Classes are
 the components of the links between candidates.  Groups are never paired out:
@@ -16,7 +18,7 @@ the components of the links between candidates.  Groups are never paired out:
 So every candidate pair is either aligned, or in one component already, or too different in words to be linked.
 
 * Equal texts are one node from the start; a null text equals the empty one.  Texts without words are alike only if equal.
-* A text of fewer than five words is a single k-mer.
+* A text of fewer than k words is a single k-mer.
 * ``class_id`` is the smallest id of the class, NULL only if no member has an id; rows are told apart by id and text.
 * Texts are read whole.
 """
@@ -31,11 +33,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.align import banded_distance
-from riskloom.llm.common import Words, gram_hashes, joined_small, mixed, slices
+from riskloom.llm.common import Words, gram_hashes, id_filter, joined_small, mixed, slices
 from riskloom.llm.components import components
 from riskloom.session import computed
 
-K, SKETCHES, LEAST, SIMILARITY = 5, 16, 2, 0.8
+SIMILARITY = 0.8
+#: Words of a run, runs that an order picks, and the number of orders; the last kind is for short texts alone.
+KINDS = ((5, 2, 16), (4, 1, 24), (2, 1, 16))
+SKETCHES = sum(orders for _, _, orders in KINDS)
+#: Words of a short text.
+SHORT = 24
 BINS, COARSE, BLOCK = 1024, 128, 1024
 #: Texts whose sketches and pairs one task handles; the tables of these are narrow, and more files than needed cost disk.
 TASK_ROWS = 20_000
@@ -44,15 +51,15 @@ STAR_ROUNDS = 2
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _labelled(words: Words) -> tuple[np.ndarray, np.ndarray]:
+def _labelled(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Occurrence-labelled k-mers of all texts in text order, and where each text's begin (one more at the end)."""
-    grams = gram_hashes(words.hash, K)
-    count = np.maximum(words.count - K + 1, (words.count > 0).astype(np.int64))
+    grams = gram_hashes(words.hash, k)
+    count = np.maximum(words.count - k + 1, (words.count > 0).astype(np.int64))
     first = np.concatenate(([0], np.cumsum(count)))
     owner = np.repeat(np.arange(len(count)), count)
     inside = np.arange(first[-1]) - first[owner]
     at = words.first[owner] + inside
-    short = words.count[owner] < K
+    short = words.count[owner] < k
     value = np.zeros(len(at), np.uint64)
     value[~short] = grams[at[~short]]
     for i in np.flatnonzero(short):
@@ -67,20 +74,22 @@ def _labelled(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return mixed(value + nth * np.uint64(0x9E3779B97F4A7C15)), first
 
 
-def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(words of each text, sketches of each text); texts without words have sketches of no meaning."""
-    words = Words(texts)
-    label, first = _labelled(words)
-    out = np.zeros((len(texts), SKETCHES), np.uint64)
+def _picked(words: Words, k: int, least: int, seeds: range) -> np.ndarray:
+    """Sketches of each text: for each seed a hash of the ``least`` smallest k-mers in text order."""
+    label, first = _labelled(words, k)
+    out = np.zeros((len(words.count), len(seeds)), np.uint64)
     full = np.flatnonzero(words.count > 0)
     if not len(full):
-        return words.count, out
+        return out
     begin = first[full]
     owner = np.repeat(np.arange(len(full)), np.diff(first)[full])
-    for s in range(SKETCHES):
-        rank = mixed(label ^ np.uint64((s + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-        picked = np.empty((LEAST, len(full)), np.int64)
-        for n in range(LEAST):
+    for n_seed, seed in enumerate(seeds):
+        rank = mixed(label ^ np.uint64((seed + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
+        if least == 1:
+            out[full, n_seed] = np.minimum.reduceat(rank, begin)
+            continue
+        picked = np.empty((least, len(full)), np.int64)
+        for n in range(least):
             low = np.minimum.reduceat(rank, begin)
             hit = np.flatnonzero(rank == low[owner])
             place = hit[np.searchsorted(owner[hit], np.arange(len(full)))]
@@ -90,8 +99,23 @@ def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         value = np.zeros(len(full), np.uint64)
         for place in picked:
             value = value * np.uint64(0xA0761D6478BD642F) + np.append(label, np.uint64(1))[place]
-        out[full, s] = mixed(value)
-    return words.count, out
+        out[full, n_seed] = mixed(value)
+    return out
+
+
+def sketches(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(words of each text, sketches of each text); texts without words have sketches of no meaning."""
+    words = Words(texts)
+    short = np.flatnonzero(words.count <= SHORT)
+    values, begin = [], 0
+    for k, least, orders in KINDS[:-1]:
+        values.append(_picked(words, k, least, range(begin, begin + orders)))
+        begin += orders
+    every = list(np.concatenate(values, axis=1))
+    k, least, _ = KINDS[-1]
+    for i, more in zip(short, _picked(Words([texts[i] for i in short]), k, least, range(begin, SKETCHES))):
+        every[i] = np.append(every[i], more)
+    return words.count, every
 
 
 def _sketched(batches):
@@ -99,8 +123,9 @@ def _sketched(batches):
         texts = [x.as_py() for x in batch.column("text")]
         for a, b in slices(texts):
             count, values = sketches(texts[a:b])
-            flat = pa.array(values.reshape(-1).view(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * SKETCHES, pa.int32()), flat)
+            flat = pa.array(np.concatenate(values).view(np.int64))
+            ends = np.cumsum([0, *map(len, values)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
             rows = batch.slice(a, b - a)
             yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("node"), pa.array(count.astype(np.int64)), lists], names=["id", "node", "n_words", "sketches"])
 
@@ -136,7 +161,7 @@ def _binned(batches):
 
 
 def _open_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of a block, or between two blocks, of different components that may be linked and share two sketches.
+    """Pairs of a block, or between two blocks, of different components that may be linked and share a sketch.
 
     A pair that meets in several buckets is given by that of its first shared sketch.
     """
@@ -144,7 +169,10 @@ def _open_pairs(group: pa.Table) -> pa.Table:
     nth = group.column("bucket")[0].as_py() % SKETCHES if n else 0
     bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), np.uint8).reshape(n, BINS).astype(np.int16)
     coarse = bins.reshape(n, COARSE, -1).sum(axis=2, dtype=np.int16)
-    sketch = np.array(group.column("sketches").to_pylist(), np.int64).reshape(n, SKETCHES)
+    held = group.column("sketches").combine_chunks()
+    used = np.arange(SKETCHES) < np.diff(held.offsets.to_numpy())[:, None]
+    sketch = np.zeros((n, SKETCHES), np.int64)
+    sketch[used] = held.flatten().to_numpy()
     words = group.column("n_words").to_numpy()
     nodes = group.column("node").to_pylist()
     label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1].reshape(-1)
@@ -157,8 +185,8 @@ def _open_pairs(group: pa.Table) -> pa.Table:
         other &= (left[i] & right) | (right[i] & left)
         at = np.flatnonzero(other)
         at = at[np.minimum(words[at], words[i]) >= SIMILARITY * np.maximum(words[at], words[i]) - 1e-9]
-        same = sketch[at] == sketch[i]
-        at = at[(same.sum(axis=1) > 1) & (same.argmax(axis=1) == nth)]
+        same = (sketch[at] == sketch[i]) & used[at] & used[i]
+        at = at[same.argmax(axis=1) == nth]
         most = np.floor((1 - SIMILARITY) * np.maximum(words[at], words[i]) + 1e-9)
         for counts in (coarse, bins):
             gap = counts[at] - counts[i]
@@ -198,12 +226,12 @@ class NearCopies:
         return df.coalesce(self.tasks)
 
     def _candidates(self) -> DataFrame:
-        """(node, n_words, sketches, own): ``own`` are the sketches that a text shares with others, two or more."""
+        """(node, n_words, sketches, own): ``own`` are the sketches that a text shares with others."""
         nodes = self._few(self.rows).where("n_words > 0").groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
         single = nodes.select("node", F.posexplode("sketches").alias("nth", "sketch")).select("node", _bucket("nth", "sketch").alias("bucket"))
         shared = single.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
         single, shared = self._few(single), self._few(shared)
-        own = self._few(single.join(shared, "bucket")).groupBy("node").agg(F.collect_set("bucket").alias("own")).where(F.size("own") > 1)
+        own = self._few(single.join(shared, "bucket")).groupBy("node").agg(F.collect_set("bucket").alias("own"))
         return self._few(self._few(nodes).join(self._few(own), "node"))
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
@@ -211,16 +239,19 @@ class NearCopies:
         one = self._few(self._few(self.rows).join(nodes, "node", "left_semi")).groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one"))
         chosen = computed(self._few(one).select(F.col("node").alias("_node"), F.col("one.id").alias("_id")))
         same = (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))
-        return computed(joined_small(self.docs, chosen, same, "inner").select("node", "text"))
+        maybe = self.docs.where(id_filter(chosen.select(F.col("_node").alias("node")), ["node"]))
+        return computed(joined_small(maybe, chosen, same, "inner").select("node", "text"))
 
     def _aligned(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        left = texts.withColumnsRenamed({"node": "a", "text": "text_a"})
-        right = texts.withColumnsRenamed({"node": "b", "text": "text_b"})
+        # Only texts that a pair may name are moved.
+        left, right = (
+            texts.where(id_filter(pairs.select(F.col(side).alias("node")), ["node"])).withColumnsRenamed({"node": side, "text": f"text_{side}"}) for side in "ab"
+        )
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return computed(self._few(both.mapInArrow(_linked, "a binary, b binary")))
 
-    def _star(self, members: DataFrame, order: Column, least: int) -> DataFrame:
-        """Pairs of each member with the first ``centre`` of its bucket and band, if ``least`` buckets give the pair.
+    def _star(self, members: DataFrame, order: Column) -> DataFrame:
+        """Pairs of each member with the first ``centre`` of its bucket and band.
 
         Members of the centre's own component, where labels are known, need no pair.
         """
@@ -230,9 +261,8 @@ class NearCopies:
         if "label" in members.columns:
             apart = F.col("label") != F.col("main")
         star = members.join(low, ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
-        pairs = star.select("bucket", F.least("low.node", "node").alias("a"), F.greatest("low.node", "node").alias("b"))
-        several = self._few(self._few(pairs).distinct()).groupBy("a", "b").agg(F.count("*").alias("n"))
-        return computed(self._few(several.where(F.col("n") >= least).select("a", "b")))
+        pairs = star.select(F.least("low.node", "node").alias("a"), F.greatest("low.node", "node").alias("b"))
+        return computed(self._few(self._few(pairs).distinct()))
 
     def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
         return computed(self._few(members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))))
@@ -240,19 +270,25 @@ class NearCopies:
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes, enough to join all that candidates link."""
         own = computed(self._candidates())
-        texts = self._texts(own.select("node"))
-        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
         step = F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
+        # Texts of which one is long enough for the other share one of two wide bands; sketches alone in their bands go.
+        wide = F.array(F.floor(step / 2), -1 - F.floor((step + 1) / 2))
+        spread = own.select(F.explode("own").alias("bucket"), "node", "n_words", wide.alias("wide")).withColumn("wide", F.explode("wide"))
+        spread = self._few(spread)
+        met = self._few(spread.groupBy("bucket", "wide").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "wide"))
+        near = self._few(self._few(spread.join(met, ["bucket", "wide"]).select("bucket", "node", "n_words")).distinct())
+        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
         bands = F.array(F.floor(step), -1 - F.floor(step + 0.5))
-        each = computed(own.select(F.explode("own").alias("bucket"), "node", "n_words", bands.alias("bands")))
-        tried = self._star(each.select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.lit(True).alias("centre")), F.col("n_words"), 2)
+        each = computed(near.select("bucket", "node", "n_words", bands.alias("bands")))
+        texts = self._texts(each.select("node").distinct())
+        tried = self._star(each.select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.lit(True).alias("centre")), F.col("n_words"))
         links = self._aligned(tried, texts)
         placed = self._placed(each, links)
         for n in range(STAR_ROUNDS):
             main = self._few(placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
             open_ones = placed.join(main.where("parts > 1"), "bucket").select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.col("label"), F.col("main.label").alias("main"))
             centred = self._few(open_ones).withColumn("centre", F.col("label") == F.col("main"))
-            again = computed(self._few(self._star(centred, F.xxhash64("node", F.lit(n)), 1).join(self._few(tried), ["a", "b"], "left_anti")))
+            again = computed(self._few(self._star(centred, F.xxhash64("node", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
             found = self._aligned(again, texts)
             if found.isEmpty():
                 break
