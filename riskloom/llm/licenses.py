@@ -3,7 +3,8 @@
 Every pair of neighbouring words of every text is hashed; the hashes are joined to the places of the same pairs in the
 templates; a match votes for its diagonal (place in the text less place in the template).  Votes are counted per text,
 template and diagonal, neighbouring diagonals are merged (a few inserted or missing words move the rest to the next
-diagonals), and a merged span is verified by the share of the template's pairs found in it and by its length.
+diagonals), and a merged span is verified by the share of the template's pairs found in it and by its length.  A span that
+is too long, as words of the notice stand again close behind, is verified by its best stretch of the allowed length.
 
 * A null or empty text has no words, no places and score 0.
 * Rows are told apart by their place in the table, so repeated rows and rows without id each give their own result.
@@ -13,6 +14,7 @@ diagonals), and a merged span is verified by the share of the template's pairs f
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -95,13 +97,15 @@ def license_scan(docs: DataFrame, keys: list[str], text: str = "text", templates
         diagonals.withColumn("_new", apart.cast("int"))
         .withColumn("_span", F.sum("_new").over(along))
         .groupBy(*row, "_template", "_span")
-        .agg(F.array_distinct(F.flatten(F.collect_list("_at"))).alias("_at"), F.min("_diagonal").alias("_begin"))
+        .agg(F.flatten(F.collect_list(F.transform("_at", lambda x: F.struct(x.alias("here"), (x - F.col("_diagonal")).alias("there"))))).alias("_votes"), F.min("_diagonal").alias("_begin"))
+        .withColumn("_at", F.array_distinct(F.transform("_votes", lambda x: x.here)))
     )
     pairs = _of(templates, "_template", lambda t: len(t.text.split()) - 1)
     share = F.least(F.size("_at") / pairs, F.lit(1.0))
     long = F.array_max("_at") - F.array_min("_at") + 1
     phrase = _of(templates, "_template", lambda t: int(t.phrase)) == 1
-    verified = (F.col("_template") >= 0) & F.when(phrase, F.size("_at") == pairs).otherwise((share >= SHARE) & (long <= STRETCH * pairs))
+    whole = F.when(share < SHARE, False).when(long <= STRETCH * pairs, True).otherwise(_best_stretch(templates, pairs))
+    verified = (F.col("_template") >= 0) & F.when(phrase, F.size("_at") == pairs).otherwise(whole)
     place = F.when(verified & phrase, F.col("_begin").cast("long"))
     label = F.when(verified, _of(templates, "_template", lambda t: t.label))
     spans = merged.select(*row, place.alias("_place"), label.alias("_label"), F.when(F.col("_template") >= 0, share).otherwise(0.0).alias("_share"))
@@ -120,6 +124,23 @@ def license_scan(docs: DataFrame, keys: list[str], text: str = "text", templates
     return found.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], F.col("_words").cast("long").alias("n_words"), "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def _best_stretch(templates: tuple[Template, ...], pairs: Column) -> Column:
+    """Whether some stretch of the allowed length holds enough different pairs of the template."""
+
+    def most_votes(t: Template) -> int:
+        listed = t.text.split()
+        return int(STRETCH * (len(listed) - 1)) * max(Counter(zip(listed, listed[1:])).values())
+
+    votes, most = F.array_sort("_votes"), _of(templates, "_template", most_votes)
+
+    def enough(of: Column) -> Column:
+        near = F.filter(of, lambda x: x.here - of[0].here + 1 <= STRETCH * pairs)
+        return F.size(F.array_distinct(F.transform(near, lambda x: x.there))) / pairs >= SHARE
+
+    # The array of one keeps the votes from being sorted again for each stretch.
+    return F.exists(F.array(votes), lambda v: F.exists(F.sequence(F.lit(1), F.size(v)), lambda i: enough(F.slice(v, i, most))))
+
+
 def _of(templates: tuple[Template, ...], number: str, value) -> Column:
     """A value of the template with that number; of the row that stands for the text itself, that of the first."""
     return F.element_at(F.array(*[F.lit(value(t)) for t in templates]), F.greatest(F.col(number), F.lit(0)) + 1)

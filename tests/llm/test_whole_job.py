@@ -2,6 +2,7 @@
 
 import random
 
+from riskloom.llm.licenses import license_scan
 from riskloom.llm.near_copies import NearCopies, linked
 
 
@@ -38,3 +39,17 @@ def test_planted_near_copies(spark):
     assert len(set(got.values())) >= len(pairs), "different texts stay apart"
     assert share["5%"] == share["10%"] == 1 and min(share["one of few words"], share["few words, 20%"]) >= 0.99
     assert min(share["15%"], share["20%"]) >= 0.97 and min(share["26 to 60 words, 20%"], share["every fifth"]) >= 0.85, share
+
+
+def test_notice_before_a_partial_repeat(spark):
+    texts = {
+        1: "Licensed under CC BY-SA (CC BY-SA 4.0)",
+        2: "released under the mit license, the mit license that all of us like",
+        3: "cc by " * 30,
+        4: "under the mit " * 30,
+        5: "released under the new mit license, the mit license, the mit license",
+        6: "the mit license, the mit license, released under the mit license",
+    }
+    # As without the repeat, three of the four pairs of the notice of cc-by-nc stand in the first text.
+    got = {x.doc_id: x.labels for x in license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), ["doc_id"]).collect()}
+    assert got == {1: "cc-by,cc-by-nc,cc-by-sa", 2: "mit", 3: "cc-by", 4: "", 5: "mit", 6: "mit"}
