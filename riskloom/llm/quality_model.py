@@ -3,11 +3,12 @@
 Eight labellers vote good, bad or abstain on every text.  Spark counts how often each combination of votes occurs (3 ** 8 at
 most), and expectation-maximisation on these counts estimates the share of good texts and how each labeller votes on
 good and on bad ones; each combination's posterior follows.  The posteriors of a sample of ``rows`` texts, chosen by a
-hash of the id, train a logistic regression on hashed features: words, word shapes, and words that repeat the one
+hash of id and text, train a logistic regression on hashed features: words, word shapes, and words that repeat the one
 before.  The scorer sees every text whole, also where labellers abstain.
 
 * Null and empty texts have no features; their votes are those of a text without words, and their score is the bias's.
 * Rows without id, repeated rows and extra columns change nothing for others; repeated rows get equal scores.
+* Texts that share an id are told apart, each with its own votes; rows that share id and text are learned from once.
 * On an empty table nothing is learned, and the model scores 0.5.
 """
 
@@ -150,16 +151,19 @@ def voted(text: Column) -> Column:
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Weights of the hashed features and the bias."""
-    seen = computed(docs.select(F.col(f"`{key}`").alias("id"), voted(F.col(f"`{text}`")).alias("votes")))
+    bytes_of = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    node = F.unhex(F.md5(bytes_of)).alias("node")
+    seen = computed(docs.select(F.col(f"`{key}`").alias("id"), node, voted(F.col(f"`{text}`")).alias("votes")))
     counts = sorted((r["votes"], r["n"]) for r in seen.groupBy("votes").agg(F.count("*").alias("n")).collect())
     if not counts:
         return np.zeros(1 << BITS), 0.0
     combination, count = (np.array(x) for x in zip(*counts))
     good = dict(zip(combination.tolist(), posteriors(combination, count.astype(float)).tolist()))
 
-    chosen = computed(seen.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("votes").alias("votes")).orderBy(F.xxhash64("id"), "id").limit(rows))
-    body = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
-    sample = body.join(F.broadcast(chosen), "id")  # ``rows`` rows of two numbers at most
+    chosen = computed(seen.where(F.col("id").isNotNull()).dropDuplicates(["id", "node"]).orderBy(F.xxhash64("id", "node"), "id", "node").limit(rows))
+    body = docs.select(F.col(f"`{key}`").alias("id"), node, bytes_of.alias("text"))
+    sample = body.join(F.broadcast(chosen), ["id", "node"])  # ``rows`` narrow rows at most
+    sample = sample.groupBy("id", "node").agg(F.max("votes").alias("votes"), F.max("text").alias("text"))
 
     def listed(batches):
         for batch in batches:

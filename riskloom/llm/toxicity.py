@@ -3,10 +3,10 @@
 Learning: n-grams of the labelled texts are hashed to buckets; Spark counts in how many toxic and other texts each
 bucket occurs; the buckets that tell the classes apart best (chi-square) become features.  A feature's value in a text
 is the log ratio of its smoothed class frequencies if the text has it, else 0.  Logistic regression on these values is
-fitted on the driver.  ``rows`` bounds the labelled rows used, chosen by a hash of the id; ``features`` bounds the model (n-grams in fewer than five texts are left out).
+fitted on the driver.  ``rows`` bounds the labelled texts used, chosen by a hash of id and text; ``features`` bounds the model (n-grams in fewer than five texts are left out).
 
 * Null and empty texts have no n-grams and get the score of the bias alone.
-* Rows without id are scored, but have no label to learn from.  A text labelled more than once is learned from as often.
+* Rows without id are scored, but have no label to learn from.  Rows that share id and text count once for each label that differs.
 * With no labelled rows of both classes every score is the smoothed share of toxic labels (0.5 without labels).
 * Texts are read whole; repeated rows get equal scores.
 """
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import mixed, slices
+from riskloom.llm.common import mixed, slices, whole
 from riskloom.llm.linear import fit, sigmoid
 from riskloom.session import computed
 
@@ -80,14 +80,15 @@ def learned_from(doc_id: Column) -> Column:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    chosen = (
+    labelled = (
         labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
         .where(learned_from(F.col("_id")) & F.col("_label").isin(0, 1))
-        .orderBy(F.xxhash64("_id"), "_id", "_label")
-        .limit(rows)
+        .distinct()
     )
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    return computed(texts.join(F.broadcast(chosen), "_id"))  # no more than ``rows`` rows of two numbers
+    texts = docs.select(F.col("doc_id").alias("_id"), F.unhex(F.md5(whole().cast("binary"))).alias("_node"), F.col("text").alias("_text"))
+    picked = texts.select("_id", "_node").distinct().join(labelled, "_id").orderBy(F.xxhash64("_id", "_node"), "_id", "_node", "_label").limit(rows)
+    sample = texts.join(F.broadcast(computed(picked)), ["_id", "_node"])  # no more than ``rows`` narrow rows
+    return computed(sample.groupBy("_id", "_node", "_label").agg(F.max("_text").alias("_text")))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS, features: int = FEATURES) -> Model:

@@ -2,6 +2,7 @@
 
 import random
 
+from riskloom.llm import quality_model, toxicity
 from riskloom.llm.licenses import license_scan
 from riskloom.llm.near_copies import NearCopies, linked
 
@@ -53,3 +54,37 @@ def test_notice_before_a_partial_repeat(spark):
     # As without the repeat, three of the four pairs of the notice of cc-by-nc stand in the first text.
     got = {x.doc_id: x.labels for x in license_scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), ["doc_id"]).collect()}
     assert got == {1: "cc-by,cc-by-nc,cc-by-sa", 2: "mit", 3: "cc-by", 4: "", 5: "mit", 6: "mit"}
+
+
+def of_one_id(spark):
+    """An id with 60 texts, some of them repeated, and 20 with one text each; the first half of the texts is junk."""
+    good = "The words of this text are of many kinds and every one is read by those who like to read long texts about nothing much. "
+    texts = [f"#{n} $$ {n} " * 3 if n < 30 else f"Text {chr(60 + n)} begins. " + good * 3 for n in range(60)]
+    rows = [(1, t) for t in texts + texts[:10] * 3] + [(100 + n, f"{chr(65 + n)} " + good * 3) for n in range(20)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = of_one_id(spark)
+    labels = spark.createDataFrame([(1, 1), (1, 1), (1, 1), *[(100 + n, 0) for n in range(20)]], "doc_id long, toxic int")
+    assert toxicity._labelled(docs, labels, "toxic", 10).count() == 10
+    every = toxicity._labelled(docs, labels, "toxic", 1000)
+    assert every.where("_id = 1").count() == 60
+    assert every.count() == every.select("_id", "_text").distinct().count()
+
+
+def test_quality_sample_is_bounded(spark, monkeypatch):
+    seen = {}
+    fit = quality_model.fit
+
+    def spy(row, column, value, target, *more):
+        seen["target"] = target
+        return fit(row, column, value, target, *more)
+
+    monkeypatch.setattr(quality_model, "fit", spy)
+    docs = of_one_id(spark).where("doc_id = 1")
+    quality_model.train(docs, rows=10)
+    assert len(seen["target"]) == 10
+    quality_model.train(docs, rows=1000)
+    assert len(seen["target"]) == 60
+    assert (seen["target"] < 0.5).sum() == 30, "each text has its own votes"
