@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import secret_scan as secrets
-from riskloom.llm import decontaminate, licenses, mixing, quality_model, rules, token_count, toxicity
+from riskloom.llm import decontaminate, licenses, mixing, prefix_trie, quality_model, ranked_search, rules, token_count, toxicity
 from riskloom.llm.near_copies import NearCopies
 from riskloom.llm.substrings import Repeats
+from riskloom.llm.token_files import Encoder, TokenFiles
 from riskloom.llm.common import table, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -281,3 +282,71 @@ def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = docs.select("doc_id", quality_model.score(spark, F.col("text"), quality_model.train(docs)).alias("score"))
     return scored.withColumn("kept", F.col("score") >= 0.5)
+
+
+# ---------------------------------------------------------------- 11: ranked lexical search
+
+BEST = 50
+
+OP11_SQL = f"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+q as (select row_number() over () as item_row, item_id, list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as ts from benchmark),
+sizes as (select rid, doc_id, len(ts) as n from d where len(ts) > 0),
+sums as (select count(*) as total, cast(sum(n) as bigint) as length from sizes),
+tf as (select rid, term, count(*) as tf from (select rid, unnest(ts) as term from d) group by all),
+weights as (select term, cast(floor(1000 * ln((2 * total + 2) / (2 * count(*) + 1))) as bigint) as w from tf, sums group by term, total),
+scores as (select item_row, rid, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * total) // length)))) as bigint) as score
+  from (select item_row, unnest(ts) as term from q) join tf using (term) join weights using (term) join sizes using (rid), sums group by all),
+ranked as (select *, row_number() over (partition by item_row order by score desc, doc_id nulls last) as rank from scores join sizes using (rid) where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked join q using (item_row) where rank <= {BEST}
+"""
+
+
+@query(OP11_SQL)
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    found = ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), BEST)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("key").alias("doc_id"), "score")
+
+
+# ---------------------------------------------------------------- 12: token ids in binary files
+
+END_ID = 1
+
+
+@query()
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, number and checksum of every document's token ids, read back from the written files by the document's key."""
+    docs = table(spark, folder, "documents")
+    files = TokenFiles.write(docs, Encoder(public_tokenizers.path("word_bpe_49k.json"), END_ID))
+    ids = files.read(docs)
+    return ids.select(F.col("key").alias("doc_id"), "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+# ---------------------------------------------------------------- 13: conversation prefix trie
+
+OP13_SQL = f"""
+with t as (select conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words,
+    row_number() over (partition by conv_id order by turn nulls first, key) - 1 as nth from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % {prefix_trie.FAMILY} as head, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))))) % {prefix_trie.HEADS} as h from (select distinct conv_id from t)),
+r as (select c.conv_id, 0 as part, nth, key, words from c join t on t.conv_id = head where nth < h union all select conv_id, 1, nth, key, words from c join t using (conv_id) where nth >= h),
+s as (select conv_id, coalesce(ks, []) as ks, coalesce(ws, []) as ws from c left join (select conv_id, list(key order by part, nth) as ks, list(words order by part, nth) as ws from r group by conv_id) using (conv_id)),
+paths as (select conv_id, d, ks[1:d] as path, coalesce(ws[d], 0) as words, len(ks) = d as ends from (select *, unnest(range(0, len(ks) + 1)) as d from s)),
+nodes as (select path, d, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(words) as saved,
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256 from paths group by path, d),
+kids as (select path[1:d - 1] as path, count(*) as n_children from nodes where d > 0 group by 1),
+each as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids using (path)),
+sums as (select path[1:up] as path, count(*) filter (n_children = 0) as n_leaves, cast(sum(saved) as bigint) as saved_tokens from (select *, unnest(range(0, d + 1)) as up from each) group by 1)
+select each.conv_id, each.d as depth, above.conv_id as parent_conv_id, each.n_convs, each.n_children, n_leaves, saved_tokens, each.ends_sha256
+from each join sums using (path) left join nodes above on above.path = each.path[1:each.d - 1] and above.d = each.d - 1
+"""
+
+
+@query(OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations with its members, children, leaves and saved tokens."""
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))

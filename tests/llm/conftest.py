@@ -59,3 +59,10 @@ def folder(tmp_path):
         return str(tmp_path)
 
     return write
+
+
+@pytest.fixture(scope="session")
+def talks(spark):
+    rows = [(c, t, "user" if t % 2 else None, f"turn {t}" if c % 3 else None, c, "x", 0, None) for c in range(1, 45) for t in range(c % 5)]
+    rows += [(None, 1, "user", "nobody's", 1, "x", 0, None), (3, None, "user", "first", 2, None, 1, "y"), (3, 1, "user", "turn 1", 3, "y", 1, None), (4, 0, None, "long " * 30_000, 1, "x", 0, None)]
+    return spark.createDataFrame([*rows, (None,) * 8], "conv_id long, turn long, role string, text string, conv long, key string, pos int, parent string")

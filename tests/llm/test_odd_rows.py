@@ -11,20 +11,25 @@ NAMES = list(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_odd_rows(spark, odd, labels, benchmark, folder, name):
-    got = QUERIES[name](spark, folder(documents=odd, labels=labels, benchmark=benchmark)).collect()
+def test_odd_rows(spark, odd, labels, benchmark, talks, folder, name):
+    got = QUERIES[name](spark, folder(documents=odd, labels=labels, benchmark=benchmark, conversations=talks)).collect()
     if name.startswith("op3"):
         assert {(r.doc_id, r.item_id) for r in got} == {(2, 1), (3, 1), (4, 1)}
     elif name.startswith("op4"):
         assert all(r.n_tokens > 0 for r in got)
+    elif name.startswith("op11"):
+        assert {x.item_id for x in got} <= {1, 4, 5, None} and max(x["rank"] for x in got) <= 50
+    elif name.startswith("op13"):
+        root = [x for x in got if x.depth == 0]
+        assert len(root) == 1 and root[0].n_convs == talks.where("conv_id IS NOT NULL").select("conv_id").distinct().count()
     else:
         assert len(got) == odd.count()
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_empty_tables(spark, nothing, no_labels, benchmark, folder, name):
+def test_empty_tables(spark, nothing, no_labels, benchmark, talks, folder, name):
     empty = benchmark.limit(0)
-    assert QUERIES[name](spark, folder(documents=nothing, labels=no_labels, benchmark=empty)).collect() == []
+    assert QUERIES[name](spark, folder(documents=nothing, labels=no_labels, benchmark=empty, conversations=talks.limit(0))).collect() == []
 
 
 def test_no_labels_and_no_items(spark, odd, no_labels, benchmark, folder):
