@@ -1,19 +1,23 @@
 """Near copies by order MinHash, verified by banded alignment of words.
 
-A text's k-mers are its runs of k words, labelled by how often the run stood before.  Each hash order picks the smallest
-labelled k-mers of a text and hashes them in text order, so texts that hold the k-mers in another order differ.  Of the
-orders (``KINDS``) some pick two runs of five words; others one run of four, as few pairs of runs survive where every fifth
-word is changed; and texts of up to ``SHORT`` words also have single runs of two, as a changed word leaves them few longer
-ones.  Texts that share a sketch are candidates; sketches that stand in one text only are dropped first.
+A text's k-mers are its runs of k words, labelled by how often the run stood before.  Each hash order picks the two smallest
+labelled k-mers of a text and hashes them in text order, so texts that hold the k-mers in another order differ.  The
+orders (``KINDS``) pick runs of three words, as few longer ones survive where every fifth word is changed; texts of up to
+``SHORT`` words also have orders of runs of two, as a changed word leaves them few longer ones.
+Texts that share a sketch are candidates; sketches that stand in one text only are dropped first.
 
 Two texts are *linked* if their words differ by at most a fifth of the longer one's (edit similarity 0.8 or more).  Classes are
 the components of the links between candidates.  Groups are never paired out:
 
-1. candidates are aligned with the shortest text that they share a sketch with, and the links give components: a
-   group of near copies costs a few alignments for each member;
-2. only sketches that stand in several components can hold an open link.  Their texts are compared across components in
-   blocks of bounded size, by counts of words in bins: the sum of the bins in which one text has more is at most
-   the number of edits.  Only pairs that this bound leaves are written, and aligned.
+1. each candidate is aligned with one text: of the shortest texts of its sketches that with which it shares most.  The links
+   give components, so a group of near copies costs an alignment for each member; this is done again with
+   texts of the largest components that it shares a sketch with;
+2. only texts with a sketch that stands in several components can have an open link.  Those are compared across
+   components through an exact prefix filter, in which a passage that many of them share is no key.  Words are labelled by
+   occurrence and ordered from the rarest, by counts in a table of fixed size; linked texts of which the longer has n words
+   have all but n / 5 in common, so their first n / 5 + m share m.  The words that begin each text are joined, and
+   only pairs with enough of them in common (m is a tenth of the shorter text) are aligned.  Words that stand in one open
+   text only are not even written.
 
 So every candidate pair is either aligned, or in one component already, or too different in words to be linked.
 
@@ -21,10 +25,12 @@ So every candidate pair is either aligned, or in one component already, or too d
 * A text of fewer than k words is a single k-mer.
 * ``class_id`` is the smallest id of the class, NULL only if no member has an id; rows are told apart by id and text.
 * Texts are read whole.
+* The prefix filter costs most where a word that is among the rarest of many open texts stands in most of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -35,15 +41,16 @@ from pyspark.sql import functions as F
 from riskloom.llm.align import banded_distance
 from riskloom.llm.common import Words, gram_hashes, id_filter, joined_small, mixed, slices
 from riskloom.llm.components import components
-from riskloom.session import computed
+from riskloom.session import computed, remove, shared_folder
 
 SIMILARITY = 0.8
 #: Words of a run, runs that an order picks, and the number of orders; the last kind is for short texts alone.
-KINDS = ((5, 2, 16), (4, 1, 24), (2, 1, 16))
+KINDS = ((3, 2, 56), (2, 2, 24))
 SKETCHES = sum(orders for _, _, orders in KINDS)
 #: Words of a short text.
 SHORT = 24
-BINS, COARSE, BLOCK = 1024, 128, 1024
+#: Words counted together, and rows of the table of counts that are summed at a time.
+COUNTED, COUNT_ROWS = 1 << 23, 1 << 16
 #: Texts whose sketches and pairs one task handles; the tables of these are narrow, and more files than needed cost disk.
 TASK_ROWS = 20_000
 #: Rounds in which open texts are aligned with one text of their sketch's largest component, before the rest is compared.
@@ -81,20 +88,19 @@ def _picked(words: Words, k: int, least: int, seeds: range) -> np.ndarray:
     full = np.flatnonzero(words.count > 0)
     if not len(full):
         return out
-    begin = first[full]
-    owner = np.repeat(np.arange(len(full)), np.diff(first)[full])
+    begin, size = first[full], np.diff(first)[full]
     for n_seed, seed in enumerate(seeds):
-        rank = mixed(label ^ np.uint64((seed + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
-        if least == 1:
-            out[full, n_seed] = np.minimum.reduceat(rank, begin)
-            continue
+        turn = mixed(np.array([2 * seed + 1, 2 * seed + 2], np.uint64))
+        rank = (label ^ turn[0]) * (turn[1] | np.uint64(1))
         picked = np.empty((least, len(full)), np.int64)
         for n in range(least):
             low = np.minimum.reduceat(rank, begin)
-            hit = np.flatnonzero(rank == low[owner])
-            place = hit[np.searchsorted(owner[hit], np.arange(len(full)))]
-            picked[n] = np.where(low == _NONE, len(label), place)  # fewer k-mers than asked for
-            rank[place] = _NONE
+            hit = np.flatnonzero(rank == np.repeat(low, size))
+            if len(hit) != len(full):  # texts with fewer k-mers than asked for have used them up
+                owner = np.repeat(np.arange(len(full)), size)[hit]
+                hit = hit[np.searchsorted(owner, np.arange(len(full)))]
+            picked[n] = np.where(low == _NONE, len(label), hit)
+            rank[hit] = _NONE
         picked.sort(axis=0)
         value = np.zeros(len(full), np.uint64)
         for place in picked:
@@ -147,57 +153,50 @@ def _linked(batches):
         yield batch.filter(pa.array(close, pa.bool_())).select(["a", "b"])
 
 
-def _binned(batches):
-    """Words of each text counted in bins; more than 255 in a bin count as 255, which keeps the bound a bound."""
+def _word_counts(batches):
+    """How many texts hold each labelled word, counted together by hash: rows of one byte for each count, up to 255."""
+    total = np.zeros(COUNTED, np.uint8)
     for batch in batches:
         texts = [x.as_py() for x in batch.column("text")]
-        out = []
         for a, b in slices(texts):
-            words = Words(texts[a:b])
-            bins = (words.hash >> np.uint64(54)).astype(np.int64)
-            counts = np.bincount(words.owner() * BINS + bins, minlength=(b - a) * BINS).reshape(-1, BINS)
-            out += [x.tobytes() for x in np.minimum(counts, 255).astype(np.uint8)]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], names=["node", "bins"])
+            label, _ = _labelled(Words(texts[a:b]), 1)
+            bins, n = np.unique((label % np.uint64(COUNTED)).astype(np.int64), return_counts=True)
+            total[bins] = np.minimum(total[bins] + n, 255)
+    held = [i for i in range(0, COUNTED, COUNT_ROWS) if total[i : i + COUNT_ROWS].any()]
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array([total[i : i + COUNT_ROWS].tobytes() for i in held], pa.binary())], names=["at", "counts"])
 
 
-def _open_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of a block, or between two blocks, of different components that may be linked and share a sketch.
+def _summed(group: pa.Table) -> pa.Table:
+    total = np.zeros(COUNT_ROWS, np.int64)
+    for x in group.column("counts"):
+        total += np.frombuffer(x.as_py(), np.uint8)
+    return pa.table({"at": group.column("at").slice(0, 1), "counts": [np.minimum(total, 255).astype(np.uint8).tobytes()]})
 
-    A pair that meets in several buckets is given by that of its first shared sketch.
-    """
-    n = group.num_rows
-    nth = group.column("bucket")[0].as_py() % SKETCHES if n else 0
-    bins = np.frombuffer(b"".join(group.column("bins").to_pylist()), np.uint8).reshape(n, BINS).astype(np.int16)
-    coarse = bins.reshape(n, COARSE, -1).sum(axis=2, dtype=np.int16)
-    held = group.column("sketches").combine_chunks()
-    used = np.arange(SKETCHES) < np.diff(held.offsets.to_numpy())[:, None]
-    sketch = np.zeros((n, SKETCHES), np.int64)
-    sketch[used] = held.flatten().to_numpy()
-    words = group.column("n_words").to_numpy()
-    nodes = group.column("node").to_pylist()
-    label = np.unique(np.array([x.hex() for x in group.column("label").to_pylist()]), return_inverse=True)[1].reshape(-1)
-    left, right = group.column("left").to_numpy(zero_copy_only=False), group.column("right").to_numpy(zero_copy_only=False)
-    main = np.bincount(label).argmax()
-    a, b = [], []
-    for i in np.flatnonzero(label != main):
-        # A pair within the minority is found from its smaller place; one across two blocks, from either side.
-        other = (label != label[i]) & ((label == main) | (np.arange(n) > i))
-        other &= (left[i] & right) | (right[i] & left)
-        at = np.flatnonzero(other)
-        at = at[np.minimum(words[at], words[i]) >= SIMILARITY * np.maximum(words[at], words[i]) - 1e-9]
-        same = (sketch[at] == sketch[i]) & used[at] & used[i]
-        at = at[same.argmax(axis=1) == nth]
-        most = np.floor((1 - SIMILARITY) * np.maximum(words[at], words[i]) + 1e-9)
-        for counts in (coarse, bins):
-            gap = counts[at] - counts[i]
-            more = np.where(gap > 0, gap, 0).sum(axis=1)
-            near = (more <= most) & (more - gap.sum(axis=1) <= most)
-            at, most = at[near], most[near]
-        for j in at.tolist():
-            x, y = sorted((nodes[i], nodes[j]))
-            a.append(x)
-            b.append(y)
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+def shared_words(n: int) -> int:
+    """Words that the beginnings of two linked texts, of which the shorter has n words, have in common."""
+    return 1 + n // 10
+
+
+def _beginnings(shared):
+    """Rows (word, node) of the labelled words that begin a text, rarest first, without those that no other open text has."""
+
+    def run(batches):
+        often = shared.value
+        for batch in batches:
+            texts = [x.as_py() for x in batch.column("text")]
+            for a, b in slices(texts):
+                label, first = _labelled(Words(texts[a:b]), 1)
+                count = often[(label % np.uint64(COUNTED)).astype(np.int64)]
+                size = np.diff(first)
+                owner = np.repeat(np.arange(b - a), size)
+                order = np.lexsort((label, count, owner))
+                most = np.array([most_edits(int(n)) + shared_words(int(n)) for n in size])
+                nth = np.arange(len(label)) - np.repeat(first[:-1], size)
+                kept = order[(nth < np.repeat(most, size)) & (count[order] > 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(label[kept].view(np.int64)), batch.column("node").take(pa.array(owner[kept] + a))], names=["word", "node"])
+
+    return run
 
 
 def _bucket(nth: str, sketch: str) -> Column:
@@ -235,12 +234,14 @@ class NearCopies:
         return self._few(self._few(nodes).join(self._few(own), "node"))
 
     def _texts(self, nodes: DataFrame) -> DataFrame:
-        """(node, text) of some nodes: the text of one row, or of few rows that share id and text."""
+        """(node, text) of some nodes, written: the text of one row, or of few rows that share id and text."""
         one = self._few(self._few(self.rows).join(nodes, "node", "left_semi")).groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one"))
         chosen = computed(self._few(one).select(F.col("node").alias("_node"), F.col("one.id").alias("_id")))
         same = (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))
         maybe = self.docs.where(id_filter(chosen.select(F.col("_node").alias("node")), ["node"]))
-        return computed(joined_small(maybe, chosen, same, "inner").select("node", "text"))
+        self.folder = f"{shared_folder(nodes.sparkSession)}/near-{uuid.uuid4().hex}"
+        joined_small(maybe, chosen, same, "inner").select("node", "text").write.parquet(self.folder, compression="zstd")
+        return nodes.sparkSession.read.parquet(self.folder)
 
     def _aligned(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         # Only texts that a pair may name are moved.
@@ -248,10 +249,10 @@ class NearCopies:
             texts.where(id_filter(pairs.select(F.col(side).alias("node")), ["node"])).withColumnsRenamed({"node": side, "text": f"text_{side}"}) for side in "ab"
         )
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return computed(self._few(both.mapInArrow(_linked, "a binary, b binary")))
+        return computed(both.mapInArrow(_linked, "a binary, b binary"))
 
     def _star(self, members: DataFrame, order: Column) -> DataFrame:
-        """Pairs of each member with the first ``centre`` of its bucket and band.
+        """A pair for each member: with the first ``centre`` of its buckets and bands, that which it meets in most of them.
 
         Members of the centre's own component, where labels are known, need no pair.
         """
@@ -261,12 +262,41 @@ class NearCopies:
         if "label" in members.columns:
             apart = F.col("label") != F.col("main")
         star = members.join(low, ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
-        pairs = star.select(F.least("low.node", "node").alias("a"), F.greatest("low.node", "node").alias("b"))
-        return computed(self._few(self._few(pairs).distinct()))
+        votes = self._few(star.groupBy("node", F.col("low.node").alias("centre")).agg(F.count("*").alias("votes")))
+        best = self._few(votes.groupBy("node").agg(F.max(F.struct("votes", "centre")).alias("best")))
+        pairs = best.select(F.least("best.centre", "node").alias("a"), F.greatest("best.centre", "node").alias("b"))
+        return computed(self._few(pairs.distinct()))
 
     def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
         return computed(self._few(members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))))
 
+    def _beginning(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+        """(word, node, n_words, label, main) of the words that begin the texts of ``nodes`` (node, n_words, label).
+
+        Words that stand in one component only are left out; ``main`` is the component that most nodes of a word belong to.
+        """
+        spark = texts.sparkSession
+        own = texts.join(nodes, "node", "left_semi")
+        often = np.zeros(COUNTED, np.uint8)
+        # A byte for each count, of fixed number.
+        for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").toLocalIterator():
+            often[row["at"] : row["at"] + COUNT_ROWS] = np.frombuffer(row["counts"], np.uint8)
+        words = own.mapInArrow(_beginnings(spark.sparkContext.broadcast(often)), "word long, node binary")
+        words = computed(words.join(nodes, "node"))
+        main = words.groupBy("word", "label").agg(F.count("*").alias("n")).groupBy("word").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+        return words.join(main.where("parts > 1").select("word", F.col("main.label").alias("main")), "word")
+
+    def _similar(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+        """Pairs (a, b) of nodes of different components with enough words in common to be linked."""
+        words = computed(self._beginning(nodes, texts))
+        # Nodes of a word's main component are paired with the others only.
+        left = words.where("label <> main").select("word", *[F.col(c).alias(f"{c}_a") for c in ("node", "n_words", "label")])
+        right = words.select("word", *[F.col(c).alias(f"{c}_b") for c in ("node", "n_words", "label")], "main")
+        once = (F.col("label_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
+        met = left.join(right, "word").where((F.col("label_a") != F.col("label_b")) & once & _close("n_words_a", "n_words_b"))
+        pair = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), F.least("n_words_a", "n_words_b").alias("n")
+        return met.select(*pair).groupBy("a", "b", "n").agg(F.count("*").alias("common")).where("common > floor(n / 10)").select("a", "b")
+
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes, enough to join all that candidates link."""
         own = computed(self._candidates())
@@ -286,7 +316,7 @@ class NearCopies:
         placed = self._placed(each, links)
         for n in range(STAR_ROUNDS):
             main = self._few(placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-            open_ones = placed.join(main.where("parts > 1"), "bucket").select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.col("label"), F.col("main.label").alias("main"))
+            open_ones = placed.join(main.where("parts > 1 AND main.n > 1"), "bucket").select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.col("label"), F.col("main.label").alias("main"))
             centred = self._few(open_ones).withColumn("centre", F.col("label") == F.col("main"))
             again = computed(self._few(self._star(centred, F.xxhash64("node", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
             found = self._aligned(again, texts)
@@ -294,19 +324,12 @@ class NearCopies:
                 break
             tried, links = tried.union(again), links.union(found)
             placed = self._placed(each, links)
-        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"))
-        several = several.where("one <> other").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        open_members = computed(self._few(placed.join(self._few(several), "bucket")).select("bucket", "blocks", "node", "label", "n_words"))
-        about = self._few(own.join(self._few(open_members.select("node").distinct()), "node", "left_semi").select("node", "sketches"))
-        about = about.join(texts.join(about.select("node"), "node", "left_semi").mapInArrow(_binned, "node binary, bins binary").dropDuplicates(["node"]), "node")
-        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        each_pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j")))
-        members = open_members.select("bucket", "node", "label", "n_words", block.alias("block"), F.explode(each_pair).alias("pair"))
-        sides = [(F.col("block") == F.col("pair.i")).alias("left"), (F.col("block") == F.col("pair.j")).alias("right")]
-        compared = self._few(members.select("bucket", "pair", "node", "label", "n_words", *sides).join(self._few(about), "node"))
-        more = compared.groupBy("bucket", "pair").applyInArrow(_open_pairs, "a binary, b binary")
-        more = computed(self._few(self._few(more).distinct().join(self._few(tried), ["a", "b"], "left_anti")))
-        return links.union(self._aligned(more, texts))
+        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other").select("bucket")
+        open_nodes = computed(self._few(placed.join(several, "bucket", "left_semi").select("node", "n_words", "label")).distinct())
+        more = computed(self._few(self._similar(open_nodes, texts).join(self._few(tried), ["a", "b"], "left_anti")))
+        links = links.union(self._aligned(more, texts))
+        remove(texts.sparkSession, self.folder)
+        return links
 
     def classes(self) -> DataFrame:
         """id, node, class_id, class_size and ``first`` (the row of the class to keep) of every row."""
