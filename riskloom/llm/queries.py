@@ -115,23 +115,25 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    rows = ", ".join(f"({n}, '{t.label}', {int(t.phrase)}, string_split('{t.text}', ' '))" for n, t in enumerate(licenses.TEMPLATES))
-    slack, share, stretch = licenses.SLACK, licenses.SHARE, licenses.STRETCH
+    rows = ", ".join(f"({n}, '{t.label}', {int(t.phrase)}, string_split('{t.text}', ' '), {[] if t.phrase else t.telling()}::int[])" for n, t in enumerate(licenses.TEMPLATES))
+    near = f"list_transform(list_filter(spots, lambda x: x.here >= s.here and x.here - s.here + 1 <= {licenses.STRETCH} * pairs), lambda x: x.there)"
+    slack, share = licenses.SLACK, licenses.SHARE
     return f"""
-with templates(tid, label, phrase, ws) as (values {rows}),
+with templates(tid, label, phrase, ws, tells) as (values {rows}),
 places as (select tid, i - 1 as there, ws[i] as a, ws[i + 1] as b from (select tid, ws, unnest(range(1, len(ws))) as i from templates)),
 d as (select row_number() over () as rid, doc_id,
   regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
 pairs as (select rid, i - 1 as here, ws[i] as a, ws[i + 1] as b from (select rid, ws, unnest(range(1, len(ws))) as i from d)),
-votes as (select rid, tid, here - there as diagonal, here from pairs join places using (a, b)),
-diagonals as (select rid, tid, diagonal, list(here) as spots from votes group by all),
+votes as (select rid, tid, here - there as diagonal, cast(here as int) as here, cast(there as int) as there from pairs join places using (a, b)),
+diagonals as (select rid, tid, diagonal, list(struct_pack(here := here, there := there)) as spots from votes group by all),
 marked as (select *, case when diagonal - lag(diagonal) over w <= case phrase when 1 then 0 else {slack} end then 0 else 1 end as fresh
   from diagonals join templates using (tid) window w as (partition by rid, tid order by diagonal)),
 numbered as (select *, sum(fresh) over (partition by rid, tid order by diagonal) as span from marked),
-merged as (select rid, tid, label, phrase, len(any_value(ws)) - 1 as pairs, list_distinct(flatten(list(spots))) as spots, min(diagonal) as start
+merged as (select rid, tid, label, phrase, any_value(tells) as tells, len(any_value(ws)) - 1 as pairs, flatten(list(spots)) as spots, min(diagonal) as start
   from numbered group by rid, tid, label, phrase, span),
-spans as (select *, least(len(spots) / pairs, 1.0) as share, case when phrase = 1 then len(spots) = pairs
-  else len(spots) / pairs >= {share} and list_max(spots) - list_min(spots) + 1 <= {stretch} * pairs end as verified from merged),
+spans as (select *, case when phrase = 1 then len(spots) / pairs else list_max(list_transform(spots, lambda s: len(list_distinct({near})))) / pairs end as share,
+  case when phrase = 1 then len(spots) = pairs
+  else len(list_filter(spots, lambda s: len(list_distinct({near})) / pairs >= {share} and list_has_all({near}, tells))) > 0 end as verified from merged),
 found as (select rid, count(*) filter (verified and phrase = 1) as n_base, min(start) filter (verified and phrase = 1) as first_word,
   max(start) filter (verified and phrase = 1) as last_word,
   string_agg(distinct label, ',' order by label) filter (verified and phrase = 1) as base_labels,
@@ -158,7 +160,7 @@ def _rules_sql() -> str:
         "repeated": "repeated * 1000 // greatest(n, 1)", "long_words": "chars * 1000 // greatest(n, 1)", "short": "1000 // greatest(n, 1)",
     }
     tests = ", ".join(f"('{rule}', {c})" for rule, cs in rules.CUTOFFS.items() for c in cs)
-    risk, per = rules.RISK, rules.ERROR
+    risk, per = rules.RISK / len(rules.CUTOFFS), rules.ERROR
     pick = "case rule " + " ".join(f"when '{rule}' then {v}" for rule, v in value.items()) + " end"
     reject = " or ".join(f"coalesce(({v}) > (select min(cutoff) from safe where safe.stratum = f.stratum and rule = '{rule}'), false)" for rule, v in value.items())
     return f"""
@@ -253,16 +255,16 @@ q{depth} as (select {keys}{level}, cast(least(cap, case when saturated then cap
 
 
 OP4_SQL = f"""
-with d as (select doc_id, lang_ as lang, source_ as source, n_tokens,
+with d as (select doc_id, body, lang_ as lang, source_ as source, n_tokens,
     case when regexp_extract(source_, '([0-9]+)$', 1) = '' then '' else {list(mixing.NAMED_DOMAINS)}[cast(right(source_, 1) as int) % 3 + 1] end as domain
-  from (select doc_id, coalesce(lang, '') as lang_, coalesce(source, '') as source_, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_tokens from documents)
+  from (select doc_id, md5(coalesce(text, '')) as body, coalesce(lang, '') as lang_, coalesce(source, '') as source_, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as n_tokens from documents)
   where n_tokens > 0),
 leaves as (select domain, lang, source, sum(n_tokens) as tokens from d group by all),
 {",".join(_filled_sql(i) for i in range(3))},
 drawn as (select d.*, part // tokens as passes, part % tokens as rest,
-    md5('{mixing.SEED}:' || cast(part // tokens as bigint) || ':' || coalesce(cast(doc_id as varchar), '')) as rank
+    md5('{mixing.SEED}:' || cast(part // tokens as bigint) || ':' || coalesce(cast(doc_id as varchar), '') || ':' || body) as rank
   from d join leaves using (domain, lang, source) join q2 using (domain, lang, source)),
-summed as (select *, sum(n_tokens) over (partition by domain, lang, source order by rank, n_tokens) <= rest as more from drawn)
+summed as (select *, sum(n_tokens) over (partition by domain, lang, source order by rank) <= rest as more from drawn)
 select doc_id, domain, lang, source, n_tokens, unnest(range(0, cast(passes as bigint) + more::int)) as epoch from summed
 """
 
