@@ -100,15 +100,6 @@ def reversed_tree(node):
     return node
 
 
-def shortened(node):
-    """The tree without needless repeats at its end: it matches somewhere in a text exactly if ``node`` does."""
-    if node[0] == "seq" and node[1]:
-        return ("seq", [*node[1][:-1], shortened(node[1][-1])])
-    if node[0] == "alt":
-        return ("alt", [shortened(x) for x in node[1]])
-    return ("rep", node[1], node[2], node[2]) if node[0] == "rep" else node
-
-
 class _Nfa:
     def __init__(self):
         self.free: list[list[int]] = []
@@ -211,18 +202,18 @@ class Dfa:
         self.size, self.start = len(order), place[int(block[0])] * width
         self.table = [place[int(block[t])] * width for b in order for t in rows[first[b]]]
         self.accept = {place[b] * width: accept[first[b]] for b in order if accept[first[b]]}
+        self.ending = {s: tuple(i for i in range(bits.bit_length()) if bits >> i & 1) for s, bits in self.accept.items()}
         self.hot = min(self.accept, default=len(self.table))
         self.dead = {s for s in range(0, len(self.table), width) if s not in self.accept and set(self.table[s : s + width]) == {s}}
         self.width = width
 
 
 class Expression:
-    """Leftmost-longest matching of one expression by three automata: search, backwards and forwards."""
+    """Leftmost-longest matching of one expression by automata that read backwards and forwards."""
 
     def __init__(self, expression: str):
-        node = tree(expression)
-        self.search, self.forward = Dfa([node], True), Dfa([node], False)
-        self.backward = Dfa([reversed_tree(node)], False)
+        self.tree = node = tree(expression)
+        self.forward, self.backward = Dfa([node], False), Dfa([reversed_tree(node)], False)
         self._check(expression)
 
     def _check(self, expression: str) -> None:
@@ -249,39 +240,57 @@ class Expression:
                 pairs.add((a, b))
                 todo.append((a, b))
 
-    def longest(self, data: bytes, begin: int, end: int) -> int:
-        """Where the longest match from ``begin`` ends; -1 if there is none."""
-        d, codes = self.forward, data[begin:end].translate(self.forward.classes)
+    def longest(self, codes: bytes, begin: int, end: int) -> int:
+        """Where the longest match from ``begin`` ends; -1 if there is none.  ``codes`` are the text's classes."""
+        d = self.forward
         s, last = d.start, begin if d.start >= d.hot else -1
-        for i, c in enumerate(codes, begin + 1):
-            s = d.table[s + c]
+        for i in range(begin, end):
+            s = d.table[s + codes[i]]
             if s >= d.hot:
-                last = i
+                last = i + 1
             elif s in d.dead:
                 break
         return last
 
+    def leftmost(self, rear: bytes, last: int, least: int) -> int:
+        """Where the longest match that ends with byte ``last`` and begins at ``least`` or later begins; -1 if there is none."""
+        d = self.backward
+        s, begin = d.start, -1
+        for j in range(last, least - 1, -1):
+            s = d.table[s + rear[j]]
+            if s >= d.hot:
+                begin = j
+            elif s in d.dead:
+                break
+        return begin
+
     def matches(self, data: bytes) -> list[tuple[int, int]]:
         """Leftmost-longest matches that do not overlap."""
-        out, at, size = [], 0, len(data)
-        d, back = self.search, self.backward
-        codes, rear = data.translate(d.classes), data.translate(back.classes)
-        while at < size:
-            s = d.start
-            for i in range(at, size):
-                s = d.table[s + codes[i]]
-                if s >= d.hot:
-                    break
-            else:
-                break
-            r, begin = back.start, i
-            for j in range(i, at - 1, -1):
-                r = back.table[r + rear[j]]
-                if r >= back.hot:
-                    begin = j
-                elif r in back.dead:
-                    break
-            end = self.longest(data, begin, size)
-            out.append((begin, end))
-            at = end
-        return out
+        return [(begin, end) for _, begin, end in matches(Dfa([self.tree], True), [self], data)]
+
+
+def matches(together: Dfa, expressions: list[Expression], data: bytes) -> list[tuple[int, int, int]]:
+    """(expression, begin, end) of the leftmost-longest matches of every expression, in one pass over the text.
+
+    ``together`` searches for all expressions at once and tells where one may end.  Only there its own automata look at
+    the text again: backwards for the beginning, not before the end of its last match, and forwards for the end.  Each
+    byte of a match is thus read a fixed number of times.
+    """
+    out, done = [], [0] * len(expressions)
+    coded: dict[int, tuple[bytes, bytes]] = {}
+    table, hot, ending = together.table, together.hot, together.ending
+    s = together.start
+    for i, c in enumerate(data.translate(together.classes)):
+        s = table[s + c]
+        if s >= hot:
+            for n in ending[s]:
+                if i >= done[n]:
+                    own = expressions[n]
+                    if n not in coded:
+                        coded[n] = data.translate(own.backward.classes), data.translate(own.forward.classes)
+                    rear, codes = coded[n]
+                    begin = own.leftmost(rear, i, done[n])
+                    if begin >= 0:
+                        done[n] = own.longest(codes, begin, len(data))
+                        out.append((n, begin, done[n]))
+    return out

@@ -1,8 +1,9 @@
 """Secret scan: one minimal automaton for all rules, one pass over the bytes of every text.
 
 The rules are compiled to a single deterministic automaton (subset construction, then minimisation) whose transition
-array the tasks receive.  One pass over a text tells which rules match it at all; the few texts with a match are then
-run through those rules' own automata for exact leftmost-longest spans.
+array the tasks receive.  One pass over a text tells where each rule's matches end; from such a place the rule's own
+automata read back to where the match begins, not beyond the last one, and on to where the longest ends.
+The work grows with the length of a text, however many secrets are in it.
 
 * A null or empty text has no spans.
 * Spans count code points, the end is exclusive; they are sorted by start, then by the order of the rules.
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskloom.llm.automata import Dfa, Expression, shortened, tree
+from riskloom.llm.automata import Dfa, Expression, matches
 
 
 @dataclass(frozen=True)
@@ -63,30 +64,18 @@ SPANS = "array<struct<kind:string,start:long,end:long>>"
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = rules
-        self.all = Dfa([shortened(tree(r.expression)) for r in rules], True)
         self.own = [Expression(r.expression) for r in rules]
+        self.all = Dfa([x.tree for x in self.own], True)
         self.heads = [Expression(r.head) if r.head else None for r in rules]
 
-    def present(self, data: bytes) -> int:
-        """A bit for every rule that matches somewhere."""
-        table, hot, accept = self.all.table, self.all.hot, self.all.accept
-        s, seen = self.all.start, 0
-        for c in data.translate(self.all.classes):
-            s = table[s + c]
-            if s >= hot:
-                seen |= accept[s]
-        return seen
-
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(rule number, first byte, end) of every secret, sorted by start, then rule."""
-        seen = self.present(data)
         found = []
-        for n, rule in enumerate(self.rules):
-            if seen >> n & 1:
-                for begin, end in self.own[n].matches(data):
-                    head = self.heads[n].longest(data, begin, end) if self.heads[n] else begin
-                    if end - head >= rule.least:
-                        found.append((begin, n, end))
+        for n, begin, end in matches(self.all, self.own, data):
+            own = self.heads[n]
+            head = own.longest(data[begin:end].translate(own.forward.classes), 0, end - begin) if own else 0
+            if end - begin - head >= self.rules[n].least:
+                found.append((begin, n, end))
         return [(n, begin, end) for begin, n, end in sorted(found)]
 
 
