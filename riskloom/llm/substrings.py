@@ -189,7 +189,7 @@ class Repeats:
         paths = self._repeats(found, first.where("n > 1"))
         branching = first.groupBy("seed").agg((F.count("*") + F.max(F.col("source.place").bitwiseAND(F.lit(1)))).alias("n")).where("n > 1").select("seed")
         apart = first.join(branching, "seed").select(*[f"source.{c}" for c in self.who], F.struct("seed", "source.place").alias("p"))
-        at = apart.groupBy(*self.who).agg(F.collect_list("p").alias("at"))
+        at = apart.groupBy(*self.who).agg(F.collect_set("p").alias("at"))
         edges = self._with_text(at, "inner").mapInArrow(_edges_of(self.window, self.who), self.row)
         origin = edges.groupBy("seed", "words").agg(F.min(own).alias("source"), F.count("*").alias("n")).where("n > 1")
         return paths.unionByName(self._repeats(edges, origin))
@@ -202,7 +202,8 @@ class Repeats:
 
     def kept(self) -> DataFrame:
         """id, n_words, n_removed and kept_text of every row."""
-        spans = self.spans().groupBy(*self.who).agg(F.collect_list("place").alias("spans"))
+        # Rows that share id and text each tell the same places; a text has no more than its words.
+        spans = self.spans().groupBy(*self.who).agg(F.collect_set("place").alias("spans"))
         touched = self._with_text(spans, "left").select("id", "text", "spans")
         rest = self.docs.where(~self.possible).select("id", "text", F.array().cast("array<long>").alias("spans"))
         return touched.unionByName(rest).mapInArrow(_kept_of(self.window), f"id {self.id_type}, n_words long, n_removed long, kept_text string")
