@@ -85,14 +85,15 @@ def mixed_sources(docs: DataFrame, share: float = SHARE, seed: int = SEED, key:
     """A row for every drawing of a document: id, levels, n_tokens and epoch; ``share`` is the budget in passes of all tokens."""
     tokens = F.regexp_count(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit(WORD)).cast("long")
     named = F.coalesce(F.col(f"`{source}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{key}`").alias("id"), domain_of(named).alias("domain"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), named.alias("source"), tokens.alias("n_tokens"))
+    body = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
+    rows = docs.select(F.col(f"`{key}`").alias("id"), body.alias("body"), domain_of(named).alias("domain"), F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), named.alias("source"), tokens.alias("n_tokens"))
     rows = computed(rows.where("n_tokens > 0"))
     leaves = computed(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     passes = F.expr("quota div tokens").alias("passes"), F.expr("quota % tokens").alias("rest")
     quota = computed(quotas(leaves, int(total * share)).select(*LEVELS, *passes))
     drawn = attach_small(rows, quota, LEVELS, "inner", ready=True)
-    rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("passes").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    rank = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("passes").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("")), "body"))
     drawn = drawn.withColumn("rank", rank).withColumn("range", F.substring("rank", 1, DIGITS))
     # Where each leaf's last pass ends: the range, and the tokens before it.
     sums = drawn.groupBy(*LEVELS, "rest", "range").agg(F.sum("n_tokens").alias("n"))
@@ -102,8 +103,12 @@ def mixed_sources(docs: DataFrame, share: float = SHARE, seed: int = SEED, key:
     at = attach_small(drawn, cut, LEVELS)
     early = at.where(F.col("range") < F.col("cut.range")).withColumn("more", F.lit(1))
     late = at.where(F.col("range") > F.col("cut.range")).withColumn("more", F.lit(0))
-    run = F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("rank", "n_tokens"))
-    inside = at.where(F.col("range") == F.col("cut.range")).withColumn("more", (F.col("cut.before") + run <= F.col("rest")).cast("int"))
+    inside = at.where(F.col("range") == F.col("cut.range"))
+    # Equal rows have one rank and are drawn or not together, so a rank is one row of the window, however many rows it has.
+    ranks = inside.groupBy(*LEVELS, "cut", "rest", "rank").agg(F.sum("n_tokens").alias("n"))
+    run = F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("rank"))
+    last = ranks.withColumn("fits", F.col("cut.before") + run <= F.col("rest")).groupBy(*LEVELS).agg(F.max(F.when(F.col("fits"), F.col("rank"))).alias("last"))
+    inside = attach_small(inside, last, LEVELS).withColumn("more", F.coalesce((F.col("rank") <= F.col("last")).cast("int"), F.lit(0))).drop("last")
     every = early.unionByName(late).unionByName(inside)
     times = F.col("passes") + F.col("more")
     return every.where(times > 0).select(F.col("id").alias(key), *LEVELS, "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias("epoch"))
