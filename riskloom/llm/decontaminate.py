@@ -9,12 +9,15 @@ by alignment inside the band.  Nothing is shuffled.
 Texts and items are compared in lower case with every run of white space as one space; places are code points of that form.
 
 * Null and empty texts and items match nothing, and so do items of fewer than ``Q`` characters.
-* Rows are judged one by one: rows without id and repeated rows get their own results.  Repeated items each match.
-* Pieces are collected and broadcast in blocks of a bounded number; a larger benchmark makes more blocks.
+* Rows are judged one by one: rows without id and repeated rows get their own results.  Repeated items each match, and an item
+  without id is looked for as well: its rows have no item_id.
+* Equal pieces of different items are one piece in the index.  Pieces are broadcast in blocks of a bounded number, one block at
+  a time; a larger benchmark takes more passes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.align import best_place
 from riskloom.llm.common import slices
+from riskloom.session import computed
 
 Q, RATE, PIECE = 12, 0.06, 120
 BLOCK_PIECES = 20_000
@@ -68,9 +72,9 @@ def _slot(gram: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """q-grams of the pieces of one block."""
+    """q-grams of the different pieces of one block; ``items`` has those that hold each piece."""
 
-    items: list
+    items: list[list]
     texts: list[str]
 
     def arrays(self) -> dict:
@@ -137,34 +141,41 @@ def found(texts: list[str], index: dict) -> list[dict]:
         hit = best_place(index["texts"][p], texts[t][begin:end], int(index["most"][p]))
         if hit:
             edits, a, b = hit[0], begin + hit[1], begin + hit[2]
-            have = out[t].setdefault(index["items"][p], [a, b, set(), edits])
-            have[0], have[1], have[3] = min(have[0], a), max(have[1], b), min(have[3], edits)
-            have[2].add(p)
+            for item in index["items"][p]:
+                have = out[t].setdefault(item, [a, b, set(), edits])
+                have[0], have[1], have[3] = min(have[0], a), max(have[1], b), min(have[3], edits)
+                have[2].add(p)
     return out
 
 
-def leaks(benchmark: DataFrame, text: Column, item: str = "item_id", passage: str = "text") -> Column:
-    """Items found in a text column, as an array of (item, begin, end, pieces, edits)."""
-    spark = benchmark.sparkSession
+def piece_blocks(benchmark: DataFrame, item: str = "item_id", passage: str = "text") -> Iterator[list[tuple[list, str]]]:
+    """Different pieces of all items, each with the items that hold it, some at a time.
+
+    The pieces are counted first and dealt to as many blocks as they ask for; each block comes to the driver when it is its turn.
+    """
     kind = benchmark.schema[item].dataType.simpleString()
 
     def cut(batches):
         for batch in batches:
-            rows = [(i, s, p) for i, t in zip(batch["item"], batch["passage"]) for s, p in pieces(t)]
-            yield pd.DataFrame(rows, columns=["item", "place", "piece"])
+            rows = [(i, p) for i, t in zip(batch["item"], batch["passage"]) for _, p in pieces(t)]
+            yield pd.DataFrame({"item": pd.Series([i for i, _ in rows], dtype=object), "piece": [p for _, p in rows]})
 
-    named = benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("item"), F.col(passage).alias("passage"))
-    every = named.mapInPandas(cut, f"item {kind}, place long, piece string").distinct()
+    named = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{passage}`").alias("passage"))
+    every = computed(named.mapInPandas(cut, f"item {kind}, piece string").distinct())
     blocks = max(1, -(-every.count() // BLOCK_PIECES))
-    result = f"array<struct<item:{kind},begin:long,end:long,pieces:long,edits:long>>"
-    columns = []
     for block in range(blocks):
-        mine = every.where(F.pmod(F.xxhash64("item", "place", "piece"), F.lit(blocks)) == block).collect()
-        if mine:
-            mine = sorted(mine, key=lambda r: (str(r["item"]), r["place"], r["piece"]))
-            shared = spark.sparkContext.broadcast(Index([r["item"] for r in mine], [r["piece"] for r in mine]).arrays())
-            columns.append(F.pandas_udf(_scan(shared), result)(F.coalesce(text, F.lit(""))))
-    return F.concat(*columns) if columns else F.array().cast(result)
+        held: dict[str, list] = {}
+        for row in every.where(F.pmod(F.xxhash64("piece"), F.lit(blocks)) == block).toLocalIterator():
+            held.setdefault(row["piece"], []).append(row["item"])
+        if held:
+            yield [(sorted(held[p], key=str), p) for p in sorted(held)]
+
+
+def leaks(benchmark: DataFrame, block: list[tuple[list, str]], text: Column, item: str = "item_id") -> Column:
+    """Items of a block of pieces found in a text column, as an array of (item, begin, end, pieces, edits)."""
+    result = f"array<struct<item:{benchmark.schema[item].dataType.simpleString()},begin:long,end:long,pieces:long,edits:long>>"
+    shared = benchmark.sparkSession.sparkContext.broadcast(Index([i for i, _ in block], [p for _, p in block]).arrays())
+    return F.pandas_udf(_scan(shared), result)(F.coalesce(text, F.lit("")))
 
 
 def _scan(shared):
@@ -180,13 +191,37 @@ def _scan(shared):
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """A row for each row of ``docs`` and item found in it: the keys, item_id, begin, end, pieces, edits."""
+    """A row for each row of ``docs`` and item found in it: the keys, item_id, begin, end, pieces, edits.
+
+    A benchmark of several blocks is looked for in one pass over ``docs`` for each, of which only the hits are kept.
+    """
     kept = [F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(keys)]
-    each = docs.select(*kept, F.explode(leaks(benchmark, F.col(f"`{text}`"))).alias("_hit"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), *kept, F.col(f"`{text}`").alias("_text"))
     hit = [F.col("_hit.item").alias("item_id"), *[F.col(f"_hit.{c}").alias(c) for c in ("begin", "end", "pieces", "edits")]]
-    return each.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], *hit)
+    passes, own = [], [f"_key{i}" for i in range(len(keys))]
+    for block in piece_blocks(benchmark):
+        each = numbered.select("_row", *own, F.explode(leaks(benchmark, block, F.col("_text"))).alias("_hit")).select("_row", *own, *hit)
+        passes.append(each if not passes else computed(each))
+        if len(passes) == 2:
+            passes[0] = computed(passes[0])
+    if not passes:
+        found = numbered.select("_row", *own, *[F.lit(None).cast(t).alias(c) for c, t in [("item_id", benchmark.schema["item_id"].dataType), *[(c, "long") for c in ("begin", "end", "pieces", "edits")]]]).limit(0)
+    else:
+        found = passes[0]
+    if len(passes) > 1:
+        for more in passes[1:]:
+            found = found.union(more)
+        found = found.groupBy("_row", *own, "item_id").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("pieces").alias("pieces"), F.min("edits").alias("edits"))
+    return found.select(*[F.col(f"_key{i}").alias(k) for i, k in enumerate(keys)], "item_id", "begin", "end", "pieces", "edits")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows in which no item is found, unchanged."""
-    return docs.where(F.size(leaks(benchmark, F.col(f"`{text}`"))) == 0)
+    """The rows in which no item is found, unchanged.
+
+    A benchmark of several blocks takes a pass for each; rows that a pass drops are not looked at by the next.
+    """
+    rows = docs
+    for n, block in enumerate(piece_blocks(benchmark)):
+        rows = computed(rows) if n else rows
+        rows = rows.where(F.size(leaks(benchmark, block, F.col(f"`{text}`"))) == 0)
+    return rows
