@@ -2,10 +2,11 @@
 
 A rule gives every text a whole number that is larger the worse the text looks; a rule rejects texts above its cutoff.
 For each stratum and rule, the holdout is the labelled good documents that pass the base rules.  A cutoff is safe if so few
-of them lie above it that a true share of more than ``risk`` would give that few only with a probability (exact
-binomial) of at most ``error`` divided by the number of rules and strata.  Cutoffs are tried from lenient to strict
-up to the first that is not safe, and the strictest safe one is used.  So with probability 1 - ``error`` no rule in any
-stratum rejects more than ``risk`` of its good documents.  A rule without a safe cutoff rejects nothing there.
+of them lie above it that a true share of more than the rule's part of ``risk`` would give that few only with a probability
+(exact binomial) of at most ``error`` divided by the number of rules and strata.  Each rule has an equal part of ``risk``.
+Cutoffs are tried from lenient to strict up to the first that is not safe, and the strictest safe one is used.  So with
+probability 1 - ``error`` all rules together reject at most ``risk`` of the good documents of every stratum.  A rule
+without a safe cutoff rejects nothing there.
 
 * A null or empty text has no words and fails the base rules.
 * A missing stratum value is a stratum of its own, named by the empty text.
@@ -24,7 +25,8 @@ from riskloom.llm.common import SPACE, WORD
 from riskloom.operators.joins import attach_small
 from riskloom.session import computed
 
-RISK, ERROR = 0.01, 0.05
+#: The share of a stratum's good documents that all rules together may reject, and the probability that it is exceeded anywhere.
+RISK, ERROR = 0.05, 0.05
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 SYMBOLS = "#*$%&|<>"
 #: For each rule the cutoffs to try, strict first.  Values are thousandths; of "short", 1000 / words; of "long_words", letters.
@@ -122,13 +124,13 @@ def binomial_tail(most: Column, trials: Column, share: float) -> Column:
 
 def cutoffs(holdout: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """For each stratum the strictest safe cutoff of each rule, NULL where there is none."""
-    value = values()
+    value, part = values(), risk / len(CUTOFFS)
     tests = [(rule, c) for rule, cs in CUTOFFS.items() for c in cs]
     counted = holdout.groupBy("_stratum").agg(F.count("*").alias("good"), *[F.count_if(value[rule] > c).alias(f"t{i}") for i, (rule, c) in enumerate(tests)])
     strata = holdout.agg(F.count_distinct("_stratum")).first()[0]
     listed = F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"t{i}").alias("lost")) for i, (rule, c) in enumerate(tests)])
-    each = counted.select("_stratum", "good", F.inline(listed)).where(F.col("lost") < risk * F.col("good"))
-    safe = each.where(binomial_tail(F.col("lost"), F.col("good"), risk) <= error / (len(CUTOFFS) * max(strata, 1)))
+    each = counted.select("_stratum", "good", F.inline(listed)).where(F.col("lost") < part * F.col("good"))
+    safe = each.where(binomial_tail(F.col("lost"), F.col("good"), part) <= error / (len(CUTOFFS) * max(strata, 1)))
     return safe.groupBy("_stratum").agg(*[F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"_cut_{rule}") for rule in CUTOFFS])
 
 
