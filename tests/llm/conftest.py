@@ -45,7 +45,7 @@ def no_labels(spark):
 
 @pytest.fixture(scope="session")
 def benchmark(spark):
-    rows = [(1, " ".join(words(30, 2))), (2, None), (3, ""), (4, "short"), (None, "an item without id is not looked for"), (5, "a passage that no document has, not even in part, of any sort")]
+    rows = [(1, " ".join(words(30, 2))), (2, None), (3, ""), (4, "short"), (None, "an item without id is looked for, too"), (5, "a passage that no document has, not even in part, of any sort")]
     return spark.createDataFrame(rows, "item_id long, text string")
 
 

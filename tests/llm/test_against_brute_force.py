@@ -270,5 +270,4 @@ def test_open_candidates_are_settled(spark, monkeypatch):
 
     assert classes() == expected
     monkeypatch.setattr(near_copies, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(near_copies, "BLOCK", 16)
     assert classes() == expected
