@@ -13,17 +13,19 @@ from checks.standin import credit_table, credit_tables, raw
 from riskloom.functions import (
     blank_when, code_value, flag, gated, member_flag, named, one_hot, positive_part, quoted, ratio, row_mean, row_std,
 )
+from riskloom.jobs import LATE_VARIANTS
 from riskloom.models import stacked
 from riskloom.models.auc import auc
-from riskloom.models.folds import fold_of, labelled, unlabelled, with_folds
-from riskloom.models.prepare import CATEGORY_VALUES, Prepared
+from riskloom.models.boosting import boost
+from riskloom.models.folds import fold_of, labelled, unlabelled, with_balanced_folds, with_folds
+from riskloom.models.prepare import Prepared
 from riskloom.models.select import backward, chunks, forward
-from riskloom.models.train import GRID, bag_seeds, combinations, cross_validate, grid_search
+from riskloom.models.train import GRID, bag_seeds, combinations, cross_validate, grid_search, to_gbt
 from riskloom.operators import checks, groups, joins, ordered, shape
 from riskloom.operators.aggregate import Slice, aggregate, aggregate_slices, group_stat, read_spec
 from riskloom.plans import application, bureau, credit_card, installments, matrix, pos_cash, previous
 from riskloom.plans.feature_sets import SETS
-from riskloom.session import shared_folder, tune
+from riskloom.session import remove, shared_folder, tune
 from riskloom.sources.store import Cache, fill_template, log_metrics, read_metrics, sample_rows, write_matrix, write_predictions
 from riskloom.sources.tables import read_table
 
@@ -682,6 +684,25 @@ def folds(spark, folder):
     return docs.select("doc_id", "fold", fold_of("source").alias("source_fold"))
 
 
+@query("select l_suppkey, count(*) as n, 1 as folds, true as balanced from lineitem group by 1")
+def balanced_folds(spark, folder):
+    """Suppliers, each in one fold; folds differ by no more than the lightest supplier placed by its size."""
+    placed = with_balanced_folds(raw(spark, folder, "lineitem").select("l_suppkey"), "l_suppkey")
+    gap = placed.groupBy("fold").agg(F.count("*").alias("n")).agg((F.max("n") - F.min("n")).alias("gap"))
+    found = placed.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_distinct("fold").cast("int").alias("folds"))
+    return found.withColumn("balanced", gap.scalar() <= found.agg(F.min("n").alias("least")).scalar())
+
+
+@query(
+    """select source, count(*) as n, median(n_chars) as middle, count(distinct lang) as langs from documents where source is not null group by 1"""
+)
+def median_in_map(spark, folder):
+    """A median and a distinct count in a feature map, beside other statistics of the same pass."""
+    docs = raw(spark, folder, "documents")
+    slices = [Slice("", None, [("n_chars", "size"), ("n_chars", "median"), ("lang", "nunique")])]
+    return aggregate_slices(docs, "source", slices).toDF("source", "n", "middle", "langs")
+
+
 @query(
     f"""with d as {LABELLED},
     langs as (select lang, row_number() over (order by count(*) desc, lang) - 1 as code from d group by 1),
@@ -721,29 +742,26 @@ def auc_per_fold(spark, folder):
 
 
 @query(
-    f"""with d as (select doc_id, quality, text, count(*) over (partition by text) as often from {LABELLED} d join (select doc_id, text from documents) t using (doc_id))
-    select doc_id, quality, cast(often as double) as text from d"""
+    f"""with d as (select doc_id, quality, coalesce('=' || text, '') as text from {LABELLED} d join (select doc_id, text from documents) t using (doc_id)),
+    codes as (select text, cast(row_number() over (order by count(*) desc, text) - 1 as double) as code from d group by 1)
+    select doc_id, quality, code as text from d join codes using (text)"""
 )
 def many_category_codes(spark, folder):
-    """Texts have too many values for a category: each is replaced by how often it occurs."""
+    """Codes of a column with nearly as many values as rows: a dense rank, the most frequent text first."""
     docs = _labelled_documents(spark, folder).select("doc_id", "quality")
     texts = docs.join(raw(spark, folder, "documents").select("doc_id", "text"), "doc_id")
-    wide = texts.select("text").distinct().count() > CATEGORY_VALUES
-    often = Prepared(texts, "doc_id", "quality").columns() if wide else frequency_of(texts)
-    return often.select("doc_id", "quality", "text")
-
-
-def frequency_of(texts):
-    counts = texts.groupBy("text").agg(F.count("*").cast("double").alias("often"))
-    return texts.join(counts, "text").select("doc_id", "quality", F.col("often").alias("text"))
+    return Prepared(texts, "doc_id", "quality").columns().select("doc_id", "quality", "text")
 
 
 # ---------------------------------------------------------------- model jobs
 
 # The values of a fit have no SQL: tests hold them against a plain loop over MLlib fits.  The queries return what a job
-# must cover (keys, folds, columns, combinations) and whether every value is in its range.  Rounds are an argument of
-# the jobs and few here; folds, seeds, combinations and columns are all there.
-QUICK = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3}
+# must cover (keys, folds, columns, combinations) and whether every value is in its range.  Rounds and patience are arguments
+# of the jobs.  STOPPED is for fits that patience ends, well below the most rounds; FEW is for jobs of many fits: 2 rounds
+# each, with all folds, the 10 seeds and all combinations.  All of them use the six columns below.
+STOPPED = {"n_estimators": 100, "max_depth": 2, "learning_rate": 0.3}
+WAIT = {"patience": 3, "block": 4}
+FEW = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3}
 MODEL_COLUMNS = ["AMT_CREDIT", "AMT_ANNUITY", "SOURCES_MEAN", "DAYS_BIRTH", "OCCUPATION_TYPE", "CREDIT_TO_INCOME_RATIO"]
 IN_RANGE = "prediction between 0 and 1 as in_range"
 FOLD_SQL = "cast(cast('0x' || substr(md5(cast({} as varchar) || ':47'), 1, 8) as bigint) % 5 as int)"
@@ -757,12 +775,12 @@ def _model_table(spark, folder) -> Prepared:
 
 @query(fs.with_ctes(f"select SK_ID_CURR as sk_id_curr, TARGET as target, {FOLD_SQL.format('SK_ID_CURR')} as fold, true as in_range from app where TARGET is not null"))
 def out_of_fold(spark, folder):
-    return shape.plain_names(cross_validate(_model_table(spark, folder), QUICK).oof.selectExpr("SK_ID_CURR", "TARGET", "fold", IN_RANGE))
+    return shape.plain_names(cross_validate(_model_table(spark, folder), STOPPED, **WAIT).oof.selectExpr("SK_ID_CURR", "TARGET", "fold", IN_RANGE))
 
 
 @query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from app where TARGET is null"))
 def mean_prediction(spark, folder):
-    return shape.plain_names(cross_validate(_model_table(spark, folder), QUICK).unlabelled.selectExpr("SK_ID_CURR", IN_RANGE))
+    return shape.plain_names(cross_validate(_model_table(spark, folder), STOPPED, **WAIT).unlabelled.selectExpr("SK_ID_CURR", IN_RANGE))
 
 
 def _values(rows) -> str:
@@ -771,12 +789,40 @@ def _values(rows) -> str:
 
 @query(_values([(c, f) for c in MODEL_COLUMNS for f in range(5)]) + "(feature, fold)")
 def importances(spark, folder):
-    return cross_validate(_model_table(spark, folder), QUICK).importance.where("importance >= 0").select("feature", "fold")
+    return cross_validate(_model_table(spark, folder), STOPPED, **WAIT).importance.where("importance >= 0").select("feature", "fold")
 
 
 @query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from app where TARGET is null"))
 def bagged_prediction(spark, folder):
-    return shape.plain_names(bag_seeds(_model_table(spark, folder), QUICK, range(10), early_stop=False).selectExpr("SK_ID_CURR", IN_RANGE))
+    return shape.plain_names(bag_seeds(_model_table(spark, folder), FEW, range(10), early_stop=False).selectExpr("SK_ID_CURR", IN_RANGE))
+
+
+@query(_values([(f, True, True, True) for f in range(5)]).replace("True", "true") + "(fold, stopped, waited, is_best)")
+def stopped_fits(spark, folder):
+    """Each fold's fit ends by patience, and its best round has the largest AUC before the end."""
+    data, rows, at = _model_table(spark, folder), [], _shared(spark, "stopped")
+    for i in range(5):
+        found = boost(data.vectors(), "TARGET", F.col("fold") != i, to_gbt(STOPPED), data.bins, f"{at}/{i}", **WAIT)
+        seen = found.aucs[: found.trees + WAIT["patience"]]
+        rows.append((i, found.stopped, len(seen) == found.trees + WAIT["patience"], found.aucs[found.trees - 1] == max(seen)))
+    remove(spark, at)
+    return spark.createDataFrame(rows, "fold int, stopped boolean, waited boolean, is_best boolean")
+
+
+@query(_values([(i, 1, True) for i in range(6)]).replace("True", "true") + "(round, times, same)")
+def resumed_fit(spark, folder):
+    """A fit of 4 rounds that goes on to 6: every tree is fitted once, and the AUCs are those of one run."""
+    data, fitted, at = _model_table(spark, folder), [], _shared(spark, "resumed")
+
+    def run(rounds: int, where: str, **options):
+        settings = to_gbt({**STOPPED, "n_estimators": rounds})
+        return boost(data.vectors(), "TARGET", F.col("fold") != 0, settings, data.bins, f"{at}/{where}", 100, **options)
+
+    run(4, "broken", block=2, on_fit=fitted.append)
+    again, whole = run(6, "broken", block=2, on_fit=fitted.append), run(6, "whole", block=6)
+    remove(spark, at)
+    rows = [(i, fitted.count(i), abs(again.aucs[i] - whole.aucs[i]) < 1e-12) for i in range(6)]
+    return spark.createDataFrame(rows, "round int, times int, same boolean")
 
 
 def _fitted(c: dict) -> dict:
@@ -785,18 +831,18 @@ def _fitted(c: dict) -> dict:
 
 @query(_values([(",".join(f"{n}={v}" for n, v in c.items()), ",".join(f"{n}={v}" for n, v in _fitted(c).items())) for c in combinations(GRID)]) + "(combination, fitted)")
 def parameter_grid(spark, folder):
-    return grid_search(_model_table(spark, folder), QUICK, GRID, early_stop=False).where("auc between 0 and 1 or auc is null").select("combination", "fitted")
+    return grid_search(_model_table(spark, folder), FEW, GRID, early_stop=False).where("auc between 0 and 1 or auc is null").select("combination", "fitted")
 
 
 @query(_values([("baseline", "", 5)] + [("drop", ",".join(c), 5) for c in chunks(sorted(MODEL_COLUMNS), 5)]) + "(step, changed, folds)")
 def backward_selection(spark, folder):
-    return backward(_model_table(spark, folder), QUICK, early_stop=False).selectExpr("step", "changed", "size(fold_auc) as folds")
+    return backward(_model_table(spark, folder), FEW, early_stop=False).selectExpr("step", "changed", "size(fold_auc) as folds")
 
 
 @query(_values([("baseline", ""), *[("add", ",".join(c)) for c in chunks(MODEL_COLUMNS[2:], 2)]]) + "(step, changed)")
 def forward_selection(spark, folder):
     data = _model_table(spark, folder)
-    return forward(data, QUICK, base=MODEL_COLUMNS[:2], candidates=MODEL_COLUMNS[2:]).select("step", "changed")
+    return forward(data, FEW, base=MODEL_COLUMNS[:2], candidates=MODEL_COLUMNS[2:]).select("step", "changed")
 
 
 @query(
@@ -813,11 +859,28 @@ def late_loans(spark, folder):
     return shape.plain_names(rows.select("SK_ID_PREV", "SK_ID_CURR", "delay"))
 
 
+def _outcomes_sql() -> str:
+    late = "case when DPD > {days} then 1e0 else 0 end"
+    columns = [
+        f"""case when avg({'case when NUM_INSTALMENT_NUMBER <= ' + str(first) + ' then ' if first > 0 else ''}{late.format(days=days)}{' end' if first > 0 else ''}) is null
+        then null when avg({'case when NUM_INSTALMENT_NUMBER <= ' + str(first) + ' then ' if first > 0 else ''}{late.format(days=days)}{' end' if first > 0 else ''}) > 0 then 1 else 0 end as x{days}"""
+        for days, first in LATE_VARIANTS.values()
+    ]
+    return f"select SK_ID_PREV as sk_id_prev, {', '.join(columns)} from ins_late group by 1"
+
+
+@query(fs.with_ctes(_outcomes_sql()))
+def late_loan_outcomes(spark, folder):
+    """All outcomes of a loan that features are learned from, in one pass over the payments."""
+    late = stacked.late_variants(credit_table(spark, folder, "installments_payments"), LATE_VARIANTS)
+    return late.select(F.col("SK_ID_PREV").alias("sk_id_prev"), *[F.col(f"`{name}`").alias(f"x{days}") for name, (days, _) in LATE_VARIANTS.items()])
+
+
 @query(fs.with_ctes("select SK_ID_CURR as sk_id_curr, true as in_range from application_all"))
 def stacked_prediction(spark, folder):
     t = credit_tables(spark, folder)
     labels = stacked.late_instalments(t.installments_payments, days=14, first=-1)
-    found = stacked.stacked_feature(t.application_all, t.previous_application, labels, "prediction", QUICK, seeds=range(2), early_stop=False)
+    found = stacked.stacked_feature(t.application_all, t.previous_application, labels, "prediction", FEW, seeds=range(10), early_stop=False)
     return shape.plain_names(found.selectExpr("SK_ID_CURR", IN_RANGE))
 
 
@@ -825,7 +888,7 @@ def stacked_prediction(spark, folder):
 def stacked_from_months(spark, folder):
     t = credit_tables(spark, folder)
     found = stacked.stacked_feature(
-        t.application_all, t.previous_application, stacked.late_months(t.POS_CASH_balance), "prediction", QUICK,
+        t.application_all, t.previous_application, stacked.late_months(t.POS_CASH_balance), "prediction", FEW, seeds=range(10),
         hook=stacked.against_contract_means, unused=stacked.UNUSED_BY_MONTH, early_stop=False,
     )
     return shape.plain_names(found.selectExpr("SK_ID_CURR", IN_RANGE))

@@ -12,7 +12,8 @@ from riskloom.models.prepare import Prepared
 from riskloom.models.train import EARLIER, PARAMS, Cv, cross_validate, mean_importance
 from riskloom.plans.feature_sets import FeatureSet
 from riskloom.plans.matrix import KEY, feature_matrix
-from riskloom.session import tune
+from riskloom.operators.checks import Observed
+from riskloom.session import computed, tune
 from riskloom.sources.store import Cache, log_metrics, write_matrix, write_predictions, write_sample
 from riskloom.sources.tables import read_tables
 
@@ -25,13 +26,16 @@ def build_features(
     """Tables in ``source`` to ``<out>/features_all.parquet`` and a CSV sample of 100 rows.
 
     Each part is written to ``<out>/cache`` first; ``refresh`` says which parts to
-    rebuild, so a failed run resumes with the parts that are there.
+    rebuild, so a failed run resumes with the parts that are there and whose input is as it was.
+    The matrix must have the applicants' rows; rows are counted while they are written.
     """
     tune(spark)
     predictions = spark.read.parquet(stacked_path) if stacked_path else None
-    matrix = feature_matrix(read_tables(spark, source), predictions, Cache(spark, f"{out}/cache", refresh))
+    cache = Cache(spark, f"{out}/cache", refresh)
+    matrix = Observed(feature_matrix(read_tables(spark, source), predictions, cache), "matrix")
     path = f"{out}/features_all.parquet"
-    write_matrix(matrix, path)
+    write_matrix(matrix.rows, path)
+    matrix.require_some().require_rows(cache.rows["app"])
     written = spark.read.parquet(path)
     write_sample(written, KEY, f"{out}/all_sample")
     return written
@@ -93,18 +97,19 @@ def build_stacked(
     app, prev = t.application_all, t.previous_application
     params = params or EARLIER
 
-    def learned(name: str, labels: DataFrame, **more) -> DataFrame:
-        def log(seed: int, result: Cv) -> None:
-            log_metrics(spark, metrics, f"{name}, seed {seed}", _metrics(result), note=str(params))
+    def log(name: str, seed: int, result: Cv) -> None:
+        log_metrics(spark, metrics, f"{name}, seed {seed}", _metrics(result), note=str(params))
 
-        feature = stacked.stacked_feature(app, prev, labels, name, params, k=k, seeds=seeds, log=log if metrics else None, **more, **options)
-        if metrics:
-            agreed = stacked.agreement(app, feature, name).first()[0]
+    def learned(labels: DataFrame, **more) -> DataFrame:
+        features = stacked.stacked_features(app, prev, labels, params, k=k, seeds=seeds, log=log if metrics else None, **more, **options)
+        for name in [c for c in features.columns if c != KEY] if metrics else []:
+            agreed = stacked.agreement(app, features, name).first()[0]
             log_metrics(spark, metrics, name, {} if agreed is None else {"correlation": agreed})
-        return feature
+        return features
 
-    parts = [learned(v, stacked.late_instalments(t.installments_payments, *LATE_VARIANTS[v])) for v in variants]
-    parts.append(learned("POS_PREDICTED", stacked.late_months(t.POS_CASH_balance), unused=stacked.UNUSED_BY_MONTH))
+    late = computed(stacked.late_variants(t.installments_payments, {v: LATE_VARIANTS[v] for v in variants}))
+    months = stacked.late_months(t.POS_CASH_balance).withColumnRenamed(stacked.LABEL, "POS_PREDICTED")
+    parts = ([learned(late)] if variants else []) + [learned(months, unused=stacked.UNUSED_BY_MONTH)]
     every = parts[0]
     for p in parts[1:]:
         every = every.join(p, [KEY], "full")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions import positive_part
+from riskloom.functions import flag, named, positive_part
 from riskloom.models.folds import FOLDS, SEED, with_folds
 from riskloom.models.prepare import Prepared
 from riskloom.models.train import Cv, _union, cross_validate
@@ -49,6 +49,21 @@ def late_instalments(installments: DataFrame, days: int = 7, first: int = 5, cut
     return event_label(rows, LOAN, late, LABEL, cutoff)
 
 
+def late_variants(installments: DataFrame, variants: dict[str, tuple[int, int]], cutoff: float = 0.0) -> DataFrame:
+    """Several outcomes of each loan in one pass over the payments, as ``late_instalments`` has them one by one.
+
+    ``variants`` has the days and first instalments of each; NULL where a loan has no such instalment.
+    """
+    late = positive_part(F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"))
+    rows = installments.where(F.col(LOAN).isNotNull()).select(LOAN, "NUM_INSTALMENT_NUMBER", late.alias("_late"))
+
+    def outcome(days: int, first: int) -> Column:
+        event = flag(F.col("_late") > days)
+        return (F.avg(event if first <= 0 else F.when(F.col("NUM_INSTALMENT_NUMBER") <= first, event)) > cutoff).cast("int")
+
+    return rows.groupBy(LOAN).agg(*[outcome(*v).alias(name) for name, v in variants.items()])
+
+
 def late_months(pos: DataFrame, days: int = DPD_LIMIT, cutoff: float = 0.0) -> DataFrame:
     """Loans with a month more than ``days`` past due."""
     return event_label(pos, LOAN, F.col("SK_DPD") > days, LABEL, cutoff)
@@ -66,37 +81,50 @@ def against_contract_means(df: DataFrame) -> DataFrame:
 
 
 def model_rows(app: DataFrame, prev: DataFrame, labels: DataFrame, hook: Hook | None = None) -> DataFrame:
-    """Earlier loans (label known) and current applications (label missing) in one table.
+    """Earlier loans (labels known) and current applications (labels missing) in one table.
 
-    ``_row`` identifies a row: an earlier loan or a current application.
+    ``labels`` has a loan and one or several outcomes.  ``_row`` identifies a row: an earlier loan or a current application.
     """
     known = basic_features(training_rows(app, prev, labels)).withColumn("_row", F.concat(F.lit("p"), LOAN))
-    now = basic_features(app).withColumns({LABEL: F.lit(None).cast("int"), "_row": F.concat(F.lit("c"), KEY)})
+    now = basic_features(app).withColumns({c: F.lit(None).cast("int") for c in labels.columns if c != LOAN} | {"_row": F.concat(F.lit("c"), KEY)})
     known = known.drop(LOAN)
     require_same_columns(known, now)
     rows = known.unionByName(now)
     return hook(rows) if hook else rows
 
 
-def stacked_feature(
-    app: DataFrame, prev: DataFrame, labels: DataFrame, name: str, params: dict,
+def stacked_features(
+    app: DataFrame, prev: DataFrame, labels: DataFrame, params: dict,
     hook: Hook | None = None, k: int = FOLDS, seed: int = SEED, by_applicant: bool = True,
-    unused: Sequence[str] = tuple(UNUSED), seeds: Sequence[int] = (0,), log: Callable[[int, Cv], None] | None = None, **options,
+    unused: Sequence[str] = tuple(UNUSED), seeds: Sequence[int] = (0,), log: Callable[[str, int, Cv], None] | None = None, **options,
 ) -> DataFrame:
-    """``SK_ID_CURR`` and the predicted chance, averaged over folds and seeds.
+    """``SK_ID_CURR`` and, for each outcome in ``labels``, the predicted chance, averaged over folds and seeds.
 
-    All loans of an applicant stay in one fold unless ``by_applicant`` is off.  ``log`` gets each seed's result.
+    All outcomes share one training table.  All loans of an applicant stay in one fold unless ``by_applicant`` is off.
+    ``log`` gets each seed's result by outcome.
     """
+    names = [c for c in labels.columns if c != LOAN]
     rows = with_folds(model_rows(app, prev, labels, hook), KEY if by_applicant else "_row", k, seed)
-    data = Prepared(rows, "_row", LABEL, keep=[KEY, "fold"], drop=["TARGET", *unused])
-    parts = []
-    for s in seeds:
-        result = cross_validate(data, {**params, "seed": s}, k, **options)
-        if log:
-            log(s, result)
-        parts.append(result.unlabelled)
-    scored = _union(parts).groupBy("_row").agg(F.avg("prediction").alias("prediction"))
-    return computed(scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), F.col("prediction").alias(name)))
+    data = Prepared(rows, "_row", names[0], keep=[KEY, "fold", *names[1:]], drop=["TARGET", *unused])
+    found = None
+    for name in names:
+        own, parts = data.labelled_by(name), []
+        for s in seeds:
+            result = cross_validate(own, {**params, "seed": s}, k, **options)
+            if log:
+                log(name, s, result)
+            parts.append(result.unlabelled)
+        # Loans without this outcome are scored as well, but only applications are asked for.
+        scored = _union(parts).where(F.col("_row").startswith("c")).groupBy("_row").agg(F.avg("prediction").alias(name))
+        scored = computed(scored.select(F.substring("_row", 2, 30).cast("bigint").alias(KEY), named(name)))
+        found = scored if found is None else found.join(scored, [KEY], "full")
+    return found
+
+
+def stacked_feature(app: DataFrame, prev: DataFrame, labels: DataFrame, name: str, params: dict, log: Callable[[int, Cv], None] | None = None, **options) -> DataFrame:
+    """``SK_ID_CURR`` and the predicted chance of one outcome, ``delay`` in ``labels``."""
+    told = (lambda _, seed, result: log(seed, result)) if log else None
+    return stacked_features(app, prev, labels.select(LOAN, F.col(LABEL).alias(name)), params, log=told, **options)
 
 
 def agreement(app: DataFrame, predicted: DataFrame, name: str) -> DataFrame:

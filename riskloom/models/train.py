@@ -1,27 +1,30 @@
 """Boosted trees with out-of-fold predictions.
 
-The driver loops over folds; every fit, prediction and metric is a Spark job.
+The driver loops over folds; every fit, prediction and metric is a Spark job.  A fit with a fixed number of rounds is
+MLlib's own; one that stops early watches the AUC of the held fold (``boosting``).
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import named
 from riskloom.models.auc import auc_per_group, auc_value
+from riskloom.models.boosting import BLOCK, boost
 from riskloom.models.folds import FOLDS
 from riskloom.models.prepare import Prepared
 from riskloom.operators.shape import top_rows
-from riskloom.session import computed
+from riskloom.session import computed, remove, shared_folder
 
 # The parameter sets of the models, and the two parameter grids.  PARAMS is the current model's,
 # EARLIER that of the named feature sets and of the stacked features.
@@ -48,7 +51,7 @@ EARLIER = {
     "min_child_weight": 40,
     "n_estimators": 10000,
 }
-# Rounds without a better validation loss after which a fit stops; rounds of a fit that adds columns.
+# Rounds without a better AUC of the held fold after which a fit stops; rounds of a fit that adds columns.
 PATIENCE = 200
 SELECTION_ROUNDS = 1000
 GRID = {
@@ -101,56 +104,39 @@ def fit(train: DataFrame, label: str, params: dict, bins: int) -> GBTClassificat
     return GBTClassifier(labelCol=label, featuresCol="features", maxBins=bins, **to_gbt(params)).fit(train)
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """The round with the smallest loss before ``patience`` rounds passed without a smaller one, and whether they did."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        if i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def fit_stopped(train: DataFrame, held: DataFrame, label: str, params: dict, bins: int, patience: int = PATIENCE) -> GBTClassificationModel:
-    """The model of the round after which the loss on ``held`` did not improve for ``patience`` rounds.
-
-    MLlib's own stop ends at the first round without gain.  Here fits grow, twice as long each time, until the
-    losses show the stop or the limit is reached; trees of a shorter fit are the first trees of a longer one, so
-    the best round's model is a fit of that length.
-    """
-    limit = to_gbt(params)["maxIter"]
-    if held.isEmpty():
-        return fit(train, label, params, bins)
-    rounds = min(limit, 2 * patience)
-    while True:
-        model = fit(train, label, {**params, "n_estimators": rounds}, bins)
-        best, stopped = best_round(model.evaluateEachIteration(held), patience)
-        if stopped or rounds == limit:
-            break
-        rounds = min(limit, 2 * rounds)
-    return model if best == rounds else fit(train, label, {**params, "n_estimators": best}, bins)
-
-
 def score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
     scored = model.transform(df)
     p = vector_to_array("probability")[1].alias("prediction")
     return scored.select(*[named(c) for c in df.columns if c != "features"], p)
 
 
-def folds_in_turn(
-    data: Prepared, params: dict, k: int, features: Sequence[str] | None, early_stop: bool, fold: str, patience: int
-):
-    """Fit one fold after another, yielding (fold, model, vectors)."""
-    vectors = data.vectors(features)
-    known = vectors.where(named(data.label).isNotNull())
-    for i in range(k):
-        train, held = known.where(named(fold) != i), known.where(named(fold) == i)
-        if early_stop:
-            model = fit_stopped(train, held, data.label, params, data.bins, patience)
-        else:
-            model = fit(train, data.label, params, data.bins)
-        yield i, model, vectors
+@dataclass
+class Fold:
+    """One fit: the rows it did not train on with their prediction, the rounds kept, the importance of each input."""
+
+    rows: DataFrame
+    trees: int
+    importance: list[float]
+
+
+def fit_fold(vectors: DataFrame, train: Column, label: str, params: dict, bins: int, early_stop: bool, patience: int, block: int, folder: str | None) -> Fold:
+    """Fit on the ``train`` rows and score all others, once.
+
+    With early stopping the state of the fit lies in ``folder``, from which a broken run goes on; else in one that goes with
+    the fit.
+    """
+    known = named(label).isNotNull()
+    if not early_stop:
+        model = fit(vectors.where(known & train), label, params, bins)
+        rows = computed(score(model, vectors.where(~(known & train))))
+        return Fold(rows, model.getNumTrees, [float(v) for v in model.featureImportances.toArray()])
+    spark = vectors.sparkSession
+    own = folder or f"{shared_folder(spark)}/boost-{uuid.uuid4().hex}"
+    found = boost(vectors, label, train, to_gbt(params), bins, own, patience, block)
+    rows = computed(found.rows)
+    if not folder:
+        remove(spark, own)
+    return Fold(rows, found.trees, found.importance)
 
 
 def cross_validate(
@@ -162,22 +148,28 @@ def cross_validate(
     fold: str = "fold",
     watch: Callable[[dict[int, float | None]], bool] | None = None,
     patience: int = PATIENCE,
+    block: int = BLOCK,
+    folder: str | None = None,
 ) -> Cv | dict[int, float]:
     """Out-of-fold predictions, mean prediction of the unlabelled rows, importances, AUC.
 
+    With ``early_stop`` a fold's fit ends when the AUC of the held rows has not risen for ``patience`` rounds; its state is
+    written after each ``block`` of rounds, in ``folder`` if given, from which a broken run goes on.
+
     ``watch`` sees the AUC per finished fold and may abandon the run by
     returning True; the folds done so far are then returned.
     """
     names = list(features) if features is not None else data.features
     spark = data.table.sparkSession
     oof, unseen, weights, done, trees = [], [], [], {}, {}
-    for i, model, vectors in folds_in_turn(data, params, k, features, early_stop, fold, patience):
-        held = vectors.where(named(data.label).isNotNull() & (named(fold) == i))
-        trees[i] = model.getNumTrees
-        oof.append(computed(score(model, held)))  # read by the metrics and by the caller
-        unseen.append(score(model, vectors.where(named(data.label).isNull())))
-        values = model.featureImportances.toArray()
-        weights += [(n, i, float(v)) for n, v in zip(names, values)]
+    vectors = data.vectors(features)
+    known = named(data.label).isNotNull()
+    for i in range(k):
+        found = fit_fold(vectors, named(fold) != i, data.label, params, data.bins, early_stop, patience, block, folder and f"{folder}/fold-{i}")
+        trees[i] = found.trees
+        oof.append(found.rows.where(known & (named(fold) == i)))
+        unseen.append(found.rows.where(~known))
+        weights += [(n, i, v) for n, v in zip(names, found.importance)]
         if watch:
             done[i] = auc_value(oof[-1], data.label, "prediction")
             if watch(done):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 
+from riskloom.operators import aggregate, groups, ordered
 from riskloom.operators.joins import add_columns, attach
 from riskloom.operators.shape import drop_if_present, drop_required, sorted_columns
 from riskloom.plans import application, bureau, credit_card, installments, pos_cash, previous
@@ -30,6 +33,23 @@ def parts(t: Tables, without: Collection[str] = ()) -> dict[str, Callable[[], Da
     }
 
 
+def sources(t: Tables) -> dict[str, tuple[list[DataFrame], list]]:
+    """The tables that each part reads and the modules that build it."""
+    return {
+        "credit": ([t.credit_card_balance, t.previous_application], [credit_card, aggregate, ordered]),
+        "bureau": ([t.bureau, t.bureau_balance], [bureau, aggregate]),
+        "prev": ([t.previous_application], [previous, aggregate]),
+        "install": ([t.installments_payments, t.previous_application, t.credit_card_balance], [installments, aggregate, ordered]),
+        "cash": ([t.POS_CASH_balance, t.previous_application], [pos_cash, aggregate, ordered]),
+        "app": ([t.application_all], [application, groups]),
+    }
+
+
+def _digest(modules: list, without: Collection[str]) -> str:
+    text = "".join(inspect.getsource(m) for m in modules) + ",".join(sorted(without))
+    return hashlib.md5(text.encode()).hexdigest()
+
+
 def full_matrix(t: Tables, cache: Cache | None = None, without: Collection[str] = ()) -> DataFrame:
     """Every generated column but those left out from the start.
 
@@ -38,7 +58,8 @@ def full_matrix(t: Tables, cache: Cache | None = None, without: Collection[str]
     to the shared folder first, which keeps the final plan short and lets a
     failed run resume; without one the whole matrix is a single lazy plan.
     """
-    built = {name: cache.table(name, make) if cache else make() for name, make in parts(t, without).items()}
+    read = sources(t)
+    built = {name: cache.table(name, make, read[name][0], _digest(read[name][1], without)) if cache else make() for name, make in parts(t, without).items()}
     base = built.pop("app")
     out = base
     for features in built.values():

@@ -68,3 +68,29 @@ def computed(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, own = _file_system(spark, path)
+    return files.exists(own)
+
+
+def file_states(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Each file with its size and time."""
+    out = []
+    for path in paths:
+        files, own = _file_system(spark, path)
+        status = files.getFileStatus(own)
+        out.append(f"{path} {status.getLen()} {status.getModificationTime()}")
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    files, own = _file_system(spark, path)
+    files.delete(own, True)

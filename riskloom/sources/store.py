@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import named
+from riskloom.operators.checks import Observed
 from riskloom.operators.shape import sorted_columns
+from riskloom.session import exists, file_states, remove
 
 
 class Cache:
-    """Named intermediate tables in a shared folder, rebuilt only when asked.
+    """Named intermediate tables in a shared folder, rebuilt when asked or when what they were built from has changed.
 
     ``refresh`` is "all", or the names to rebuild (a collection, or one text that
-    contains them); everything else is read back.  Reading back also cuts the
-    lineage, so a lost executor costs a re-read and not a rebuild of the chain.
+    contains them).  Everything else is read back, if its write was finished and its manifest, written last, agrees: the files
+    that the part is built from with their sizes and times, the code that builds it, and the schema.  ``rows`` has the
+    rows of each part, counted while it was written.  Reading back also cuts the lineage, so a lost executor costs a
+    re-read and not a rebuild of the chain.
     """
 
     def __init__(self, spark: SparkSession, folder: str, refresh: str | Sequence[str] = "all"):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.refresh = refresh
+        self.rows: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -30,10 +36,28 @@ class Cache:
     def _wanted(self, name: str) -> bool:
         return self.refresh == "all" or name in self.refresh
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if self._wanted(name):
-            build().write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+    def table(self, name: str, build: Callable[[], DataFrame], inputs: Sequence[DataFrame] = (), code: str = "") -> DataFrame:
+        """The part; ``inputs`` are the tables that it is built from and ``code`` stands for how."""
+        manifest = f"{self.folder}/{name}.manifest"
+        made_from = {"files": sorted({f for df in inputs for f in file_states(self.spark, df.inputFiles())}), "code": code}
+        if not self._wanted(name) and exists(self.spark, f"{manifest}/_SUCCESS"):
+            known = json.loads(self.spark.read.text(manifest).first()["value"])
+            found = self.spark.read.parquet(self.path(name))
+            if known["from"] == made_from and known["schema"] == _shape(found):
+                self.rows[name] = known["rows"]
+                return found
+        remove(self.spark, manifest)
+        made = Observed(build(), name)
+        made.rows.write.mode("overwrite").parquet(self.path(name))
+        found = self.spark.read.parquet(self.path(name))
+        self.rows[name] = made.count()
+        note = json.dumps({"from": made_from, "schema": _shape(found), "rows": self.rows[name]})
+        self.spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(manifest)
+        return found
+
+
+def _shape(df: DataFrame) -> list[str]:
+    return [f"{name} {kind}" for name, kind in df.dtypes]
 
 
 def write_matrix(df: DataFrame, path: str) -> None:

@@ -130,3 +130,66 @@ def test_features_left_out_are_not_computed(spark):
     above_the_scan = "\n".join(plan.splitlines()[:-1])
     assert "max(" not in above_the_scan and "avg(" not in above_the_scan and "other" not in above_the_scan
     assert sorted(map(tuple, got.collect())) == [(1, 12.0), (2, 1.0)]
+
+
+def test_medians_ride_along(spark, monkeypatch):
+    """Exact medians in feature maps, slices and group statistics, also where a group is read again."""
+    monkeypatch.setattr("riskloom.operators.aggregate.SUMMARY_ROWS", 50)
+    rng = random.Random(4)
+    data = [(rng.choice([1, 1, 1, 2, 3, None]), i, rng.choice("AB"), -i, rng.choice([None, rng.random(), float(rng.randrange(5))])) for i in range(4000)]
+    data += [(9, 0, "A", -1, None), (10, 0, "B", -1, 4.0), (10, 0, "B", -1, 1.0), (11, 1, "A", -2, 7.5)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(7)
+    spec = read_spec("amt | median mean\n days | median")
+
+    def median(xs):
+        xs = sorted(x for x in xs if x is not None)
+        return None if not xs else pytest.approx((xs[(len(xs) - 1) // 2] + xs[len(xs) // 2]) / 2, abs=1e-12)
+
+    def of(key, column, keep=lambda r: True):
+        return median([r[column] for r in data if r[0] == key and keep(r)])
+
+    got = {r[0]: r for r in aggregate(df, "k", spec, "c_", size_as="n").collect()}
+    assert {k: (r["c_median(amt)"], r["c_median(days)"]) for k, r in got.items()} == {k: (of(k, 4), of(k, 3)) for k in got}
+    assert sum(r["n"] for r in got.values()) == sum(r[0] is not None for r in data)
+    wide = aggregate_slices(df, "k", [Slice("all_", None, spec), Slice("b_", F.col("status") == "B", spec)])
+    for r in wide.collect():
+        assert r["all_median(amt)"] == of(r["k"], 4) and r["all_median(days)"] == of(r["k"], 3)
+        assert r["b_median(amt)"] == of(r["k"], 4, lambda x: x[2] == "B")
+    stat = {r["k"]: r["m"] for r in group_stat(df, "k", "amt", "median", "m", merge=False).collect()}
+    assert stat == {k: of(k, 4) for k in stat}
+
+
+def test_median_reads_only_large_groups_again(spark, monkeypatch):
+    """A group whose summary is sure of the middle is not looked at twice."""
+    seen = []
+    real = __import__("riskloom.operators.aggregate", fromlist=["medians_by"]).medians_by
+    monkeypatch.setattr("riskloom.operators.aggregate.medians_by", lambda rows, by, cs: seen.append(rows.count()) or real(rows, by, cs))
+    small = spark.range(3000).select((F.col("id") % 100).alias("k"), F.rand(1).alias("x"))
+    equal = spark.range(30_000).select(F.lit(500).cast("long").alias("k"), F.lit(2.0).alias("x"))
+    aggregate(small.union(equal), "k", [("x", "median")]).collect()
+    assert seen == []
+    large = spark.range(20_000).select(F.lit(700).cast("long").alias("k"), F.rand(2).alias("x"))
+    aggregate(small.union(equal).union(large), "k", [("x", "median")]).collect()
+    assert seen == [20_000]
+
+
+def test_distinct_counts_by_bits(spark, monkeypatch):
+    """No distinct aggregate in the plan, and the same counts, for one number of bits and for several."""
+    rng = random.Random(7)
+    data = [(rng.randrange(30), i, rng.choice([None, *"ABCDE"]), rng.randrange(200), rng.choice([None, float(rng.randrange(70))])) for i in range(3000)]
+    df = spark.createDataFrame([*data, (99, 0, None, 1, None)], SCHEMA)
+    spec = read_spec("status | nunique\n days | nunique\n amt | nunique sum")
+    made = [Slice("all_", None, spec), Slice("a_", F.col("status") == "A", spec)]
+    wide = aggregate_slices(df, "k", made)
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "distinct" not in plan.lower() and "bit_or" in plan
+    want = {}
+    for r in [*data, (99, 0, None, 1, None)]:
+        for prefix, keep in (("all_", True), ("a_", r[2] == "A")):
+            if keep:
+                for c, v in (("status", r[2]), ("days", r[3]), ("amt", r[4])):
+                    want.setdefault((r[0], f"{prefix}nunique({c})"), set()).update([] if v is None else [v])
+    got = {(r["k"], c): r[c] for r in wide.collect() for c in wide.columns if "nunique" in c and r[c] is not None}
+    assert got == {k: len(v) for k, v in want.items()}
+    monkeypatch.setattr("riskloom.operators.aggregate.BIT_VALUES", 3)
+    assert {(r["k"], c): r[c] for r in aggregate_slices(df, "k", made).collect() for c in wide.columns if "nunique" in c and r[c] is not None} == got

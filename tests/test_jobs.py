@@ -1,9 +1,13 @@
 """The end-to-end jobs on the stand-in tables, from files to files."""
 
+import shutil
+
 import pytest
 
 from checks.standin import SCHEMAS, credit_table
 from riskloom import jobs
+from riskloom.models import stacked
+from riskloom.operators import checks
 from riskloom.plans.dropped import STRICT
 from riskloom.sources import store
 from riskloom.sources.tables import read_table, read_tables
@@ -69,6 +73,65 @@ def test_resuming_reads_the_cached_parts(spark, source, built):
     assert store.Cache(spark, out, "creditbureau")._wanted("bureau") and not store.Cache(spark, out, [])._wanted("app")
 
 
+def test_a_changed_input_rebuilds_the_parts_behind_it(spark, source, tmp_path):
+    """A part is read back only if its files, code and schema are those of its manifest and its write was finished."""
+    inside = str(tmp_path / "in")
+    for name in SCHEMAS:
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{inside}/{name}.parquet")
+    out, built = str(tmp_path / "out"), []
+    keep = store.Cache.table
+
+    def watched(self, name, build, *more):
+        return keep(self, name, lambda: built.append(name) or build(), *more)
+
+    def run():
+        built.clear()
+        store.Cache.table = watched
+        try:
+            return jobs.build_features(spark, inside, out, refresh=[])
+        finally:
+            store.Cache.table = keep
+
+    first = run()
+    rows = first.count()
+    assert sorted(built) == ["app", "bureau", "cash", "credit", "install", "prev"]
+    run()
+    assert built == []
+    spark.read.parquet(f"{source}/bureau_balance.parquet").limit(50).write.mode("overwrite").parquet(f"{inside}/bureau_balance.parquet")
+    assert run().count() == rows and built == ["bureau"]
+    shutil.rmtree(f"{out}/cache/cash.manifest")  # as a write that was broken off leaves it
+    run()
+    assert built == ["cash"]
+    spark.read.parquet(f"{source}/previous_application.parquet").repartition(2).write.mode("overwrite").parquet(f"{inside}/previous_application.parquet")
+    run()
+    assert sorted(built) == ["cash", "credit", "install", "prev"]
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    seen = checks.Observed(spark.range(50), "fifty")
+    seen.rows.write.parquet(f"{tmp_path}/a")
+    seen.require_some().require_rows(50)
+    with pytest.raises(ValueError, match="expected 49"):
+        seen.require_rows(49)
+    none = checks.Observed(spark.range(0), "none")
+    none.rows.write.parquet(f"{tmp_path}/b")
+    with pytest.raises(ValueError, match="empty"):
+        none.require_some()
+
+
+def test_outcomes_in_one_pass(spark):
+    """All variants equal the labels made one by one, and the payments are read once."""
+    payments = credit_table(spark, SMALL, "installments_payments")
+    variants = {**jobs.LATE_VARIANTS, "other": (0, 2)}
+    got = stacked.late_variants(payments, variants)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 1 or plan.count("FileScan") == payments._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    wide = {r[0]: r.asDict() for r in got.collect()}
+    for name, (days, first) in variants.items():
+        single = {r[0]: r[1] for r in stacked.late_instalments(payments, days, first).collect()}
+        assert {k: r[name] for k, r in wide.items() if r[name] is not None} == single
+
+
 def test_training_writes_everything(spark, built):
     out, matrix = built, matrix_in(spark, built)
     narrow = matrix.select("SK_ID_CURR", "TARGET", "CODE_GENDER", "AMT_CREDIT", "`b_mean(DAYS_CREDIT)`", "POS_PREDICTED")

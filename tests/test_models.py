@@ -7,12 +7,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.models.auc import auc, auc_per_group, auc_value
-from riskloom.models.folds import fold_of, with_folds
-from riskloom.models.prepare import Prepared
+from riskloom.models.boosting import best_round, boost
+from riskloom.models.folds import HEAVY, fold_of, with_balanced_folds, with_folds
+from riskloom.models.prepare import Prepared, value_codes
 from riskloom.models.select import backward, chunks, forward, losing
 from riskloom.models.train import (
-    GRID, STACKED_GRID, bag_seeds, best_round, combinations, cross_validate, distinct_settings, fit, fit_stopped, grid_search,
-    live_dimensions, mean_importance, to_gbt,
+    GRID, STACKED_GRID, bag_seeds, combinations, cross_validate, distinct_settings, grid_search, live_dimensions, mean_importance,
+    to_gbt,
 )
 
 QUICK = {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.3}
@@ -55,6 +56,23 @@ def test_folds_cover_and_keep_entities_together(spark):
     assert other > 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_balanced_folds(spark, seed):
+    """One entity holds 15 % of the rows and others are heavy: folds differ by no more than the lightest placed entity."""
+    rng = random.Random(seed)
+    sizes = {0: 1500, **{i: rng.randrange(20, 400) for i in range(1, 30)}, **{i: rng.randrange(1, 6) for i in range(100, 1500)}}
+    df = spark.createDataFrame([(e, i) for e, n in sizes.items() for i in range(n)], "e long, i long").repartition(5)
+    placed = with_balanced_folds(df, "e")
+    rows = {r["fold"]: r["count"] for r in placed.groupBy("fold").count().collect()}
+    lightest = min(n for n in sizes.values() if n * HEAVY * 5 >= sum(sizes.values()))
+    assert set(rows) == set(range(5)) and max(rows.values()) - min(rows.values()) <= lightest
+    assert placed.groupBy("e").agg(F.count_distinct("fold").alias("n")).where("n > 1").isEmpty()
+    plain = {r["fold"]: r["count"] for r in df.groupBy(fold_of("e").alias("fold")).count().collect()}
+    assert max(rows.values()) - min(rows.values()) < max(plain.values()) - min(plain.values())
+    none = with_balanced_folds(spark.createDataFrame([(None,)], "e long"), "e").collect()
+    assert [r["fold"] for r in none] == [None]
+
+
 @pytest.fixture(scope="module")
 def data(spark):
     rng = random.Random(2)
@@ -107,11 +125,32 @@ def test_abandon_rule():
     assert not rule({0: 0.79, 1: 0.79, 2: 0.9})
 
 
-def test_a_wide_text_column_trains(spark):
-    df = spark.range(50_000).select("id", (F.col("id") % 2).cast("double").alias("y"), F.concat(F.lit("v"), (F.col("id") / 2).cast("int")).alias("c"))
-    df = df.where("id < 49000 or id % 10 > 0")
-    table = Prepared(df, "id", "y").columns()
-    assert table.select("c").distinct().count() == 2 and table.count() == df.count()
+def test_codes_are_a_dense_rank_of_any_width(spark):
+    """Every value has a code of its own, the most frequent first, whether it is a category for the learner or not."""
+    df = spark.range(50_000).select("id", (F.col("id") % 2).cast("double").alias("y"), F.concat(F.lit("v"), (F.col("id") / 2).cast("int")).alias("c"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("n"), F.col("id") % 3)).alias("d"))
+    df = df.where("id < 49000 or id % 10 > 0").repartition(16)
+    want = sorted(df.groupBy("c").count().collect(), key=lambda r: (-r["count"], r["c"]))
+    for limit in (10, 1_000_000):
+        data = Prepared(df, "id", "y", category_values=limit)
+        got = {r["id"]: r for r in data.columns().collect()}
+        code = {f"v{i // 2}": got[i]["c"] for i in got}
+        assert code == {r["c"]: float(i) for i, r in enumerate(want)}
+        assert {(i % 3, r["d"]) for i, r in got.items()} == {(1, 0.0), (0, 1.0), (2, 2.0)} or len({r["d"] for r in got.values()}) == 3
+        assert data.bins == (32 if limit == 10 else len(want))
+
+
+def test_codes_of_a_million_values(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(1_000_000).select(F.concat(F.lit("="), F.col("id") * 7919 % 1_000_003).alias("a"), F.lit("=x").alias("b"))
+        codes = value_codes(df, ["a", "b"])
+        found = codes.groupBy("place").agg(F.count("*").alias("n"), F.count_distinct("code").alias("codes"), F.min("code").alias("low"), F.max("code").alias("high"))
+        assert sorted(tuple(r) for r in found.collect()) == [(0, 1_000_000, 1_000_000, 0.0, 999_999.0), (1, 1, 1, 0.0, 0.0)]
+        low = [r["value"] for r in codes.where("place = 0").orderBy("code").limit(50).collect()]
+        assert low == sorted(low)
+        assert "SinglePartition" not in codes._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_missing_is_below_everything_and_apart_from_empty_text(spark):
@@ -136,13 +175,63 @@ def noisy(spark):
 NOISY = {"n_estimators": 24, "max_depth": 4, "num_leaves": 16, "learning_rate": 0.2, "colsample_bytree": 0.2, "seed": 3}
 
 
-def test_a_plateau_does_not_stop_the_fit(noisy):
+def predictions(found):
+    return {r["id"]: r["prediction"] for r in found.rows.select("id", "prediction").collect()}
+
+
+def test_boosting_equals_mllib(noisy, tmp_path):
+    """Without sampling, rounds by blocks give MLlib's boosted trees."""
+    settings = to_gbt({**NOISY, "n_estimators": 5, "colsample_bytree": 1.0, "max_depth": 3})
     vectors = noisy.vectors()
-    train, held = vectors.where("fold <> 0"), vectors.where("fold = 0")
-    losses = list(fit(train, "y", NOISY, 32).evaluateEachIteration(held))
-    first_rise = next(i for i in range(1, len(losses)) if losses[i] >= losses[i - 1])
-    model = fit_stopped(train, held, "y", NOISY, 32, patience=8)
-    assert first_rise < model.getNumTrees == best_round(losses, 8)[0]
+    found = boost(vectors, "y", F.col("fold") != 0, settings, 32, str(tmp_path), patience=100, block=2)
+    plain = GBTClassifier(labelCol="y", featuresCol="features", maxBins=32, **settings).fit(vectors.where("fold <> 0"))
+    at_best = GBTClassifier(labelCol="y", featuresCol="features", maxBins=32, **{**settings, "maxIter": found.trees}).fit(vectors.where("fold <> 0"))
+    scored = at_best.transform(vectors.where("fold = 0")).select("id", vector_to_array("probability")[1].alias("p")).collect()
+    assert predictions(found) == pytest.approx({r["id"]: r["p"] for r in scored}, abs=1e-9)
+    ranked = plain.transform(vectors.where("fold = 0")).select("y", vector_to_array("probability")[1].alias("p"))
+    assert found.aucs[-1] == pytest.approx(auc_value(ranked, "y", "p"), abs=1e-9) and len(found.aucs) == 5
+
+
+def test_a_plateau_does_not_stop_the_fit(noisy, tmp_path):
+    vectors, settings = noisy.vectors(), to_gbt(NOISY)
+    whole = boost(vectors, "y", F.col("fold") != 0, settings, 32, str(tmp_path / "whole"), patience=100, block=12)
+    first_fall = next(i for i in range(1, 24) if whole.aucs[i] <= whole.aucs[i - 1])
+    for patience, block in [(3, 2), (5, 4)]:
+        found = boost(vectors, "y", F.col("fold") != 0, settings, 32, str(tmp_path / f"p{patience}"), patience, block)
+        best, stopped = best_round([-a for a in whole.aucs], patience)
+        assert (found.trees, found.stopped) == (best, stopped)
+        assert found.aucs == pytest.approx(whole.aucs[: len(found.aucs)], abs=1e-12)
+        assert len(found.aucs) <= best + patience + block
+    assert first_fall < whole.trees
+
+
+def test_a_killed_fit_goes_on(noisy, tmp_path):
+    """No finished round is fitted again, and the result is that of one uninterrupted run, whatever the blocks."""
+    vectors, settings, fitted = noisy.vectors(), to_gbt({**NOISY, "n_estimators": 9}), []
+
+    def killed(i):
+        fitted.append(i)
+        if i == 5:
+            raise KeyboardInterrupt
+
+    args = (vectors, "y", F.col("fold") != 1, settings, 32)
+    with pytest.raises(KeyboardInterrupt):
+        boost(*args, str(tmp_path / "a"), patience=50, block=2, on_fit=killed)
+    again = boost(*args, str(tmp_path / "a"), patience=50, block=2, on_fit=fitted.append)
+    assert fitted == [0, 1, 2, 3, 4, 5, 4, 5, 6, 7, 8], "only the broken block is fitted again"
+    whole = boost(*args, str(tmp_path / "b"), patience=50, block=9)
+    assert again.aucs == pytest.approx(whole.aucs, abs=1e-12) and again.trees == whole.trees
+    assert predictions(again) == pytest.approx(predictions(whole), abs=1e-12)
+    assert again.importance == pytest.approx(whole.importance)
+    done = boost(*args, str(tmp_path / "a"), patience=50, block=2, on_fit=lambda i: 1 / 0)
+    assert predictions(done) == predictions(again)
+
+
+def test_held_rows_of_one_class_do_not_stop_a_fit(data, tmp_path):
+    vectors = data.vectors().where("fold <> 0 or y = 1 or y is null")
+    found = boost(vectors, "y", F.col("fold") != 0, to_gbt(QUICK), 32, str(tmp_path), patience=1, block=2)
+    assert found.trees == 3 and found.aucs == [None] * 3 and not found.stopped
+    assert found.rows.where("prediction is null").count() == 0
 
 
 def test_best_round():
