@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import decontaminate, mixing, near_copies, secret_scan, toxicity
 from riskloom.llm.common import table
-from riskloom.session import shared_folder
+from riskloom.session import remove, shared_folder
 
 #: Documents scored at least this toxic go.
 REJECT = 0.7
@@ -58,10 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage is written as Parquet to the shared folder and read again."""
+    """All stages over ``documents``; every stage is written as Parquet to the shared folder and read again.
+
+    A stage's table goes when the next one is written; the last one's stays, as the result is read from it.
+    """
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return docs
