@@ -132,27 +132,34 @@ def joined_small(df: DataFrame, lookup: DataFrame, on: Column, how: str, row_byt
 FILTER_BITS = 26
 
 
+def slot_bits(slots: DataFrame) -> np.ndarray:
+    """The set of a column ``slot`` of numbers below 2 ** ``FILTER_BITS`` as bits, of fixed size."""
+    parts = slots.select((F.col("slot") + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for row in parts.toLocalIterator():
+        raw = np.frombuffer(row["bits"], np.uint8)
+        begin = (row["part"] - 1) * len(raw)  # parts are numbered from 1, and so are the slots in them
+        bits[begin : begin + len(raw)] |= raw
+    return bits
+
+
+def in_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def id_filter(wanted: DataFrame, who: list[str]):
     """A function of DataFrames that tells, as a column, whether a row's ids may be among the wanted ones.
 
     Wanted ids always pass; of others a share that grows with the number wanted.  So rows that fail need no join, and
     the join remains for the rest.  The filter is one bit for each hash value, of fixed size.
     """
-    spark = wanted.sparkSession
 
     def slot() -> Column:
         return F.pmod(F.xxhash64(*who), F.lit(1 << FILTER_BITS))
 
-    parts = wanted.select((slot() + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in parts.toLocalIterator():
-        raw = np.frombuffer(row["bits"], np.uint8)
-        begin = (row["part"] - 1) * len(raw)  # parts are numbered from 1, and so are the slots in them
-        bits[begin : begin + len(raw)] |= raw
-    shared = spark.sparkContext.broadcast(bits)
+    shared = wanted.sparkSession.sparkContext.broadcast(slot_bits(wanted.select(slot().alias("slot"))))
 
     def passes(slots: pd.Series) -> pd.Series:
-        at = slots.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+        return pd.Series(in_bits(shared.value, slots.to_numpy()))
 
     return F.pandas_udf(passes, "boolean")(slot())

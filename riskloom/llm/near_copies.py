@@ -12,12 +12,14 @@ the components of the links between candidates.  Groups are never paired out:
 1. each candidate is aligned with one text: of the shortest texts of its sketches that with which it shares most.  The links
    give components, so a group of near copies costs an alignment for each member; this is done again with
    texts of the largest components that it shares a sketch with;
-2. only texts with a sketch that stands in several components can have an open link.  Those are compared across
-   components through an exact prefix filter, in which a passage that many of them share is no key.  Words are labelled by
-   occurrence and ordered from the rarest, by counts in a table of fixed size; linked texts of which the longer has n words
-   have all but n / 5 in common, so their first n / 5 + m share m.  The words that begin each text are joined, and
-   only pairs with enough of them in common (m is a tenth of the shorter text) are aligned.  Words that stand in one open
-   text only are not even written.
+2. only sketches that stand in several components can hold an open link.  Their texts are compared within tasks, by counts of
+   words in about as many bins as a text has words: the sum of the bins in which one text has more is at most the number
+   of edits.  Only pairs that this bound leaves are written, and aligned.  Sketches with the same texts are one group.
+   A text with a sketch of more than ``BLOCK`` texts, as a passage in common makes them, is compared by words instead: an
+   exact prefix filter in which that passage is no key.  Words are labelled by occurrence and ordered from the rarest, by
+   counts in a table of fixed size; linked texts of which the longer has n words have all but n / 5 in common, so
+   that they share one of their first n / 5 + 1.  Texts that share such a word are a group.  Words that stand in one
+   such text only are not even written, and a word of more than ``BLOCK`` texts is compared block by block.
 
 So every candidate pair is either aligned, or in one component already, or too different in words to be linked.
 
@@ -25,7 +27,8 @@ So every candidate pair is either aligned, or in one component already, or too d
 * A text of fewer than k words is a single k-mer.
 * ``class_id`` is the smallest id of the class, NULL only if no member has an id; rows are told apart by id and text.
 * Texts are read whole.
-* The prefix filter costs most where a word that is among the rarest of many open texts stands in most of them.
+* A text is in one group for each of its open sketches, or for each of the words that begin it.  Only a word that is among the
+  rarest of a text and still stands in more than ``BLOCK`` of these texts puts it into several.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.align import banded_distance
-from riskloom.llm.common import Words, gram_hashes, id_filter, joined_small, mixed, slices
+from riskloom.llm.common import FILTER_BITS, Words, gram_hashes, id_filter, in_bits, joined_small, mixed, slices, slot_bits
 from riskloom.llm.components import components
 from riskloom.session import computed, remove, shared_folder
 
@@ -49,6 +52,10 @@ KINDS = ((3, 2, 56), (2, 2, 24))
 SKETCHES = sum(orders for _, _, orders in KINDS)
 #: Words of a short text.
 SHORT = 24
+#: Texts that are compared with one another in one task.
+BLOCK = 2048
+#: Bins of a long text, and counts that are compared at a time.
+MOST_BINS, AT_ONCE = 1 << 13, 1 << 22
 #: Words counted together, and rows of the table of counts that are summed at a time.
 COUNTED, COUNT_ROWS = 1 << 23, 1 << 16
 #: Texts whose sketches and pairs one task handles; the tables of these are narrow, and more files than needed cost disk.
@@ -105,7 +112,7 @@ def _picked(words: Words, k: int, least: int, seeds: range) -> np.ndarray:
         value = np.zeros(len(full), np.uint64)
         for place in picked:
             value = value * np.uint64(0xA0761D6478BD642F) + np.append(label, np.uint64(1))[place]
-        out[full, n_seed] = mixed(value)
+        out[full, n_seed] = mixed(value ^ turn[0])  # sketches of different orders never agree
     return out
 
 
@@ -173,13 +180,8 @@ def _summed(group: pa.Table) -> pa.Table:
     return pa.table({"at": group.column("at").slice(0, 1), "counts": [np.minimum(total, 255).astype(np.uint8).tobytes()]})
 
 
-def shared_words(n: int) -> int:
-    """Words that the beginnings of two linked texts, of which the shorter has n words, have in common."""
-    return 1 + n // 10
-
-
 def _beginnings(shared):
-    """Rows (word, node) of the labelled words that begin a text, rarest first, without those that no other open text has."""
+    """Rows (word, nid) of the labelled words that begin a text, rarest first, without those that no other such text has."""
 
     def run(batches):
         often = shared.value
@@ -191,18 +193,76 @@ def _beginnings(shared):
                 size = np.diff(first)
                 owner = np.repeat(np.arange(b - a), size)
                 order = np.lexsort((label, count, owner))
-                most = np.array([most_edits(int(n)) + shared_words(int(n)) for n in size])
+                most = np.array([most_edits(int(n)) + 1 for n in size])
                 nth = np.arange(len(label)) - np.repeat(first[:-1], size)
                 kept = order[(nth < np.repeat(most, size)) & (count[order] > 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(label[kept].view(np.int64)), batch.column("node").take(pa.array(owner[kept] + a))], names=["word", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(label[kept].view(np.int64)), batch.column("nid").take(pa.array(owner[kept] + a))], names=["word", "nid"])
 
     return run
 
 
-def _bucket(nth: str, sketch: str) -> Column:
-    """A hash of a sketch and its number; the number is its remainder by ``SKETCHES``."""
-    rough = F.xxhash64(nth, sketch)
-    return rough - F.pmod(rough, F.lit(SKETCHES)) + F.col(nth)
+def _bins(n: int) -> int:
+    return min(1 << max(5, (n - 1).bit_length()), MOST_BINS)
+
+
+def _binned(batches):
+    """Words of each text counted in bins; more than 255 in a bin count as 255, which keeps the bound a bound."""
+    for batch in batches:
+        texts = [x.as_py() for x in batch.column("text")]
+        out = []
+        for a, b in slices(texts):
+            words = Words(texts[a:b])
+            for i in range(b - a):
+                own = words.hash[words.first[i] : words.first[i + 1]]
+                size = _bins(len(own))
+                out.append(np.minimum(np.bincount((own & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("nid"), pa.array(out, pa.binary())], names=["nid", "bins"])
+
+
+def _open_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of a group, or of two blocks of it, of different components that may be linked by their counts of words."""
+    order = np.argsort(group.column("n_words").to_numpy(), kind="stable")
+    words, node, label = (group.column(c).to_numpy()[order] for c in ("n_words", "nid", "label"))
+    left, right = (group.column(c).to_numpy(zero_copy_only=False)[order] for c in ("left", "right"))
+    raw = group.column("bins").to_pylist()
+    bins = [np.frombuffer(raw[i], np.uint8) for i in order]
+    size = np.array([len(x) for x in bins])
+    # Texts from here on are too long for a link with the i-th.
+    until = np.searchsorted(SIMILARITY * words - 1e-9, words, side="right")
+    a, b = [], []
+    for c in np.unique(size):
+        own = np.flatnonzero((size == c) | (size == 2 * c))  # a longer text's bins are folded
+        counts = np.stack([bins[j] if size[j] == c else np.minimum(bins[j].reshape(2, c).sum(axis=0, dtype=np.int16), 255) for j in own]).astype(np.int16)
+        for at in np.flatnonzero(size[own] == c):
+            i = own[at]
+            end = np.searchsorted(own, until[i])
+            span = own[at + 1 : end]
+            other = np.flatnonzero((label[span] != label[i]) & ((left[i] & right[span]) | (right[i] & left[span])))
+            for few in np.array_split(other, 1 + len(other) * c // AT_ONCE):
+                gap = counts[at + 1 + few] - counts[at]
+                most = np.floor((1 - SIMILARITY) * words[span[few]] + 1e-9)
+                more = np.where(gap > 0, gap, 0).sum(axis=1)
+                near = (more <= most) & (more - gap.sum(axis=1) <= most)
+                for j in span[few[near]].tolist():
+                    a.append(min(node[i], node[j]))
+                    b.append(max(node[i], node[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _shared_only(shared):
+    """(nid, n_words, own): the sketches of a text that may stand in other texts."""
+
+    def run(batches):
+        for batch in batches:
+            held = batch.column("sketches")
+            flat = held.flatten().to_numpy()
+            kept = in_bits(shared.value, flat & ((1 << FILTER_BITS) - 1))
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(held.offsets.to_numpy()))
+            ends = np.concatenate(([0], np.cumsum(np.bincount(owner, kept, batch.num_rows)))).astype(np.int32)
+            own = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept]))
+            yield pa.RecordBatch.from_arrays([batch.column("nid"), batch.column("n_words"), own], names=["nid", "n_words", "own"])
+
+    return run
 
 
 def _close(a: str, b: str) -> Column:
@@ -211,131 +271,141 @@ def _close(a: str, b: str) -> Column:
 
 
 class NearCopies:
-    """Classes of near copies of a table."""
+    """Classes of near copies of a table.  Different texts are numbered (``nid``)."""
 
     def __init__(self, docs: DataFrame, key: str = "doc_id", text: str = "text"):
         body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+        self.spark = docs.sparkSession
         self.docs = docs.select(F.col(f"`{key}`").alias("id"), F.unhex(F.md5(body)).alias("node"), body.alias("text"))
         id_type = self.docs.schema["id"].dataType.simpleString()
         self.rows = computed(self.docs.mapInArrow(_sketched, f"id {id_type}, node binary, n_words long, sketches array<long>"))
         self.tasks = 1 + self.rows.count() // TASK_ROWS
+        one = F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one")
+        first = [F.first(c).alias(c) for c in ("n_words", "sketches")]
+        nodes = self._few(self.rows).groupBy("node").agg(*first, one, F.min("id").alias("id"), F.count("*").alias("n"))
+        self.nodes = computed(self._few(nodes).withColumn("nid", F.monotonically_increasing_id()))
 
     def _few(self, df: DataFrame) -> DataFrame:
         """A narrow table in as many partitions as the number of texts asks for."""
         return df.coalesce(self.tasks)
 
     def _candidates(self) -> DataFrame:
-        """(node, n_words, sketches, own): ``own`` are the sketches that a text shares with others."""
-        nodes = self._few(self.rows).where("n_words > 0").groupBy("node").agg(F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches"))
-        single = nodes.select("node", F.posexplode("sketches").alias("nth", "sketch")).select("node", _bucket("nth", "sketch").alias("bucket"))
-        shared = single.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-        single, shared = self._few(single), self._few(shared)
-        own = self._few(single.join(shared, "bucket")).groupBy("node").agg(F.collect_set("bucket").alias("own"))
-        return self._few(self._few(nodes).join(self._few(own), "node"))
-
-    def _texts(self, nodes: DataFrame) -> DataFrame:
-        """(node, text) of some nodes, written: the text of one row, or of few rows that share id and text."""
-        one = self._few(self._few(self.rows).join(nodes, "node", "left_semi")).groupBy("node").agg(F.min(F.struct(F.isnull("id").alias("no"), "id")).alias("one"))
-        chosen = computed(self._few(one).select(F.col("node").alias("_node"), F.col("one.id").alias("_id")))
+        """(bucket, nid, n_words): the sketches that a text shares with others, and a few more."""
+        nodes = self.nodes.where("n_words > 0").select("nid", "n_words", "sketches")
+        shared = nodes.select(F.explode("sketches").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        bits = slot_bits(shared.select(F.pmod("bucket", F.lit(1 << FILTER_BITS)).alias("slot")))
+        own = nodes.mapInArrow(_shared_only(self.spark.sparkContext.broadcast(bits)), "nid long, n_words long, own array<long>")
+        return computed(self._few(own.select(F.explode("own").alias("bucket"), "nid", "n_words")))
+
+    def _texts(self, nids: DataFrame) -> DataFrame:
+        """(nid, text) of some texts, each from one row, written."""
+        wanted = self.nodes.select(F.col("node").alias("_node"), F.col("one.id").alias("_id"), "nid").where(id_filter(nids, ["nid"]))
+        chosen = computed(self._few(wanted))
         same = (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))
         maybe = self.docs.where(id_filter(chosen.select(F.col("_node").alias("node")), ["node"]))
-        self.folder = f"{shared_folder(nodes.sparkSession)}/near-{uuid.uuid4().hex}"
-        joined_small(maybe, chosen, same, "inner").select("node", "text").write.parquet(self.folder, compression="zstd")
-        return nodes.sparkSession.read.parquet(self.folder)
+        self.folder = f"{shared_folder(self.spark)}/near-{uuid.uuid4().hex}"
+        found = joined_small(maybe, chosen, same, "inner").select("nid", "text")
+        if not self.rows.groupBy("id", "node").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            found = found.dropDuplicates(["nid"])  # rows that share id and text
+        found.write.parquet(self.folder, compression="zstd")
+        return self.spark.read.parquet(self.folder)
 
     def _aligned(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         # Only texts that a pair may name are moved.
         left, right = (
-            texts.where(id_filter(pairs.select(F.col(side).alias("node")), ["node"])).withColumnsRenamed({"node": side, "text": f"text_{side}"}) for side in "ab"
+            texts.where(id_filter(pairs.select(F.col(side).alias("nid")), ["nid"])).withColumnsRenamed({"nid": side, "text": f"text_{side}"}) for side in "ab"
         )
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-        return computed(both.mapInArrow(_linked, "a binary, b binary"))
+        return computed(both.mapInArrow(_linked, "a long, b long"))
 
     def _star(self, members: DataFrame, order: Column) -> DataFrame:
         """A pair for each member: with the first ``centre`` of its buckets and bands, that which it meets in most of them.
 
         Members of the centre's own component, where labels are known, need no pair.
         """
-        members = self._few(members)
-        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "node", "n_words")).alias("low"))
-        apart = F.col("node") != F.col("low.node")
+        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
+        step = F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
+        members = self._few(members).withColumn("band", F.explode(F.array(F.floor(step), -1 - F.floor(step + 0.5))))
+        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "nid", "n_words")).alias("low"), F.count("*").alias("n"))
+        apart = F.col("nid") != F.col("low.nid")
         if "label" in members.columns:
             apart = F.col("label") != F.col("main")
-        star = members.join(low, ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
-        votes = self._few(star.groupBy("node", F.col("low.node").alias("centre")).agg(F.count("*").alias("votes")))
-        best = self._few(votes.groupBy("node").agg(F.max(F.struct("votes", "centre")).alias("best")))
-        pairs = best.select(F.least("best.centre", "node").alias("a"), F.greatest("best.centre", "node").alias("b"))
+        else:
+            low = low.where("n > 1")
+        star = members.join(low.select("bucket", "band", "low"), ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
+        votes = self._few(star.groupBy("nid", F.col("low.nid").alias("centre")).agg(F.count("*").alias("votes")))
+        best = self._few(votes.groupBy("nid").agg(F.max(F.struct("votes", "centre")).alias("best")))
+        pairs = best.select(F.least("best.centre", "nid").alias("a"), F.greatest("best.centre", "nid").alias("b"))
         return computed(self._few(pairs.distinct()))
 
     def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        return computed(self._few(members.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))))
+        return computed(self._few(members.join(components(links).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))))
 
-    def _beginning(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-        """(word, node, n_words, label, main) of the words that begin the texts of ``nodes`` (node, n_words, label).
-
-        Words that stand in one component only are left out; ``main`` is the component that most nodes of a word belong to.
-        """
-        spark = texts.sparkSession
-        own = texts.join(nodes, "node", "left_semi")
+    def _by_words(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+        """Groups (key, nid, n_words, label, left, right) of ``nodes`` (nid, n_words, label) that share a word that begins them."""
+        own = texts.where(id_filter(nodes, ["nid"]))
         often = np.zeros(COUNTED, np.uint8)
         # A byte for each count, of fixed number.
         for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").toLocalIterator():
             often[row["at"] : row["at"] + COUNT_ROWS] = np.frombuffer(row["counts"], np.uint8)
-        words = own.mapInArrow(_beginnings(spark.sparkContext.broadcast(often)), "word long, node binary")
-        words = computed(words.join(nodes, "node"))
-        main = words.groupBy("word", "label").agg(F.count("*").alias("n")).groupBy("word").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-        return words.join(main.where("parts > 1").select("word", F.col("main.label").alias("main")), "word")
-
-    def _similar(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-        """Pairs (a, b) of nodes of different components with enough words in common to be linked."""
-        words = computed(self._beginning(nodes, texts))
-        # Nodes of a word's main component are paired with the others only.
-        left = words.where("label <> main").select("word", *[F.col(c).alias(f"{c}_a") for c in ("node", "n_words", "label")])
-        right = words.select("word", *[F.col(c).alias(f"{c}_b") for c in ("node", "n_words", "label")], "main")
-        once = (F.col("label_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
-        met = left.join(right, "word").where((F.col("label_a") != F.col("label_b")) & once & _close("n_words_a", "n_words_b"))
-        pair = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"), F.least("n_words_a", "n_words_b").alias("n")
-        return met.select(*pair).groupBy("a", "b", "n").agg(F.count("*").alias("common")).where("common > floor(n / 10)").select("a", "b")
+        words = own.mapInArrow(_beginnings(self.spark.sparkContext.broadcast(often)), "word long, nid long")
+        words = computed(words.join(nodes, "nid"))
+        met = words.groupBy("word").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"))
+        met = met.where("one <> other").select("word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        block = F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int")
+        each_pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j")))
+        blocks = words.join(met, "word").select("word", "nid", "n_words", "label", block.alias("block"), F.explode(each_pair).alias("pair"))
+        sides = [(F.col("block") == F.col("pair.i")).alias("left"), (F.col("block") == F.col("pair.j")).alias("right")]
+        return blocks.select(F.xxhash64("word", "pair.i", "pair.j").alias("key"), "nid", "n_words", "label", *sides)
+
+    def _groups(self, placed: DataFrame, texts: DataFrame) -> DataFrame | None:
+        """Groups (key, nid, n_words, label, left, right) whose texts are to be compared; None if no link can be open."""
+        same = [F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("xor")]
+        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"), *same).where("one <> other")
+        # Buckets with the same texts are one group.
+        several = computed(self._few(several.groupBy("n", "sum", "xor").agg(F.min("bucket").alias("bucket")).select("bucket", "n")))
+        if several.isEmpty():
+            return None
+        members = computed(self._few(placed.join(several, "bucket").select("bucket", "nid", "n_words", "label", "n")))
+        both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
+        groups = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("key"), "nid", "n_words", "label", *both)
+        large = computed(self._few(members.where(F.col("n") > BLOCK).select("nid", "n_words", "label").distinct()))
+        return groups if large.isEmpty() else groups.union(self._by_words(large, texts))
 
     def links(self) -> DataFrame:
-        """Verified links (a, b) between nodes, enough to join all that candidates link."""
-        own = computed(self._candidates())
-        step = F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
-        # Texts of which one is long enough for the other share one of two wide bands; sketches alone in their bands go.
-        wide = F.array(F.floor(step / 2), -1 - F.floor((step + 1) / 2))
-        spread = own.select(F.explode("own").alias("bucket"), "node", "n_words", wide.alias("wide")).withColumn("wide", F.explode("wide"))
-        spread = self._few(spread)
-        met = self._few(spread.groupBy("bucket", "wide").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "wide"))
-        near = self._few(self._few(spread.join(met, ["bucket", "wide"]).select("bucket", "node", "n_words")).distinct())
-        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
-        bands = F.array(F.floor(step), -1 - F.floor(step + 0.5))
-        each = computed(near.select("bucket", "node", "n_words", bands.alias("bands")))
-        texts = self._texts(each.select("node").distinct())
-        tried = self._star(each.select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.lit(True).alias("centre")), F.col("n_words"))
+        """Verified links (a, b) between texts, enough to join all that candidates link."""
+        each = self._candidates()
+        tried = self._star(each.withColumn("centre", F.lit(True)), F.col("n_words"))
+        # Every text that meets another one in some bucket and band is in one of these pairs.
+        met = computed(self._few(tried.select(F.explode(F.array("a", "b")).alias("nid")).distinct()))
+        each = computed(self._few(each.where(id_filter(met, ["nid"]))))
+        texts = self._texts(met)
         links = self._aligned(tried, texts)
         placed = self._placed(each, links)
         for n in range(STAR_ROUNDS):
             main = self._few(placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-            open_ones = placed.join(main.where("parts > 1 AND main.n > 1"), "bucket").select("bucket", "node", "n_words", F.explode("bands").alias("band"), F.col("label"), F.col("main.label").alias("main"))
+            open_ones = placed.join(main.where("parts > 1 AND main.n > 1"), "bucket").select("bucket", "nid", "n_words", "label", F.col("main.label").alias("main"))
             centred = self._few(open_ones).withColumn("centre", F.col("label") == F.col("main"))
-            again = computed(self._few(self._star(centred, F.xxhash64("node", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
+            again = computed(self._few(self._star(centred, F.xxhash64("nid", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
             found = self._aligned(again, texts)
             if found.isEmpty():
                 break
             tried, links = tried.union(again), links.union(found)
             placed = self._placed(each, links)
-        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other").select("bucket")
-        open_nodes = computed(self._few(placed.join(several, "bucket", "left_semi").select("node", "n_words", "label")).distinct())
-        more = computed(self._few(self._similar(open_nodes, texts).join(self._few(tried), ["a", "b"], "left_anti")))
-        links = links.union(self._aligned(more, texts))
-        remove(texts.sparkSession, self.folder)
+        groups = self._groups(placed, texts)
+        if groups is not None:
+            about = texts.where(id_filter(groups, ["nid"])).mapInArrow(_binned, "nid long, bins binary")
+            compared = groups.join(about, "nid").groupBy("key").applyInArrow(_open_pairs, "a long, b long")
+            more = computed(self._few(self._few(compared.distinct()).join(self._few(tried), ["a", "b"], "left_anti")))
+            links = links.union(self._aligned(more, texts))
+        remove(self.spark, self.folder)
         return links
 
     def classes(self) -> DataFrame:
         """id, node, class_id, class_size and ``first`` (the row of the class to keep) of every row."""
-        label = components(self.links())
-        nodes = self._few(self.rows).groupBy("node").agg(F.min("id").alias("id"), F.count("*").alias("n"))
-        named = computed(self._few(self._few(nodes).join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))))
+        label = components(self.links()).withColumnRenamed("node", "nid")
+        nodes = self._few(self.nodes).select("nid", "node", "id", "n")
+        named = computed(self._few(nodes.join(label, "nid", "left").withColumn("label", F.coalesce("label", "nid"))))
         whole = named.groupBy("label").agg(
             F.min("id").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.struct(F.isnull("id").alias("no"), "id", "node")).alias("first")
         )
