@@ -29,7 +29,7 @@ def with_folds(df: DataFrame, ident: str, k: int = FOLDS, seed: int = SEED) -> D
 
 
 # Entities with at least this part of a fold's rows are placed one by one; there are at most HEAVY * k of them.
-HEAVY = 100
+HEAVY = 2000
 
 
 def with_balanced_folds(df: DataFrame, entity: str, k: int = FOLDS, seed: int = SEED) -> DataFrame:
