@@ -265,6 +265,11 @@ def _shared_only(shared):
     return run
 
 
+def _step() -> Column:
+    """The length in steps of which one is the most that two linked texts may differ by."""
+    return F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
+
+
 def _close(a: str, b: str) -> Column:
     """Whether two numbers of words are near enough for a link."""
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
@@ -318,26 +323,34 @@ class NearCopies:
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return computed(both.mapInArrow(_linked, "a long, b long"))
 
-    def _star(self, members: DataFrame, order: Column) -> DataFrame:
-        """A pair for each member: with the first ``centre`` of its buckets and bands, that which it meets in most of them.
+    def _first_star(self, each: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(pairs, met): a pair for each text, as ``_star`` gives it, and all texts that meet another one of near length in a bucket.
 
-        Members of the centre's own component, where labels are known, need no pair.
+        Any two lengths near enough for a link are in one of two wide bands together; a band's centre is its shortest text.
         """
-        # Texts of near lengths meet in one of two bands of lengths; in a band any two lengths are near enough.
-        step = F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
-        members = self._few(members).withColumn("band", F.explode(F.array(F.floor(step), -1 - F.floor(step + 0.5))))
-        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "nid", "n_words")).alias("low"), F.count("*").alias("n"))
-        apart = F.col("nid") != F.col("low.nid")
-        if "label" in members.columns:
-            apart = F.col("label") != F.col("main")
-        else:
-            low = low.where("n > 1")
-        star = members.join(low.select("bucket", "band", "low"), ["bucket", "band"]).where(apart & _close("n_words", "low.n_words"))
-        votes = self._few(star.groupBy("nid", F.col("low.nid").alias("centre")).agg(F.count("*").alias("votes")))
-        best = self._few(votes.groupBy("nid").agg(F.max(F.struct("votes", "centre")).alias("best")))
+        members = self._few(each).withColumn("band", F.explode(F.array(F.floor(_step() / 2), -1 - F.floor((_step() + 1) / 2))))
+        low = members.groupBy("bucket", "band").agg(F.min(F.struct("n_words", "nid")).alias("low"), F.count("*").alias("n")).where("n > 1")
+        star = members.join(low, ["bucket", "band"])
+        near = _close("n_words", "low.n_words") & (F.col("nid") != F.col("low.nid"))
+        votes = computed(self._few(star.groupBy("nid", F.col("low.nid").alias("centre")).agg(F.count_if(near).alias("votes"))))
+        return self._best(votes.where("votes > 0")), computed(self._few(votes.select("nid").distinct()))
+
+    def _best(self, votes: DataFrame) -> DataFrame:
+        best = self._few(self._few(votes).groupBy("nid").agg(F.max(F.struct("votes", "centre")).alias("best")))
         pairs = best.select(F.least("best.centre", "nid").alias("a"), F.greatest("best.centre", "nid").alias("b"))
         return computed(self._few(pairs.distinct()))
 
+    def _star(self, members: DataFrame, order: Column) -> DataFrame:
+        """A pair for each member: with the first ``centre`` of its buckets and bands, that which it meets in most of them.
+
+        Members of the centre's own component need no pair.
+        """
+        # In a narrow band any two lengths are near enough; texts that meet in none are left to the comparison of groups.
+        members = self._few(members).withColumn("band", F.explode(F.array(F.floor(_step()), -1 - F.floor(_step() + 0.5))))
+        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "nid", "n_words")).alias("low"))
+        star = members.join(low, ["bucket", "band"]).where((F.col("label") != F.col("main")) & _close("n_words", "low.n_words"))
+        return self._best(star.groupBy("nid", F.col("low.nid").alias("centre")).agg(F.count("*").alias("votes")))
+
     def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
         return computed(self._few(members.join(components(links).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))))
 
@@ -375,9 +388,7 @@ class NearCopies:
     def links(self) -> DataFrame:
         """Verified links (a, b) between texts, enough to join all that candidates link."""
         each = self._candidates()
-        tried = self._star(each.withColumn("centre", F.lit(True)), F.col("n_words"))
-        # Every text that meets another one in some bucket and band is in one of these pairs.
-        met = computed(self._few(tried.select(F.explode(F.array("a", "b")).alias("nid")).distinct()))
+        tried, met = self._first_star(each)
         each = computed(self._few(each.where(id_filter(met, ["nid"]))))
         texts = self._texts(met)
         links = self._aligned(tried, texts)

@@ -203,13 +203,9 @@ def test_pipeline_stages_one_by_one(spark, folder):
     assert differences(run("mixing", hidden).toArrow(), con.execute(SQL["op4_mix_sources"]).to_arrow_table()) == []
 
 
-def test_pipeline_keeps_only_its_result(spark, odd, labels, benchmark, folder, tmp_path):
+def test_pipeline_keeps_only_its_result(spark, odd, labels, benchmark, folder, tmp_path, monkeypatch):
     """Tables between the stages go when the next is written."""
     at = folder(documents=odd, labels=labels, benchmark=benchmark)
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared")
-    try:
-        corpus_pipeline.run(spark, at).count()
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    kept = [p.name for p in (tmp_path / "shared").glob("corpus-*/*")]
-    assert kept == ["mixing"]
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda _: f"{tmp_path}/shared")
+    corpus_pipeline.run(spark, at).count()
+    assert [p.name for p in (tmp_path / "shared").glob("corpus-*/*")] == ["mixing"]
