@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,11 +158,12 @@ def piece_blocks(benchmark: DataFrame, item: str = "item_id", passage: str = "te
 
     def cut(batches):
         for batch in batches:
-            rows = [(i, p) for i, t in zip(batch["item"], batch["passage"]) for _, p in pieces(t)]
-            yield pd.DataFrame({"item": pd.Series([i for i, _ in rows], dtype=object), "piece": [p for _, p in rows]})
+            found = [(i, p) for i, t in enumerate(batch.column("passage")) for _, p in pieces(t.as_py())]
+            items = batch.column("item").take(pa.array([i for i, _ in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays([items, pa.array([p for _, p in found], pa.string())], names=["item", "piece"])
 
     named = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{passage}`").alias("passage"))
-    every = computed(named.mapInPandas(cut, f"item {kind}, piece string").distinct())
+    every = computed(named.mapInArrow(cut, f"item {kind}, piece string").distinct())
     blocks = max(1, -(-every.count() // BLOCK_PIECES))
     for block in range(blocks):
         held: dict[str, list] = {}
