@@ -53,7 +53,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mix),
 ]
 
-#: A learned model and sampled hash orders have no SQL; tests compare each stage with a brute-force version.
+#: A learned model and sampled hash orders have no SQL; tests compare the first four stages with plain Python, the SQL of op4 states the last.
 ORACLE_SQL = None
 
 
