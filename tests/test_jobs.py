@@ -154,3 +154,15 @@ def test_template_is_filled_by_key(spark, tmp_path):
     assert sorted(tuple(r) for r in filled.collect()) == [(1, 0.2), (2, 0.7)]
     store.write_predictions(predictions, "SK_ID_CURR", "TARGET", f"{tmp_path}/p", format="parquet")
     assert spark.read.parquet(f"{tmp_path}/p").count() == 2
+
+
+@pytest.mark.parametrize("early_stop", [False, True])
+def test_an_outcome_may_be_called_as_a_column_of_a_fitted_model(spark, source, early_stop):
+    t = read_tables(spark, source)
+    late = stacked.late_variants(t.installments_payments, {"late": (7, -1), "later": (14, -1)})
+    few = {**QUICK, "n_estimators": 1}
+    want = stacked.stacked_features(t.application_all, t.previous_application, late, few, k=2, early_stop=early_stop)
+    own = late.withColumnsRenamed({"late": "prediction", "later": "probability"})
+    got = stacked.stacked_features(t.application_all, t.previous_application, own, few, k=2, early_stop=early_stop)
+    assert got.columns == ["SK_ID_CURR", "prediction", "probability"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
