@@ -13,7 +13,7 @@ from riskloom.models.train import EARLIER, PARAMS, Cv, cross_validate, mean_impo
 from riskloom.plans.feature_sets import FeatureSet
 from riskloom.plans.matrix import KEY, feature_matrix
 from riskloom.operators.checks import Observed
-from riskloom.session import computed, tune
+from riskloom.session import computed, tune_tables
 from riskloom.sources.store import Cache, log_metrics, write_matrix, write_predictions, write_sample
 from riskloom.sources.tables import read_tables
 
@@ -29,7 +29,7 @@ def build_features(
     rebuild, so a failed run resumes with the parts that are there and whose input is as it was.
     The matrix must have the applicants' rows; rows are counted while they are written.
     """
-    tune(spark)
+    tune_tables(spark)
     predictions = spark.read.parquet(stacked_path) if stacked_path else None
     cache = Cache(spark, f"{out}/cache", refresh)
     matrix = Observed(feature_matrix(read_tables(spark, source), predictions, cache), "matrix")
@@ -50,7 +50,7 @@ def train_and_predict(
     Writes predictions (CSV by key), out-of-fold predictions, importances by fold and the 100 highest means,
     and the AUC and the trees kept, per fold and overall.
     """
-    tune(spark)
+    tune_tables(spark)
     params = dict(params or (EARLIER if feature_set is not None else PARAMS))
     if feature_set is not None:
         matrix = feature_set.apply(matrix, candidates)
@@ -92,7 +92,7 @@ def build_stacked(
     due.  Each is the mean over seeds.  With ``metrics``, AUC and trees of each seed and the correlation with the real
     outcome are logged there.
     """
-    tune(spark)
+    tune_tables(spark)
     t = read_tables(spark, source)
     app, prev = t.application_all, t.previous_application
     params = params or EARLIER
