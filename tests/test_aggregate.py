@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.aggregate import (
-    Slice, aggregate, aggregate_slices, aggregate_slices_by_join, group_stat, read_spec,
+    Slice, aggregate, aggregate_slices, aggregate_slices_by_join, group_stat, heavy_keys, read_spec,
 )
 from riskloom.operators.joins import attach
 
@@ -194,3 +194,19 @@ def test_distinct_counts_by_bits(spark, monkeypatch):
     assert got == {k: len(v) for k, v in want.items()}
     monkeypatch.setattr("riskloom.operators.aggregate.BIT_VALUES", 3)
     assert {(r["k"], c): r[c] for r in aggregate_slices(df, "k", made).collect() for c in wide.columns if "nunique" in c and r[c] is not None} == got
+
+
+@pytest.mark.parametrize("least", [3, 1_000_000])
+def test_heavy_keys_go_another_way_with_the_same_result(spark, rows, monkeypatch, least):
+    monkeypatch.setattr("riskloom.operators.aggregate.HEAVY_ROWS", least)
+    data = [(k, i, random.Random(i).choice("AB"), -i, float(i)) for i, k in enumerate([0] * 9 + [1] * 3 + [2, 3, 3, None, None])]
+    df = spark.createDataFrame(data, "k long, id long, status string, days int, amt double")
+    heavy = heavy_keys(df, "k")
+    assert rows(heavy) == ([(0,)] if least == 3 else [])
+    a, b = aggregate_slices(df, "k", slices(), (), heavy), aggregate_slices(df, "k", slices())
+    assert a.columns == b.columns and rows(a) == rows(b)
+
+
+def test_rows_without_heavy_keys_are_shuffled_once(spark, child):
+    plan = aggregate_slices(child, "k", [Slice("", None, read_spec("amt | sum std"))], (), heavy_keys(child, "k"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
