@@ -285,3 +285,18 @@ def test_selection_logs_and_skips(data):
     rows = []
     forward(data, QUICK, base=["x"], candidates=["noise", "z"], n=1, k=2, skip=1, log=rows.append)
     assert [r[1] for r in rows] == ["", "z"]
+
+
+def test_bagging_scores_unlabelled_rows_in_one_pass(spark, monkeypatch):
+    rng = random.Random(8)
+    data = [(None if i % 10 == 9 else i % 70, rng.random(), rng.choice("abc"), rng.choice([0, 1, None])) for i in range(240)]
+    df = with_folds(spark.createDataFrame(data, "id long, x double, t string, y int"), "id", 2)
+    table, few = Prepared(df, "id", "y", keep=["fold"]), {**QUICK, "n_estimators": 2}
+    runs = [cross_validate(table, {**few, "seed": s}, 2, early_stop=False).unlabelled for s in (1, 2)]
+    want = {r["id"]: r["p"] for r in runs[0].union(runs[1]).groupBy("id").agg(F.avg("prediction").alias("p")).collect()}
+    from riskloom.models import train
+
+    written, computed = [], train.computed
+    monkeypatch.setattr(train, "computed", lambda df: written.append(df) or computed(df))
+    got = {r["id"]: r["prediction"] for r in bag_seeds(table, few, seeds=[1, 2], k=2, early_stop=False).collect()}
+    assert got == pytest.approx(want) and len(written) == 1
