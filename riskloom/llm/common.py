@@ -136,7 +136,7 @@ def slot_bits(slots: DataFrame) -> np.ndarray:
     """The set of a column ``slot`` of numbers below 2 ** ``FILTER_BITS`` as bits, of fixed size."""
     parts = slots.select((F.col("slot") + 1).alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
     bits = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # as many bytes at most as there are bits; one job, not one for each partition
         raw = np.frombuffer(row["bits"], np.uint8)
         begin = (row["part"] - 1) * len(raw)  # parts are numbered from 1, and so are the slots in them
         bits[begin : begin + len(raw)] |= raw

@@ -359,7 +359,7 @@ class NearCopies:
         own = texts.where(id_filter(nodes, ["nid"]))
         often = np.zeros(COUNTED, np.uint8)
         # A byte for each count, of fixed number.
-        for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").toLocalIterator():
+        for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").collect():
             often[row["at"] : row["at"] + COUNT_ROWS] = np.frombuffer(row["counts"], np.uint8)
         words = own.mapInArrow(_beginnings(self.spark.sparkContext.broadcast(often)), "word long, nid long")
         words = computed(words.join(nodes, "nid"))
