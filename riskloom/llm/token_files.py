@@ -51,7 +51,7 @@ BUCKET_KEYS = 100_000
 REMEMBERED, LONGEST = 1_000_000, 64
 _CODES = {"<u2": "H", "<u4": "I"}  # of the machine's byte order, which is the files'
 #: Full stops and commas that end a word.
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,]+)(?=[ \t\n\r\x0b\x0c]|$)")
+_STOP = re.compile(rb"[.,](?<=[a-z0-9][.,])[.,]*(?=[ \t\n\r\x0b\x0c]|$)")
 _FOOTER, _MAGIC = "<8sIIQQ", b"tokids01"
 _LEVELS, _LEAST_BITS = 48, 64
 
@@ -59,6 +59,19 @@ _LEVELS, _LEAST_BITS = 48, 64
 # ---------------------------------------------------------------- encoding
 
 
+class _Known(dict):
+    """Ids of pieces met before; a long piece is not kept."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.encode(piece.decode())
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """The ids of a text, as the library gives them, and an end id.
 
@@ -83,7 +96,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(self.source)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self._whole)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("tokenizer", "known")}
@@ -104,7 +117,7 @@ class Encoder:
         low = text.lower()  # ASCII letters only
         if any(x in low for x in self.added):
             return text.split()
-        return _STOP.sub(rb" \1", low).split()
+        return _STOP.sub(rb" \g<0>", low).split()
 
     def __call__(self, text: bytes) -> bytes:
         if not self.splits:
@@ -112,13 +125,7 @@ class Encoder:
         pieces = self._pieces(text)
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        fresh = [(x, self._whole(x.decode())) for x in set(pieces).difference(self.known)]
-        self.known.update(fresh)
-        ids = b"".join(map(self.known.__getitem__, pieces))
-        for x, _ in fresh:
-            if len(x) > LONGEST:
-                del self.known[x]
-        return ids + self.end
+        return b"".join(map(self.known.__getitem__, pieces)) + self.end
 
 
 # ---------------------------------------------------------------- minimal perfect hash

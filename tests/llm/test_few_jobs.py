@@ -4,7 +4,6 @@ import random
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from riskloom.llm import token_count, token_files
 from riskloom.llm.common import FILTER_BITS, in_bits, slot_bits
