@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -236,14 +237,15 @@ class Counter:
 
 
 class Pieces(dict):
-    """Token counts of pieces met before."""
+    """Token counts of pieces met before; when there are too many, the first quarter stays, as frequent pieces come early."""
 
     def __init__(self, counter: Counter):
         self.counter = counter
 
     def __missing__(self, piece: str) -> int:
         if len(self) > PIECE_BOUND:
-            self.clear()
+            for old in list(islice(self, PIECE_BOUND // 4, None)):
+                del self[old]
         n = self.counter.count(piece.encode())
         self[piece] = n
         return n
