@@ -130,6 +130,8 @@ def joined_small(df: DataFrame, lookup: DataFrame, on: Column, how: str, row_byt
 
 #: Bits of the set of ids that may be wanted: 8 MB at most, whatever the size of the data.
 FILTER_BITS = 26
+#: Bits for each wanted id that a filter of few ids keeps at least; every executor has a copy of it on disk.
+BITS_EACH = 64
 
 
 def slot_bits(slots: DataFrame) -> np.ndarray:
@@ -143,7 +145,16 @@ def slot_bits(slots: DataFrame) -> np.ndarray:
     return bits
 
 
+def folded(bits: np.ndarray) -> np.ndarray:
+    """The set with slots modulo a smaller power of two, of which ``BITS_EACH`` bits or more remain for each one that is set."""
+    most = BITS_EACH * int(np.bitwise_count(bits).sum())
+    while len(bits) > 1 and 4 * len(bits) >= most:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
 def in_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    slots = slots & 8 * len(bits) - 1
     return (bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -151,13 +162,13 @@ def id_filter(wanted: DataFrame, who: list[str]):
     """A function of DataFrames that tells, as a column, whether a row's ids may be among the wanted ones.
 
     Wanted ids always pass; of others a share that grows with the number wanted.  So rows that fail need no join, and
-    the join remains for the rest.  The filter is one bit for each hash value, of fixed size.
+    the join remains for the rest.  The filter is one bit for each hash value, of a size that few ids make smaller.
     """
 
     def slot() -> Column:
         return F.pmod(F.xxhash64(*who), F.lit(1 << FILTER_BITS))
 
-    shared = wanted.sparkSession.sparkContext.broadcast(slot_bits(wanted.select(slot().alias("slot"))))
+    shared = wanted.sparkSession.sparkContext.broadcast(folded(slot_bits(wanted.select(slot().alias("slot")))))
 
     def passes(slots: pd.Series) -> pd.Series:
         return pd.Series(in_bits(shared.value, slots.to_numpy()))

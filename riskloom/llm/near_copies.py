@@ -14,7 +14,7 @@ the components of the links between candidates.  Groups are never paired out:
    texts of the largest components that it shares a sketch with;
 2. only sketches that stand in several components can hold an open link.  Their texts are compared within tasks, by counts of
    words in about as many bins as a text has words: the sum of the bins in which one text has more is at most the number
-   of edits.  Only pairs that this bound leaves are written, and aligned.  Sketches with the same texts are one group.
+   of edits.  Only pairs that this bound leaves are written, once each, and aligned.  Sketches with the same texts are one group.
    A text with a sketch of more than ``BLOCK`` texts, as a passage in common makes them, is compared by words instead: an
    exact prefix filter in which that passage is no key.  Words are labelled by occurrence and ordered from the rarest, by
    counts in a table of fixed size; linked texts of which the longer has n words have all but n / 5 in common, so
@@ -220,10 +220,16 @@ def _binned(batches):
 
 
 def _open_pairs(group: pa.Table) -> pa.Table:
-    """Pairs of a group, or of two blocks of it, of different components that may be linked by their counts of words."""
+    """Pairs of a group, or of two blocks of it, of different components that may be linked by their counts of words.
+
+    A pair is left to the smallest token (sketch or word) that both texts are compared by, so that it is written once.
+    """
     order = np.argsort(group.column("n_words").to_numpy(), kind="stable")
     words, node, label = (group.column(c).to_numpy()[order] for c in ("n_words", "nid", "label"))
     left, right = (group.column(c).to_numpy(zero_copy_only=False)[order] for c in ("left", "right"))
+    token = group.column("token")[0].as_py()
+    held = group.column("tokens").to_pylist()
+    before = [frozenset(x for x in held[i] if x < token) for i in order]
     raw = group.column("bins").to_pylist()
     bins = [np.frombuffer(raw[i], np.uint8) for i in order]
     size = np.array([len(x) for x in bins])
@@ -244,8 +250,9 @@ def _open_pairs(group: pa.Table) -> pa.Table:
                 more = np.where(gap > 0, gap, 0).sum(axis=1)
                 near = (more <= most) & (more - gap.sum(axis=1) <= most)
                 for j in span[few[near]].tolist():
-                    a.append(min(node[i], node[j]))
-                    b.append(max(node[i], node[j]))
+                    if before[i].isdisjoint(before[j]):
+                        a.append(min(node[i], node[j]))
+                        b.append(max(node[i], node[j]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
@@ -256,7 +263,7 @@ def _shared_only(shared):
         for batch in batches:
             held = batch.column("sketches")
             flat = held.flatten().to_numpy()
-            kept = in_bits(shared.value, flat & ((1 << FILTER_BITS) - 1))
+            kept = in_bits(shared.value, flat)
             owner = np.repeat(np.arange(batch.num_rows), np.diff(held.offsets.to_numpy()))
             ends = np.concatenate(([0], np.cumsum(np.bincount(owner, kept, batch.num_rows)))).astype(np.int32)
             own = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[kept]))
@@ -270,7 +277,7 @@ def _step() -> Column:
     return F.log(F.col("n_words")) / F.log(F.lit(1 / SIMILARITY))
 
 
-def _close(a: str, b: str) -> Column:
+def _close(a: Column | str, b: Column | str) -> Column:
     """Whether two numbers of words are near enough for a link."""
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
@@ -299,8 +306,11 @@ class NearCopies:
         nodes = self.nodes.where("n_words > 0").select("nid", "n_words", "sketches")
         shared = nodes.select(F.explode("sketches").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         bits = slot_bits(shared.select(F.pmod("bucket", F.lit(1 << FILTER_BITS)).alias("slot")))
-        own = nodes.mapInArrow(_shared_only(self.spark.sparkContext.broadcast(bits)), "nid long, n_words long, own array<long>")
-        return computed(self._few(own.select(F.explode("own").alias("bucket"), "nid", "n_words")))
+        sent = self.spark.sparkContext.broadcast(bits)
+        own = nodes.mapInArrow(_shared_only(sent), "nid long, n_words long, own array<long>")
+        found = computed(self._few(own.select(F.explode("own").alias("bucket"), "nid", "n_words")))
+        sent.unpersist()  # every executor has a copy of it on disk
+        return found
 
     def _texts(self, nids: DataFrame) -> DataFrame:
         """(nid, text) of some texts, each from one row, written."""
@@ -340,39 +350,54 @@ class NearCopies:
         pairs = best.select(F.least("best.centre", "nid").alias("a"), F.greatest("best.centre", "nid").alias("b"))
         return computed(self._few(pairs.distinct()))
 
-    def _star(self, members: DataFrame, order: Column) -> DataFrame:
-        """A pair for each member: with the first ``centre`` of its buckets and bands, that which it meets in most of them.
+    def _star(self, placed: DataFrame, order: Column) -> DataFrame:
+        """A pair for each text outside the largest component of a bucket: with the first text of that component in a band of
+        near lengths, of all such centres that which it meets in most of its buckets and bands.
 
-        Members of the centre's own component need no pair.
+        In a narrow band any two lengths are near enough; texts that meet in none are left to the comparison of groups.
         """
-        # In a narrow band any two lengths are near enough; texts that meet in none are left to the comparison of groups.
-        members = self._few(members).withColumn("band", F.explode(F.array(F.floor(_step()), -1 - F.floor(_step() + 0.5))))
-        low = members.where("centre").groupBy("bucket", "band").agg(F.min(F.struct(order.alias("order"), "nid", "n_words")).alias("low"))
-        star = members.join(low, ["bucket", "band"]).where((F.col("label") != F.col("main")) & _close("n_words", "low.n_words"))
-        return self._best(star.groupBy("nid", F.col("low.nid").alias("centre")).agg(F.count("*").alias("votes")))
+        # Both kinds of bands are two half steps long, so centres are found from the first texts of each half step.
+        half = F.floor(2 * _step())
+        first = F.min(F.struct(order.alias("order"), "nid", "n_words")).alias("low")
+        cells = self._few(self._few(placed).groupBy("bucket", "label", half.alias("half")).agg(F.count("*").alias("n"), first))
+        main = cells.groupBy("bucket", "label").agg(F.sum("n").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
+        main = main.where("parts > 1 AND main.n > 1").select("bucket", F.col("main.label").alias("main"))
+        kinds = F.array(F.floor(F.col("half") / 2), -1 - F.floor((F.col("half") + 1) / 2))
+        low = cells.join(main, "bucket").where("label = main").select("bucket", "main", "low", F.explode(kinds).alias("band"))
+        low = low.groupBy("bucket", "main", "band").agg(F.min("low").alias("low"))
+        # A bucket has a centre for each of its bands at most, of which there are two for each step in length.
+        low = self._few(low.groupBy("bucket", "main").agg(F.map_from_entries(F.collect_list(F.struct("band", "low"))).alias("lows")))
+        star = placed.join(low, "bucket").where("label <> main").withColumn("half", half)
+        centres = F.filter(F.transform(kinds, lambda band: F.try_element_at("lows", band)), lambda c: c.isNotNull() & _close("n_words", c["n_words"]))
+        met = star.select("nid", F.explode(F.transform(centres, lambda c: c["nid"])).alias("centre"))
+        return self._best(met.groupBy("nid", "centre").agg(F.count("*").alias("votes")))
 
     def _placed(self, members: DataFrame, links: DataFrame) -> DataFrame:
         return computed(self._few(members.join(components(links).withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))))
 
     def _by_words(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-        """Groups (key, nid, n_words, label, left, right) of ``nodes`` (nid, n_words, label) that share a word that begins them."""
+        """Groups (key, token, nid, n_words, label, left, right) of ``nodes`` (nid, n_words, label) that share a word that begins them."""
         own = texts.where(id_filter(nodes, ["nid"]))
         often = np.zeros(COUNTED, np.uint8)
         # A byte for each count, of fixed number.
         for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").collect():
             often[row["at"] : row["at"] + COUNT_ROWS] = np.frombuffer(row["counts"], np.uint8)
-        words = own.mapInArrow(_beginnings(self.spark.sparkContext.broadcast(often)), "word long, nid long")
-        words = computed(words.join(nodes, "nid"))
+        sent = self.spark.sparkContext.broadcast(often)
+        words = computed(own.mapInArrow(_beginnings(sent), "word long, nid long").join(nodes, "nid"))
+        sent.unpersist()
         met = words.groupBy("word").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"))
         met = met.where("one <> other").select("word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         block = F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int")
         each_pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j")))
         blocks = words.join(met, "word").select("word", "nid", "n_words", "label", block.alias("block"), F.explode(each_pair).alias("pair"))
         sides = [(F.col("block") == F.col("pair.i")).alias("left"), (F.col("block") == F.col("pair.j")).alias("right")]
-        return blocks.select(F.xxhash64("word", "pair.i", "pair.j").alias("key"), "nid", "n_words", "label", *sides)
+        return blocks.select(F.xxhash64("word", "pair.i", "pair.j").alias("key"), F.col("word").alias("token"), "nid", "n_words", "label", *sides)
 
     def _groups(self, placed: DataFrame, texts: DataFrame) -> DataFrame | None:
-        """Groups (key, nid, n_words, label, left, right) whose texts are to be compared; None if no link can be open."""
+        """Groups (key, token, nid, n_words, label, left, right) whose texts are to be compared; None if no link can be open.
+
+        A pair of texts that have a token in common is compared in one of that token's groups.
+        """
         same = [F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("xor")]
         several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"), *same).where("one <> other")
         # Buckets with the same texts are one group.
@@ -381,7 +406,7 @@ class NearCopies:
             return None
         members = computed(self._few(placed.join(several, "bucket").select("bucket", "nid", "n_words", "label", "n")))
         both = [F.lit(True).alias("left"), F.lit(True).alias("right")]
-        groups = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("key"), "nid", "n_words", "label", *both)
+        groups = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("key"), F.col("bucket").alias("token"), "nid", "n_words", "label", *both)
         large = computed(self._few(members.where(F.col("n") > BLOCK).select("nid", "n_words", "label").distinct()))
         return groups if large.isEmpty() else groups.union(self._by_words(large, texts))
 
@@ -394,10 +419,7 @@ class NearCopies:
         links = self._aligned(tried, texts)
         placed = self._placed(each, links)
         for n in range(STAR_ROUNDS):
-            main = self._few(placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))).groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("parts"))
-            open_ones = placed.join(main.where("parts > 1 AND main.n > 1"), "bucket").select("bucket", "nid", "n_words", "label", F.col("main.label").alias("main"))
-            centred = self._few(open_ones).withColumn("centre", F.col("label") == F.col("main"))
-            again = computed(self._few(self._star(centred, F.xxhash64("nid", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
+            again = computed(self._few(self._star(placed, F.xxhash64("nid", F.lit(n))).join(self._few(tried), ["a", "b"], "left_anti")))
             found = self._aligned(again, texts)
             if found.isEmpty():
                 break
@@ -405,7 +427,9 @@ class NearCopies:
             placed = self._placed(each, links)
         groups = self._groups(placed, texts)
         if groups is not None:
+            groups = computed(groups)
             about = texts.where(id_filter(groups, ["nid"])).mapInArrow(_binned, "nid long, bins binary")
+            about = about.join(groups.groupBy("nid").agg(F.collect_set("token").alias("tokens")), "nid")
             compared = groups.join(about, "nid").groupBy("key").applyInArrow(_open_pairs, "a long, b long")
             more = computed(self._few(self._few(compared.distinct()).join(self._few(tried), ["a", "b"], "left_anti")))
             links = links.union(self._aligned(more, texts))

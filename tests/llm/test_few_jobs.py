@@ -4,8 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
-from riskloom.llm import token_count, token_files
+from riskloom.llm import common, near_copies, token_count, token_files
 from riskloom.llm.common import FILTER_BITS, in_bits, slot_bits
 from riskloom.llm.components import components
 
@@ -62,3 +64,36 @@ def test_stops_and_known_pieces():
     long = b"x" * (token_files.LONGEST + 1)
     assert [known[x] for x in (b"a", long, b"a", long)] == [b"a", long, b"a", long]
     assert asked == ["a", long.decode(), long.decode()] and set(known) == {b"a"}
+
+
+def test_filter_of_few_ids_is_small(spark):
+    slots = [7 * i % (1 << FILTER_BITS) for i in range(0, 30_000_000, 99_991)]
+    bits = common.folded(slot_bits(spark.createDataFrame([(x,) for x in slots], "slot long")))
+    assert in_bits(bits, np.array(slots)).all() and len(bits) < 8 * len(set(slots)) * common.BITS_EACH // 4
+    others = np.random.default_rng(1).integers(0, 1 << FILTER_BITS, 100_000)
+    assert in_bits(bits, others).mean() < 2 / common.BITS_EACH
+    wanted = spark.range(0, 3000, 3)
+    kept = {x.id for x in spark.range(-3000, 6000).where(common.id_filter(wanted, ["id"])).collect()}
+    assert kept >= set(range(0, 3000, 3)) and len(kept) < 1500
+
+
+def test_star_takes_centres_of_near_length(spark):
+    """Texts outside a bucket's largest component are paired with its texts of near length; its own texts make no rows."""
+    rows = [(1, 10, 100, 10), (1, 11, 101, 10), (1, 12, 300, 10), (1, 20, 102, 20), (1, 21, 299, 21), (1, 22, 1000, 22), (2, 10, 100, 10), (2, 20, 102, 20)]
+    placed = spark.createDataFrame(rows, "bucket long, nid long, n_words long, label long")
+    own = near_copies.NearCopies(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    got = {(x.a, x.b) for x in own._star(placed, F.col("nid")).collect()}
+    assert got == {(10, 20), (12, 21)}
+
+
+def test_a_pair_of_several_groups_is_written_once():
+    """Texts that share two sketches and a word meet in three groups."""
+    bins = [np.bincount(np.arange(32) % m, minlength=32).astype(np.uint8).tobytes() for m in (32, 31, 30)]
+    tokens = [[5, 7, -2], [7, 5, -2], [7, 9]]
+
+    def group(key, of):
+        columns = {"key": [key] * len(of), "token": [key] * len(of), "nid": of, "n_words": [32] * len(of), "label": of, "left": [True] * len(of), "right": [True] * len(of)}
+        return near_copies._open_pairs(pa.table(columns | {"bins": [bins[i] for i in of], "tokens": [tokens[i] for i in of]}))
+
+    found = [x for key, of in ((5, [0, 1]), (7, [2, 1, 0]), (-2, [0, 1])) for x in zip(*group(key, of).to_pydict().values())]
+    assert sorted(found) == [(0, 1), (0, 2), (1, 2)]
