@@ -181,7 +181,7 @@ def _summed(group: pa.Table) -> pa.Table:
 
 
 def _beginnings(shared):
-    """Rows (word, nid) of the labelled words that begin a text, rarest first, without those that no other such text has."""
+    """Rows (word, nid, n_words, label) of the labelled words that begin a text, rarest first, without those that no other such text has."""
 
     def run(batches):
         often = shared.value
@@ -196,7 +196,8 @@ def _beginnings(shared):
                 most = np.array([most_edits(int(n)) + 1 for n in size])
                 nth = np.arange(len(label)) - np.repeat(first[:-1], size)
                 kept = order[(nth < np.repeat(most, size)) & (count[order] > 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(label[kept].view(np.int64)), batch.column("nid").take(pa.array(owner[kept] + a))], names=["word", "nid"])
+                about = [batch.column(c).take(pa.array(owner[kept] + a)) for c in ("nid", "n_words", "label")]
+                yield pa.RecordBatch.from_arrays([pa.array(label[kept].view(np.int64)), *about], names=["word", "nid", "n_words", "label"])
 
     return run
 
@@ -282,6 +283,15 @@ def _close(a: Column | str, b: Column | str) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b) - 1e-9
 
 
+def _ends() -> list[Column]:
+    return [F.min("n_words").alias("shortest"), F.max("n_words").alias("longest")]
+
+
+def _may_link() -> Column:
+    """Whether a group, with its ``_ends``, may hold an open link: it is of several components, and two texts alone are of near length."""
+    return (F.col("one") != F.col("other")) & ((F.col("n") > 2) | _close("shortest", "longest"))
+
+
 class NearCopies:
     """Classes of near copies of a table.  Different texts are numbered (``nid``)."""
 
@@ -383,10 +393,10 @@ class NearCopies:
         for row in own.mapInArrow(_word_counts, "at long, counts binary").groupBy("at").applyInArrow(_summed, "at long, counts binary").collect():
             often[row["at"] : row["at"] + COUNT_ROWS] = np.frombuffer(row["counts"], np.uint8)
         sent = self.spark.sparkContext.broadcast(often)
-        words = computed(own.mapInArrow(_beginnings(sent), "word long, nid long").join(nodes, "nid"))
+        words = computed(own.join(nodes, "nid").mapInArrow(_beginnings(sent), "word long, nid long, n_words long, label long"))
         sent.unpersist()
-        met = words.groupBy("word").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"))
-        met = met.where("one <> other").select("word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        met = words.groupBy("word").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"), *_ends())
+        met = met.where(_may_link()).select("word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         block = F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int")
         each_pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, block).alias("i"), F.greatest(k, block).alias("j")))
         blocks = words.join(met, "word").select("word", "nid", "n_words", "label", block.alias("block"), F.explode(each_pair).alias("pair"))
@@ -399,7 +409,7 @@ class NearCopies:
         A pair of texts that have a token in common is compared in one of that token's groups.
         """
         same = [F.sum(F.xxhash64("nid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("nid", F.lit(1))).alias("xor")]
-        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"), *same).where("one <> other")
+        several = placed.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other"), F.count("*").alias("n"), *_ends(), *same).where(_may_link())
         # Buckets with the same texts are one group.
         several = computed(self._few(several.groupBy("n", "sum", "xor").agg(F.min("bucket").alias("bucket")).select("bucket", "n")))
         if several.isEmpty():

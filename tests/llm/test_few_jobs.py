@@ -97,3 +97,12 @@ def test_a_pair_of_several_groups_is_written_once():
 
     found = [x for key, of in ((5, [0, 1]), (7, [2, 1, 0]), (-2, [0, 1])) for x in zip(*group(key, of).to_pydict().values())]
     assert sorted(found) == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_two_texts_of_far_lengths_are_no_group(spark):
+    """A group of two texts that differ too much in length for a link is not written."""
+    own = near_copies.NearCopies(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    rows = [(1, 10, 100, 10), (1, 11, 126, 11), (2, 20, 100, 20), (2, 21, 125, 21), (3, 30, 50, 30), (3, 31, 100, 31), (3, 32, 101, 32)]
+    placed = spark.createDataFrame(rows, "bucket long, nid long, n_words long, label long")
+    assert {x.nid for x in own._groups(placed, None).collect()} == {20, 21, 30, 31, 32}
+    assert own._groups(placed.where("bucket = 1"), None) is None
