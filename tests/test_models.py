@@ -234,6 +234,34 @@ def test_held_rows_of_one_class_do_not_stop_a_fit(data, tmp_path):
     assert found.rows.where("prediction is null").count() == 0
 
 
+def test_fits_read_no_other_rows(spark, tmp_path):
+    """However many rounds are fitted, the rows are read once for those trained on and once for the others."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(y):
+        read.add(1)
+        return y
+
+    df = spark.range(4000).select("id", (F.col("id") * 37 % 101).cast("double").alias("x"), F.when(F.col("id") % 10 == 0, (F.col("id") % 3 == 0).cast("double")).alias("y"))
+    vectors = Prepared(with_folds(df, "id", 2), "id", "y", keep=["fold"]).vectors()
+    seen = vectors.withColumn("y", F.udf(counted, "double").asNondeterministic()("y"))
+    found = boost(seen, "y", F.col("fold") != 0, {**to_gbt(QUICK), "maxIter": 4}, 32, str(tmp_path), patience=100, block=4)
+    assert read.value <= 2 * 4000 and len(found.aucs) == 4
+    want = df.count() - vectors.where("fold <> 0 and y is not null").count()
+    assert found.rows.where("prediction between 0 and 1").count() == want == found.rows.select("id").distinct().count()
+
+
+def test_blocks_do_not_change_the_trees(spark, tmp_path):
+    """Rows in partitions of unequal size, of which thresholds are sampled: as many rounds in one block or in many."""
+    df = spark.range(0, 30_000, 1, 1).select("id", *[F.rand(i).alias(f"x{i}") for i in range(4)])
+    df = df.withColumn("y", (F.col("x0") + F.col("x1") + F.rand(9) > 1.5).cast("double"))
+    df = df.repartitionById(4, F.floor(F.sqrt(F.col("id") / 2000)).cast("int"))
+    vectors = Prepared(with_folds(df, "id", 2), "id", "y", keep=["fold"]).vectors()
+    whole, parts = [boost(vectors, "y", F.col("fold") != 0, to_gbt(QUICK), 32, str(tmp_path / f"{n}"), patience=100, block=n) for n in (3, 1)]
+    assert parts.aucs == pytest.approx(whole.aucs, abs=1e-12) and parts.importance == pytest.approx(whole.importance, abs=1e-12)
+    assert predictions(parts) == pytest.approx(predictions(whole), abs=1e-12)
+
+
 def test_best_round():
     assert best_round([5, 4, 4.5, 3, 3.5, 3.6], 2) == (4, True)
     assert best_round([5, 4, 4.5, 3], 3) == (4, False)
