@@ -328,3 +328,32 @@ def test_bagging_scores_unlabelled_rows_in_one_pass(spark, monkeypatch):
     monkeypatch.setattr(train, "computed", lambda df: written.append(df) or computed(df))
     got = {r["id"]: r["prediction"] for r in bag_seeds(table, few, seeds=[1, 2], k=2, early_stop=False).collect()}
     assert got == pytest.approx(want) and len(written) == 1
+
+
+def test_seeds_are_validated_together(spark, monkeypatch):
+    from riskloom.models import train
+
+    rng = random.Random(8)
+    rows = [(i, i % 3 if i % 7 else None, None if i % 4 == 0 else float(rng.random() < (0.8 if x > 0 else 0.3)), x, rng.choice("abc")) for i in range(600) for x in [rng.gauss(0, 1)]]
+    rows += rows[:40] + [(None, 1, 1.0, 0.5, "a"), (None, 2, None, 0.4, None)]  # keys may come twice or be missing
+    table = Prepared(spark.createDataFrame(rows, "id int, part int, y double, a double, b string"), "id", "y", keep=["part"])
+    few = {"n_estimators": 2, "max_depth": 2, "min_child_weight": 5}
+    runs = [cross_validate(table, {**few, "seed": s}, 3, early_stop=False, fold="part") for s in (1, 2)]
+    fits, tables, fitted, kept = [], [], train.fit, train.computed
+    monkeypatch.setattr(train, "fit", lambda df, *more: fits.append(df._jdf.queryExecution().optimizedPlan().toString()) or fitted(df, *more))
+    monkeypatch.setattr(train, "computed", lambda df: tables.append(df) or kept(df))
+    found = list(train.cross_validate_seeds(table, few, (1, 2), 3, early_stop=False, fold="part"))
+    assert [s for s, _ in found] == [1, 2]
+    assert len(fits) == 6 and len(tables) == 1  # no table of scores for each fit
+    assert all("InMemoryRelation" in plan for plan in fits)
+
+    def values(df, *by):
+        return sorted((*[str(r[c]) for c in by], round(r["prediction"], 9)) for r in df.collect())
+
+    for (_, got), want in zip(found, runs):
+        assert got.oof.columns == want.oof.columns and got.unlabelled.columns == want.unlabelled.columns
+        assert values(got.oof, "id", "part", "y") == values(want.oof, "id", "part", "y")
+        assert values(got.unlabelled, "id") == values(want.unlabelled, "id")
+        assert got.auc == pytest.approx(want.auc, abs=1e-12) and got.trees == want.trees
+        assert got.fold_auc == pytest.approx(want.fold_auc, abs=1e-12)
+        assert sorted(got.importance.collect()) == sorted(want.importance.collect())
