@@ -106,3 +106,16 @@ def test_a_missed_bracket_is_done_again(spark, monkeypatch):
     assert got == {"a": 50.0, "b": 3.5, "c": 7.0}
     monkeypatch.setattr(groups, "_small", lambda rows, brackets: brackets.withColumn("_to", F.col("_from")))
     assert {r["g"]: r["m"] for r in groups.median_by(df, "g", "x", "m").collect()} == got
+
+
+def test_means_of_groups_are_computed_once(spark, rows, monkeypatch):
+    from riskloom.operators import groups
+
+    df = spark.createDataFrame([(1, "a", "x", "k", 1.0), (2, "a", "y", "k", 3.0), (3, "b", "y", "k", 5.0), (4, None, "y", "m", 7.0), (4, None, "y", "m", None)], "id int, g string, h string, t string, v double")
+    tables, kept = [], groups.computed
+    monkeypatch.setattr(groups, "computed", lambda d: tables.append(d) or kept(d))
+    groupings = {"G": "g", "H": "h"}
+    out = groups.against_means(df, groups.group_means(df, groupings, "t", ["v"]), groupings, "t", ["v"])
+    assert len(tables) == 1  # not again for each grouping
+    found = sorted((r["id"], str(r["v"]), r["v_BY_G"], r["v_BY_H"], r["v_BY_H_DIFF"]) for r in out.collect())
+    assert found == [(1, "1.0", 2.0, 1.0, 0.0), (2, "3.0", 2.0, 4.0, -1.0), (3, "5.0", 5.0, 4.0, 1.0), (4, "7.0", None, 7.0, 0.0), (4, "None", None, 7.0, None)]
