@@ -13,10 +13,13 @@ from riskloom.operators.joins import add_columns, attach
 from riskloom.operators.shape import drop_if_present, drop_required, sorted_columns
 from riskloom.plans import application, bureau, credit_card, installments, pos_cash, previous
 from riskloom.plans.dropped import STRICT, USELESS
+from riskloom.session import written
 from riskloom.sources.store import Cache
 from riskloom.sources.tables import Tables
 
 KEY = "SK_ID_CURR"
+# The part that takes most disk on its way is built while no other lies there.
+LARGEST = "install"
 
 
 def parts(t: Tables, without: Collection[str] = ()) -> dict[str, Callable[[], DataFrame]]:
@@ -53,17 +56,23 @@ def _digest(modules: list, without: Collection[str]) -> str:
 def full_matrix(t: Tables, cache: Cache | None = None, without: Collection[str] = ()) -> DataFrame:
     """Every generated column but those left out from the start.
 
-    All parts are one row per applicant and end partitioned by the applicant,
-    so the joins below reuse that placement.  With a cache each part is written
-    to the shared folder first, which keeps the final plan short and lets a
-    failed run resume; without one the whole matrix is a single lazy plan.
+    All parts are one row per applicant.  Each part of a child table is written to the shared folder before the next is
+    built, so the disk holds the shuffles of one part at a time; those of all parts together take several times the
+    matrix.  With a cache a failed run can resume.
     """
-    read = sources(t)
-    built = {name: cache.table(name, make, read[name][0], _digest(read[name][1], without)) if cache else make() for name, make in parts(t, without).items()}
-    base = built.pop("app")
-    out = base
-    for features in built.values():
-        out = attach(out, features, KEY)
+    read, spark = sources(t), t.application_all.sparkSession
+
+    def part(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if cache:
+            return cache.table(name, make, read[name][0], _digest(read[name][1], without))
+        return make() if name == "app" else written(spark, make, f"matrix-{name}")
+
+    makers = parts(t, without)
+    built = {name: part(name, makers[name]) for name in sorted(makers, key=lambda name: name != LARGEST)}
+    base = out = built["app"]
+    for name in makers:
+        if name != "app":
+            out = attach(out, built[name], KEY)
     return application.cross_features(out, previous.loans(t.previous_application), narrow=base)
 
 

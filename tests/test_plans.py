@@ -144,3 +144,43 @@ def test_number_of_columns_of_each_source(spark):
     assert {name: len(set(df.columns)) - 1 for name, df in got.items()} == {"bureau": 380, "previous": 185, "installments": 202, "pos_cash": 37, "credit_card": 35}
     counts = {m: [len(s.spec) + len(s.extra) for s in m.slices()] for m in (bureau, previous, installments)}
     assert counts == {bureau: [38] * 10, previous: [37] * 5, installments: [40, 40, 40, 40, 18, 22]}
+
+
+def test_parts_are_written_one_after_another(spark, monkeypatch):
+    """The shuffle files of a part go before the next one is built, and the joined matrix does not build any of them."""
+    import time
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from riskloom.plans import matrix
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    before, left = shuffled(), {}
+
+    def part(name):
+        def make():
+            until = time.time() + 20
+            while shuffled() - before and time.time() < until:
+                time.sleep(0.1)
+            left[name] = shuffled() - before
+            return spark.range(100).withColumn("k", F.col("id") % 10).repartition(3, "k").groupBy(F.col("k").alias("SK_ID_CURR")).agg(F.sum("id").alias(name))
+
+        return make
+
+    app = spark.createDataFrame([(1,), (1,), (2,), (77,), (None,)], "SK_ID_CURR bigint")
+    monkeypatch.setattr(matrix, "parts", lambda t, without: {"bureau": part("bureau"), "install": part("install"), "app": lambda: app})
+    monkeypatch.setattr(matrix, "sources", lambda t: {})
+    monkeypatch.setattr(matrix.previous, "loans", lambda df: df)
+    monkeypatch.setattr(matrix.application, "cross_features", lambda out, prev, narrow: out)
+    freed = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    out = matrix.full_matrix(SimpleNamespace(application_all=app, previous_application=app))
+    assert list(left.items()) == [("install", set()), ("bureau", set())]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == freed
+    assert out.columns == ["SK_ID_CURR", "bureau", "install"]
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    found = sorted(out.collect(), key=lambda r: r["SK_ID_CURR"] or 0)
+    assert [tuple(r) for r in found] == [(None, None, None), (1, 460, 460), (1, 460, 460), (2, 470, 470), (77, None, None)]
